@@ -10,6 +10,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 RANGE_DIGITS = 4
 SAMPLE_DIGITS = 5
 
+# Picks are two narrow columns; this many stay far below the broadcast threshold.
+MAX_BROADCAST_PICKS = 10_000
+
 
 def smallest_n(df: DataFrame, key: str, n: int) -> DataFrame:
     """The ``n`` rows with the smallest ``key`` (unique), in key order.
@@ -48,21 +51,28 @@ def hashed_sample(df: DataFrame, key: str, order: Column, n: int) -> DataFrame:
     )
 
 
-def per_group_sample(df: DataFrame, group: str, key: str, order: Column, n: int) -> DataFrame:
-    """Up to ``n`` rows per group by ascending hash, with their rank.
+def per_group_sample(
+    df: DataFrame, group: str, key: str, order: Column, n: int, groups: int | None = None
+) -> DataFrame:
+    """Up to ``n`` rows per group by ascending hash, with their rank in ``pick``.
 
-    Ranking runs on three narrow columns; Spark trims each group to ``n`` rows in
-    every map task before the shuffle, so a group holding a third of all rows costs
-    no more than any other.
+    Spark trims each group to ``n`` rows in every map task before the shuffle, so a
+    group holding a third of all rows costs no more than any other. Where the
+    caller guarantees the number of ``groups``, ranking runs on three narrow columns
+    and the picks (at most ``n * groups``) are broadcast to fetch the wide rows.
     """
     window = Window.partitionBy(group).orderBy("pick_order", key)
+    bounded = groups is not None and n * groups <= MAX_BROADCAST_PICKS
+    source = df.select(group, key) if bounded else df
     picks = (
-        df.select(group, key, order.alias("pick_order"))
+        source.withColumn("pick_order", order)
         .withColumn("pick", F.row_number().over(window))
         .filter(F.col("pick") <= n)
-        .select(key, "pick")
+        .drop("pick_order")
     )
-    return df.join(picks, key)
+    if not bounded:
+        return picks
+    return df.join(F.broadcast(picks.select(key, "pick")), key)
 
 
 def dense_position(df: DataFrame, key: str, name: str = "position") -> DataFrame:

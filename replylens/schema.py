@@ -54,7 +54,7 @@ INSIGHTS_SCHEMA = (
     "struct<resumen_ejecutivo:string,"
     "hallazgos_clave:array<string>,"
     "recomendaciones_priorizadas:array<struct<recomendacion:string,impacto_esperado:string,"
-    "esfuerzo_estimado:string,clusters_relacionados:array<int>>>,"
+    "esfuerzo_estimado:string,clusters_relacionados:array<string>>>,"
     "mejoras_especificas_por_cluster:map<string,array<string>>,"
     "sugerencias_sistema_intencion:array<string>,"
     "proximos_pasos_sugeridos:array<string>>"
