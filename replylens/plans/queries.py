@@ -18,6 +18,7 @@ from replylens.operators import (
     timestats,
     topics,
 )
+from replylens.schema import ACTION_FLAGS
 from replylens.sources import driver_tables as tables
 from replylens.sources.messages import repair_analysis
 
@@ -43,7 +44,7 @@ def clean_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def action_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flags = [*cleaning.ACTION_FLAGS.values(), "needs_analysis"]
+    flags = [*ACTION_FLAGS.values(), "needs_analysis"]
     return tables.actions(spark, sf_dir).select("id", "sender_action", *flags)
 
 
@@ -52,7 +53,7 @@ def edit_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def analysis_set(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flags = [*cleaning.ACTION_FLAGS.values(), "needs_analysis"]
+    flags = [*ACTION_FLAGS.values(), "needs_analysis"]
     return cleaning.analysis_set(tables.messages(spark, sf_dir)).select(
         "id", "detected_intent", "sender_action", *flags, "edit_distance"
     )
@@ -241,7 +242,7 @@ def parse_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def embed_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Vectors of the customer messages, reported by width, word count and length."""
     texts = collections.customer_messages(tables.comparison(spark, sf_dir)).select("id", "document")
-    vectors = embedding.embed(embedding.term_counts(texts, "document"), "document")
+    vectors = embedding.term_counts(embedding.embed(texts, "document"), "document")
     words = F.aggregate(vector_to_array("_counts"), F.lit(0.0), lambda total, n: total + n)
     square = F.aggregate(
         "embedding", F.lit(0.0), lambda total, v: total + v.cast("double") * v.cast("double")

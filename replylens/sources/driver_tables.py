@@ -12,8 +12,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from replylens.operators.cleaning import clean_messages, comparison_set
 from replylens.operators.collections import pair_items
 
-# Rates are skewed by content, not by id: k is the number in the event's properties.
-_K = F.get_json_object("props", "$.k").cast("int")
+
+def _number() -> Column:
+    """The number in an event's properties, from which gaps and intents follow."""
+    return F.get_json_object("props", "$.k").cast("int")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,10 +23,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _event_columns(events: DataFrame) -> DataFrame:
-    return events.select(
+    k = F.col("k")
+    return events.withColumn("k", _number()).select(
         F.col("event_id").alias("id"),
         F.floor(F.col("event_id") / 8).cast("long").alias("job_id"),
-        F.when(_K < 90, F.pmod(_K, F.lit(17))).cast("int").alias("detected_intent"),
+        F.when(k < 90, F.pmod(k, F.lit(17))).cast("int").alias("detected_intent"),
         F.when(F.col("event_type") == "purchase", "accepted")
         .when(F.col("event_type") == "click", "EDITED")
         .when(F.col("event_type") == "error", " Ignored")
@@ -34,7 +37,7 @@ def _event_columns(events: DataFrame) -> DataFrame:
         F.col("ts").alias("created_at"),
         F.col("ts").alias("synced_at"),
         F.col("event_type"),
-        _K.alias("k"),
+        "k",
     )
 
 
@@ -111,7 +114,7 @@ def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def reread_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The log as text columns with gaps and junk, as a flat-file round trip leaves it."""
     k = F.col("k")
-    events = table(spark, sf_dir, "events").withColumn("k", _K)
+    events = table(spark, sf_dir, "events").withColumn("k", _number())
     return events.select(
         F.col("event_id").alias("id"),
         F.when(k != 3, F.floor(F.col("event_id") / 8).cast("long")).alias("job_id"),
