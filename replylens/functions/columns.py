@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
-
-# Fixed value: fenced JSON block in a model reply.
-JSON_FENCE = r"```json\s*([\s\S]*?)\s*```"
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def text_or_empty(name: str) -> Column:
@@ -29,13 +26,19 @@ def timestamp_text(column: Column) -> Column:
     return F.when(F.length(text) > 19, F.rpad(text, 26, "0")).otherwise(text)
 
 
-def fenced_json(text: Column) -> Column:
-    """Content of the first fenced JSON block, or the whole text when there is none."""
-    return F.when(text.rlike(JSON_FENCE), F.regexp_extract(text, JSON_FENCE, 1)).otherwise(text)
-
-
 def labelled_line(lines: Column, label: str) -> Column:
     """Value of the last line that starts with ``label``; ``N/A`` without one."""
     hits = F.filter(lines, lambda line: line.startswith(label))
     last = F.try_element_at(hits, F.lit(-1))
     return F.coalesce(F.substring(last, len(label) + 1, 2147483647), F.lit("N/A"))
+
+
+def keep_where(df: DataFrame, condition: Column) -> DataFrame:
+    """Rows for which a costly computed ``condition`` holds.
+
+    A plain filter is pushed below the columns it reads, which copies their
+    expressions into it once per reference and evaluates them again. Emitting a row
+    or none computes them once.
+    """
+    row = F.struct(*(F.col(c) for c in df.columns))
+    return df.select(F.inline(F.when(condition, F.array(row))))

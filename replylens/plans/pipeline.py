@@ -67,6 +67,8 @@ def analyze(
     replies = annotation.run_annotator(prompts, call, backoff_seconds=backoff_seconds)
     writers.write_table(replies, f"{output}/annotation/replies")
     classified = annotation.classify_replies(spark.read.parquet(f"{output}/annotation/replies"))
+    writers.write_table(classified, f"{output}/annotation/classified")
+    classified = spark.read.parquet(f"{output}/annotation/classified")
     writers.write_table(annotation.quarantine_replies(classified), f"{output}/annotation/quarantine")
     annotated = annotation.attach_annotations(batched, classified)
     writers.write_table(annotated, f"{output}/rejection_analysis")
@@ -118,21 +120,18 @@ def insights_step(
 
 def time_analysis(measures: DataFrame) -> dict[str, DataFrame]:
     """All statistics tables over a rollup (or per-message measures)."""
-    daily = timestats.daily_stats(measures)
-    weekday = timestats.weekday_stats(measures)
-    hourly = timestats.hourly_stats(measures)
     agents = timestats.agent_stats(measures)
     return {
-        "daily_stats": daily,
-        "weekday_stats": weekday,
-        "hourly_stats": hourly,
+        "daily_stats": timestats.daily_stats(measures),
+        "weekday_stats": timestats.weekday_stats(measures),
+        "hourly_stats": timestats.hourly_stats(measures),
         "daypart_stats": timestats.daypart_stats(measures),
         "agent_stats": agents,
         "top_agents": timestats.top_agents(measures),
         "intent_daily": timestats.intent_daily(measures),
         "intent_trend": timestats.intent_trend(measures),
         "weekly_stats": timestats.weekly_stats(measures),
-        "time_summary": timestats.time_summary(daily, weekday, hourly),
+        "time_summary": timestats.time_summary(measures),
         "agent_summary": timestats.agent_summary(agents),
     }
 

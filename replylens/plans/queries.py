@@ -166,13 +166,7 @@ def action_volumes_long(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def time_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # One narrow rollup feeds all three tables; Spark reuses its exchange.
-    measures = timestats.rollup(tables.actions(spark, sf_dir), ["date", "hour_of_day"])
-    summary = timestats.time_summary(
-        timestats.daily_stats(measures),
-        timestats.weekday_stats(measures),
-        timestats.hourly_stats(measures),
-    )
+    summary = timestats.time_summary(_measures(spark, sf_dir))
     return summary.withColumn("overall_acceptance", F.round("overall_acceptance", 6))
 
 

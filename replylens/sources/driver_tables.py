@@ -22,6 +22,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents, spread over the cores where they come in fewer files than that.
+
+    A file with a single row group is read by one task, and all work on its long texts
+    would stay there. A table of many files is left as it is, without a shuffle.
+    """
+    documents = table(spark, sf_dir, "documents")
+    cores = spark.sparkContext.defaultParallelism
+    if len(documents.inputFiles()) >= cores:
+        return documents
+    return documents.repartition(cores, "doc_id")
+
+
 def _event_columns(events: DataFrame) -> DataFrame:
     k = F.col("k")
     return events.withColumn("k", _number()).select(
@@ -53,8 +66,8 @@ def actions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def text_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document with the document that serves as the reply suggested to it."""
-    documents = table(spark, sf_dir, "documents")
-    size = documents.select(F.count("*")).scalar()
+    size = table(spark, sf_dir, "documents").select(F.count("*")).scalar()
+    documents = documents_table(spark, sf_dir)
     asked = documents.select("doc_id", F.col("text").alias("asked"))
     suggested = documents.select(F.col("doc_id").alias("reply_id"), F.col("text").alias("suggested"))
     return asked.join(
@@ -217,7 +230,7 @@ def insight_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     English: full document, fenced. French: bare, without improvements and steps.
     German: only a recommendation without fields. Spanish: prose.
     """
-    documents = table(spark, sf_dir, "documents")
+    documents = documents_table(spark, sf_dir)
     lines = F.split("text", "\n")
     source = F.col("source")
     full = F.struct(
