@@ -128,7 +128,7 @@ def date_range(df: DataFrame, spec: str | None, end_inclusive_day: bool = False)
             *(F.lit(p).try_cast("timestamp_ntz") for p in parts)
         )
         bounds = probe.first()
-    if bounds is None or None in bounds:
+    if bounds is None or None in tuple(bounds):
         log.warning("date range %r is malformed; using all rows", spec)
         return df
     start, end = (F.lit(str(b)).cast("timestamp_ntz") for b in bounds)
