@@ -103,7 +103,7 @@ def insights_step(
         plane = project_2d(embed(rows, "rejection_reason"), "embedding").drop("embedding")
         writers.write_table(plane, f"{output}/insights/reasons_2d")
     for name, part in tables.items():
-        writers.write_table(part, f"{output}/insights/{name}", small=True)
+        writers.write_table(part, f"{output}/insights/{name}", single_file=True)
     if documents is not None:
         writers.write_table(
             insights.parse_insights(documents).select("id", "insights"),
@@ -136,10 +136,6 @@ def time_analysis(measures: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-# Tables whose row count grows with agents or intents keep Spark's own file layout.
-UNBOUNDED_TABLES = {"agent_stats", "intent_daily"}
-
-
 def time_step(
     spark: SparkSession,
     output: str,
@@ -159,9 +155,7 @@ def time_step(
     writers.write_table(timestats.rollup(selected), f"{output}/time/rollup")
     tables = time_analysis(spark.read.parquet(f"{output}/time/rollup"))
     for name, part in tables.items():
-        writers.write_table(
-            part, f"{output}/time/{name}", format="csv", small=name not in UNBOUNDED_TABLES
-        )
+        writers.write_table(part, f"{output}/time/{name}", format="csv")
     return tables
 
 

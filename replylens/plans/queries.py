@@ -321,15 +321,13 @@ def load_analysis(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tfidf_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return topics.vocabulary(topics.with_terms(_analysis(spark, sf_dir)))
+    return topics.vocabulary(_analysis(spark, sf_dir))
 
 
 def _vectors(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, topics.TermSpace]:
-    termed = topics.with_terms(
-        _analysis(spark, sf_dir).select("id", "cluster", "rejection_reason")
-    )
-    space = topics.fit_terms(termed)
-    return topics.tfidf_vectors(termed, space), space
+    reasons = _analysis(spark, sf_dir).select("id", "cluster", "rejection_reason")
+    space = topics.fit_terms(reasons)
+    return topics.tfidf_vectors(reasons, space), space
 
 
 def tfidf_weights(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -77,7 +77,7 @@ def test_all_steps(spark, raw_csv, call, tmp_path):
     assert {"x_pca", "y_pca"} <= set(read("insights/reasons_2d").columns)
     for name in ("daily_stats", "weekday_stats", "hourly_stats", "daypart_stats", "agent_stats", "weekly_stats"):
         files = [f for f in os.listdir(f"{out}/time/{name}") if f.endswith(".csv")]
-        assert files
+        assert len(files) == 1
     daily = read("time/daily_stats", "csv")
     assert sum(int(r["total_messages"]) for r in daily.collect()) == 99
 
@@ -125,6 +125,6 @@ def test_insight_documents_are_stored(spark, raw_csv, call, tmp_path):
 
 def test_csv_sink_keeps_quotes(spark, tmp_path):
     df = spark.createDataFrame([(1, 'a "b", c')], "id int, text string")
-    writers.write_table(df, str(tmp_path / "t"), format="csv", small=True)
+    writers.write_table(df, str(tmp_path / "t"), format="csv", single_file=True)
     with open(next((tmp_path / "t").glob("*.csv")), newline="", encoding="utf-8") as file:
         assert list(csv.reader(file)) == [["id", "text"], ["1", 'a "b", c']]
