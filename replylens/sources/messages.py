@@ -10,16 +10,30 @@ from replylens.schema import MESSAGE_SCHEMA, TIME_COLUMNS, TIME_STEP_COLUMNS, re
 
 UNKNOWN_CATEGORY = "desconocido"
 
+# Fields that mean "missing" in a CSV log (the usual markers of data-frame
+# libraries).
+MISSING_MARKERS = [
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+    "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+]
 
-def scan_messages_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+
+def scan_messages_csv(
+    spark: SparkSession,
+    path: str,
+    multi_line: bool = True,
+    missing: list[str] = MISSING_MARKERS,
+) -> DataFrame:
     """The raw log from CSV with a fixed schema; columns are matched by header name.
 
     Quoted line breaks need ``multi_line``, which makes each file one task: a large
     log should come as many files, or without line breaks and ``multi_line=False``.
     Timestamps are read as text and coerced per value, so one bad value does not void
-    the row.
+    the row. Fields holding one of the ``missing`` markers are null.
     """
-    return _typed(_read_csv(spark, path, multi_line))
+    raw = _read_csv(spark, path, multi_line)
+    marked = raw.select(*(F.when(~F.col(c).isin(missing), F.col(c)).alias(c) for c in raw.columns))
+    return _typed(marked)
 
 
 def _read_csv(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:

@@ -88,6 +88,15 @@ def test_all_steps(spark, raw_csv, call, tmp_path):
     }
 
 
+def test_missing_markers_read_as_null(spark, tmp_path):
+    path = tmp_path / "log.csv"
+    path.write_text('id,message_input,sender_action\n1,N/A,None\n2,"nada",null\n3,NA pues,ACCEPTED\n')
+    rows = {r["id"]: r["message_input"] for r in sources.scan_messages_csv(spark, str(path)).collect()}
+    assert rows == {1: None, 2: "nada", 3: "NA pues"}
+    kept = sources.scan_messages_csv(spark, str(path), missing=[""]).filter("id = 1").first()
+    assert (kept["message_input"], kept["sender_action"]) == ("N/A", "None")
+
+
 def test_steps_need_what_comes_before(spark, call, tmp_path):
     out = str(tmp_path / "out")
     for step in (pipeline.embed_step, lambda s, o: pipeline.analyze(s, o, call), pipeline.insights_step):
