@@ -62,6 +62,15 @@ def _metadata(df: DataFrame, pairs: bool = False) -> Column:
     )
 
 
+def _is_sent() -> Column:
+    return text_or_empty("final_message_sent") != ""
+
+
+def _is_pair() -> Column:
+    """Edited or ignored suggestions with the text sent instead; skipped ones are no pairs."""
+    return F.col("sender_action").isin(*PAIR_ACTIONS) & _is_sent()
+
+
 def _key(prefix: str) -> Column:
     return F.concat(F.lit(prefix), F.col("id").cast("string"))
 
@@ -84,18 +93,14 @@ def suggested_responses(df: DataFrame) -> DataFrame:
 
 
 def final_responses(df: DataFrame) -> DataFrame:
-    sent = df.filter(text_or_empty("final_message_sent") != "")
-    return _text_collection(sent, "final_responses", "final_message_sent")
+    return _text_collection(df.filter(_is_sent()), "final_responses", "final_message_sent")
 
 
 def rejected_pairs(df: DataFrame) -> DataFrame:
-    """Edited or ignored suggestions with the text sent instead (skipped ones are not pairs)."""
-    rejected = df.filter(
-        F.col("sender_action").isin(*PAIR_ACTIONS) & (text_or_empty("final_message_sent") != "")
-    )
+    """Rejected suggestions as one labelled document each."""
     columns = dict(zip(LABELS, ["message_input", "message_output", "final_message_sent"]))
     lines = [F.concat(F.lit(label), text_or_empty(columns[f])) for f, label in LABELS.items()]
-    return rejected.select(
+    return df.filter(_is_pair()).select(
         _key(KEY_PREFIX["rejected_pairs"]).alias("id"),
         F.concat_ws("\n", *lines).alias("document"),
         F.concat_ws(" ", text_or_empty("message_output"), text_or_empty("final_message_sent")).alias(
@@ -111,10 +116,7 @@ def pair_items(df: DataFrame) -> DataFrame:
     A pair document read back with :func:`parse_pairs` loses everything after a line
     break inside a message; the annotation step therefore uses these columns.
     """
-    rejected = df.filter(
-        F.col("sender_action").isin(*PAIR_ACTIONS) & (text_or_empty("final_message_sent") != "")
-    )
-    return rejected.select(
+    return df.filter(_is_pair()).select(
         _key(KEY_PREFIX["rejected_pairs"]).alias("id"),
         F.col("message_input").alias("customer_message"),
         F.col("message_output").alias("suggested_response"),
@@ -177,6 +179,18 @@ def collection_counts(parts: dict[str, DataFrame]) -> DataFrame:
     return stacked
 
 
+def projected_counts(df: DataFrame) -> DataFrame:
+    """The rows each collection will get from ``df``, counted in one pass over it."""
+    members = {
+        "customer_messages": F.lit(True),
+        "suggested_responses": F.lit(True),
+        "final_responses": _is_sent(),
+        "rejected_pairs": _is_pair(),
+    }
+    counts = df.agg(*(F.count_if(condition).alias(name) for name, condition in members.items()))
+    return counts.unpivot([], list(members), "collection", "entries")
+
+
 def fetch_pairs(pairs: DataFrame, limit: int = FETCH_LIMIT) -> DataFrame:
     """The first ``limit`` stored pairs by id that have a document and metadata."""
     usable = pairs.select("id", "document", "metadata").dropna(subset=["document", "metadata"])

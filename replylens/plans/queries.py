@@ -199,9 +199,7 @@ def collection_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def collection_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return collections.collection_counts(
-        collections.project_collections(tables.comparison(spark, sf_dir))
-    )
+    return collections.projected_counts(tables.comparison(spark, sf_dir))
 
 
 def upsert_collection(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -37,6 +37,8 @@ def test_keys_filters_and_metadata(cleaned):
     assert (meta["2"]["created_at"], meta["2"]["detected_intent"], meta["2"]["sender_id"]) == ("N/A", -1, "N/A")
     counts = {r["collection"]: r["entries"] for r in collections.collection_counts(parts).collect()}
     assert counts == {name: len(keys) for name, keys in ids.items()}
+    projected = {r["collection"]: r["entries"] for r in collections.projected_counts(cleaned).collect()}
+    assert projected == counts
 
 
 def test_pair_document_and_embedded_text(cleaned):
