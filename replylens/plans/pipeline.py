@@ -51,6 +51,7 @@ def analyze(
     call: Callable[[str], str],
     limit: int = PAIR_LIMIT,
     backoff_seconds: float = 1.0,
+    parallel_calls: int | None = None,
 ) -> DataFrame:
     """Annotate stored pairs and store them; unreadable replies go to a table of their own.
 
@@ -64,7 +65,9 @@ def analyze(
     writers.write_table(annotation.annotation_batches(items), f"{output}/annotation/batches")
     batched = spark.read.parquet(f"{output}/annotation/batches")
     prompts = annotation.annotation_prompts(batched)
-    replies = annotation.run_annotator(prompts, call, backoff_seconds=backoff_seconds)
+    replies = annotation.run_annotator(
+        prompts, call, backoff_seconds=backoff_seconds, parallel_calls=parallel_calls
+    )
     writers.write_table(replies, f"{output}/annotation/replies")
     classified = annotation.classify_replies(spark.read.parquet(f"{output}/annotation/replies"))
     writers.write_table(classified, f"{output}/annotation/classified")

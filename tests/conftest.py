@@ -15,7 +15,8 @@ def spark(tmp_path_factory):
         "replylens-tests",
         "local[8]",
         **{
-            "spark.sql.shuffle.partitions": "8",
+            "spark.sql.shuffle.partitions": "4",
+            "spark.default.parallelism": "4",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "6g",
