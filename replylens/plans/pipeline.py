@@ -121,7 +121,7 @@ def insights_step(
     return tables
 
 
-def time_analysis(measures: DataFrame) -> dict[str, DataFrame]:
+def statistics_tables(measures: DataFrame) -> dict[str, DataFrame]:
     """All statistics tables over a rollup (or per-message measures)."""
     agents = timestats.agent_stats(measures)
     return {
@@ -156,7 +156,7 @@ def time_step(
     if date_range:
         cleaning.is_low_volume(selected)
     writers.write_table(timestats.rollup(selected), f"{output}/time/rollup")
-    tables = time_analysis(spark.read.parquet(f"{output}/time/rollup"))
+    tables = statistics_tables(spark.read.parquet(f"{output}/time/rollup"))
     for name, part in tables.items():
         writers.write_table(part, f"{output}/time/{name}", format="csv")
     return tables
