@@ -28,10 +28,10 @@ class ChunkTable:
 
     A piece of the model never holds a marker after another character, so no piece crosses
     the place before a marker: a text is cut there. Characters that stand in no longer
-    piece (the line break is one) are cut off as well. Chunks begin with a marker or not;
-    the library puts one before what it encodes, hence a chunk without one is encoded after a line
-    break, whose ids are then taken off. Both assumptions are read off the model; where
-    one does not hold, whole texts are encoded.
+    piece (the line break is one) are cut off as well. The library puts a marker before
+    what it encodes, hence a chunk is encoded after a line break, and the ids of both are
+    then taken off. The assumptions are read off the model; where one does not hold, whole
+    texts are encoded.
     """
 
     def __init__(self, path: str = MODEL) -> None:
@@ -53,12 +53,9 @@ class ChunkTable:
 
     def segment(self, chunks: list[str]) -> None:
         """Add new chunks to the table."""
-        after_break = [not chunk.startswith(SPACE) for chunk in chunks]
-        asked = [
-            "\n" + chunk if bare else chunk[1:] for chunk, bare in zip(chunks, after_break)
-        ]
-        for chunk, bare, ids in zip(chunks, after_break, self.model.encode(asked, num_threads=1)):
-            self.table[chunk] = tuple(ids[len(self.prefix) :] if bare else ids)
+        asked = ["\n" + chunk for chunk in chunks]
+        for chunk, ids in zip(chunks, self.model.encode(asked, num_threads=1)):
+            self.table[chunk] = tuple(ids[len(self.prefix) :])
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         if not self.exact:

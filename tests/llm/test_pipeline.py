@@ -1,0 +1,80 @@
+from collections import Counter
+
+import numpy as np
+import pytest
+
+import corpus_pipeline
+from replylens.llm import langid, packing, quality
+from tests.llm.helpers import DOCUMENTS, hard_rows
+from tests.llm.test_jaccard import brute_force
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def stages(spark):
+    docs, kept = spark.read.parquet(f"{SF_DIR}/documents.parquet"), []
+    for _, stage in corpus_pipeline.STAGES:
+        kept.append(docs)
+        docs = stage(spark, docs, SF_DIR)
+        docs.cache()
+    return [*kept, docs]
+
+
+def rows(df):
+    return {r["doc_id"]: r for r in df.collect()}
+
+
+def test_columns_stay(stages):
+    assert all(df.columns == stages[0].columns for df in stages[:-1])
+    assert [name for name, _ in corpus_pipeline.STAGES] == [
+        "quality_rules", "language_id", "exact_dedup", "near_dedup", "best_fit_packing",
+    ]
+
+
+def test_quality_stage(stages):
+    judge = quality.Judge(quality.fit_references(stages[0]), quality.MAX_CLASS_DISTANCE, quality.MAX_WORD_DISTANCE)
+    assert set(rows(stages[1])) == {i for i, r in rows(stages[0]).items() if judge(r["text"])[6]}
+
+
+def test_language_stage(spark, stages):
+    lost = set(rows(stages[1])) - set(rows(stages[2]))
+    classify = langid.Classifier(langid.fit_profiles(stages[1], stages[1]["doc_id"].isNotNull()))
+    for i, r in rows(stages[1]).items():
+        lang, score = classify(r["text"])
+        assert (i in lost) == (lang == "und" or score < langid.MIN_SCORE)
+
+
+def test_exact_stage(stages):
+    best = {}
+    for i, r in rows(stages[2]).items():
+        best[r["text"]] = max(best.get(r["text"], -1), i)
+    assert set(rows(stages[3])) == set(best.values())
+
+
+def test_near_stage(stages):
+    given = [(i, r["text"]) for i, r in rows(stages[3]).items()]
+    assert set(rows(stages[4])) == {component for _, _, component in brute_force(given, 5, 80)}
+
+
+def test_packing_stage(stages):
+    found = stages[5].collect()
+    assert {r["doc_id"] for r in found} == set(rows(stages[4]))
+    counts = np.bincount([r["length"] for r in found], minlength=packing.CAPACITY + 1)
+    assert len({r["sequence_id"] for r in found}) <= packing.lower_bound(counts) + 1
+
+
+def test_run_returns_the_last_stage(spark, stages):
+    key = lambda df: Counter((r["doc_id"], r["piece"], r["ids_crc32"]) for r in df.collect())
+    assert key(corpus_pipeline.run(spark, SF_DIR)) == key(stages[5])
+
+
+@pytest.mark.parametrize("number", range(4))
+@pytest.mark.parametrize("table", ["hard", "empty"])
+def test_stages_on_hard_tables(spark, number, table):
+    docs = spark.createDataFrame(hard_rows() if table == "hard" else [], DOCUMENTS)
+    kept = corpus_pipeline.STAGES[number][1](spark, docs, SF_DIR)
+    assert kept.columns == docs.columns
+    assert kept.count() <= docs.count()
+
+
