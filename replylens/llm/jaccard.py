@@ -31,6 +31,8 @@ SPARE_CELLS = 2  # up to so many cells of a set may be empty and the others stil
 LARGEST_SMALL = 30  # sizes above are never worth their subsets
 CELL_COST = 4  # a row of a list against one of a subset, as its pairs must be compared
 CACHED_WORDS = 400_000
+KEPT_SETS = 2_000  # of texts just compared
+ROUNDS = 6  # of comparing each row with one centre before all open pairs are compared
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 SIGNATURES = "id long, row long, n_shingles long, first long, second long"
@@ -120,15 +122,17 @@ def cell_keys(tokens: np.ndarray, percent: int) -> np.ndarray:
     spread = mixed(tokens ^ np.uint64(0x5851F42D4C957F2D))
     for number in (own, own + 1):
         count = cells(number, percent)
-        cell = (tokens % np.uint64(count)).astype(np.int64)
+        cell = (tokens % np.uint64(count)).astype(np.uint16 if count < 65536 else np.int64)
         order = np.argsort(cell, kind="stable")
-        present, starts = np.unique(cell[order], return_index=True)
+        cell = cell[order]
+        starts = np.concatenate([[0], np.flatnonzero(cell[1:] != cell[:-1]) + 1])
         sums = np.add.reduceat(spread[order], starts)
-        keys.append(mixed(sums + mixed(present.astype(np.uint64) + np.uint64((number << 32) + 1))))
-        if count - len(present) > SPARE_CELLS:
+        place = cell[starts].astype(np.uint64) + np.uint64((number << 32) + 1)
+        keys.append(mixed(sums + mixed(place)))
+        if count - len(starts) > SPARE_CELLS:
             # So many cells are empty that a pair may agree in empty ones alone.
             keys.append(np.array([number << 1 | 1], np.uint64))
-    return np.unique(np.concatenate(keys)).view(np.int64)
+    return np.concatenate(keys).view(np.int64)
 
 
 def _row_id(id_col: str, text_col: str) -> Column:
@@ -231,15 +235,20 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> D
     """The ``(a, b)`` of ``pairs`` whose sets really link, compared shingle by shingle."""
 
     def make() -> Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]]:
-        shingle = Shingler(words)
+        shingle, kept = Shingler(words), {}
+
+        def tokens_of(row: int, text: str) -> np.ndarray:
+            tokens = kept.get(row)
+            if tokens is None:
+                if len(kept) >= KEPT_SETS:
+                    kept.clear()
+                tokens = kept[row] = shingle(text)
+            return tokens
 
         def each(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-            last, tokens_a, linked = None, None, []
-            a, _, text_a, text_b = (column.to_pylist() for column in batch.columns)
-            for row, one, other in zip(a, text_a, text_b):
-                if row != last:
-                    last, tokens_a = row, shingle(one)
-                tokens_b = shingle(other)
+            linked = []
+            for a, b, text_a, text_b in zip(*(column.to_pylist() for column in batch.columns)):
+                tokens_a, tokens_b = tokens_of(a, text_a), tokens_of(b, text_b)
                 both = len(np.intersect1d(tokens_a, tokens_b, assume_unique=True))
                 linked.append(100 * both >= percent * (len(tokens_a) + len(tokens_b) - both))
             yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
@@ -321,11 +330,10 @@ def jaccard_components(
     and each is returned; a null id stays null and counts in a component only if there is
     no other id. Columns other than the two named are not read.
 
-    Hot groups: in each list only one pair for each member is compared, with the member that the
-    list's centre is. Members that are connected by then need no further comparison. Only in
-    lists where several components remain are those that are not in the largest one compared
-    with the others, so that no link is lost. Copies of one set are tied by its
-    signature and not compared.
+    Hot groups: copies of one set are tied by its signature and not compared. Then each
+    row is compared with one centre of its lists, ``ROUNDS`` times with other centres, and
+    rows that are connected are never compared again. Only in lists where several components
+    remain are all pairs across them compared, so that no link is lost.
     """
     texts = df.select(
         F.col(id_col).cast("long").alias("id"),
@@ -349,24 +357,31 @@ def jaccard_components(
         map_batches(texts.select("row", "text"), _postings(words, percent, boundary), POSTINGS),
         "postings",
     )
-    lists = store(
-        postings.groupBy("key", "gap").agg(
-            F.count("*").alias("members"), F.min("row").alias("centre"),
-            F.max("row").alias("last"), F.min("n").alias("low"), F.max("n").alias("high"),
-        )
-        .filter(f"centre < last and (gap = {NO_GAP} or high - low = gap)")
-        .select("key", "gap", "centre"),
-        "lists",
-    )
-    joined = store(
-        postings.join(lists, ["key", "gap"]).select("key", "gap", "row", "n", "centre"), "members"
+    # Of a subset's key all members link, if two sizes that go together are there.
+    subsets = postings.filter(F.col("gap") != NO_GAP)
+    linking = store(
+        subsets.groupBy("key", "gap")
+        .agg(F.min("row").alias("b"), F.max("row").alias("last"), F.min("n").alias("low"), F.max("n").alias("high"))
+        .filter("b < last and high - low = gap").select("key", "gap", "b"),
+        "linking",
     )
-    sure = joined.filter(F.col("gap") != NO_GAP).select(F.col("row").alias("a"), F.col("centre").alias("b"))
+    sure = subsets.join(linking, ["key", "gap"]).select(F.col("row").alias("a"), "b").distinct()
     members = _merged(copies.union(sure), None)
 
-    listed = joined.filter(F.col("gap") == NO_GAP).select("key", "row", "n", "centre")
-    members = _link_to_centres(listed, sets, texts, members, words, percent)
-    members = _link_the_rest(listed, texts, members, words, percent)
+    # Nearly all keys of cells have one row; those are combined away before the join.
+    listed = postings.filter(F.col("gap") == NO_GAP).select("key", "row")
+    lists = listed.groupBy("key").agg(F.min("row").alias("x"), F.max("row").alias("y")).filter("x < y")
+    listed = listed.join(store(lists.select("key"), "lists"), "key")
+    size = sets.select(F.col("row").alias("of"), F.col("n_shingles").alias("n")).distinct()
+    listed = store(listed.join(size, F.col("row") == F.col("of")).select("key", "row", "n"), "listed")
+    open_rows = listed
+    for number in range(ROUNDS):
+        open_rows = _open_lists(open_rows, members)
+        if open_rows.isEmpty():
+            break
+        links = _links_to_centres(open_rows, number, texts, words, percent)
+        members = _merged(links, members)
+    members = _link_the_rest(_open_lists(open_rows, members), texts, members, words, percent)
     names = members.join(sets.select("row", "id").distinct(), "row").groupBy("component").agg(
         F.min("id").alias("component_id")
     )
@@ -392,43 +407,59 @@ def _close(percent: int, n: str, m: str) -> Column:
     return (F.col(n) * 100 >= F.col(m) * percent) & (F.col(m) * 100 >= F.col(n) * percent)
 
 
-def _link_to_centres(
-    listed: DataFrame, sets: DataFrame, texts: DataFrame, members: DataFrame, words: int, percent: int
+def _open_lists(rows: DataFrame, members: DataFrame) -> DataFrame:
+    """The rows of lists in which more than one component is left, with their component."""
+    placed = _with_component(rows.select("key", "row", "n"), members, "row", "component")
+    several = (
+        placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"))
+        .filter("x <> y").select("key")
+    )
+    return store(placed.join(several, "key"), "open_rows")
+
+
+def _links_to_centres(
+    open_rows: DataFrame, number: int, texts: DataFrame, words: int, percent: int
 ) -> DataFrame:
-    """Compare each row with one centre, the one it shares most lists with."""
-    counted = listed.filter("row <> centre").groupBy("row", "n", "centre").agg(F.count("*").alias("times"))
-    best = counted.groupBy("row", "n").agg(
-        F.max(F.struct("times", F.negative("centre").alias("minus"), "centre"))["centre"].alias("centre")
+    """Links found by comparing each row with one row of another component.
+
+    Each list has one centre a round, drawn by hash. A row is compared with the centre
+    that it shares most lists with, so a round compares no more pairs than there are rows.
+    """
+    drawn = F.struct(F.xxhash64("row", F.lit(number)).alias("draw"), "row", "n", "component")
+    centres = open_rows.groupBy("key").agg(F.max(drawn).alias("centre")).select(
+        "key", F.col("centre.row").alias("centre"), F.col("centre.n").alias("m"), F.col("centre.component").alias("other")
     )
-    size = sets.select(F.col("row").alias("centre"), F.col("n_shingles").alias("m")).distinct()
-    pairs = best.join(size, "centre").filter(_close(percent, "n", "m")).select("row", "centre")
-    pairs = _with_component(_with_component(pairs, members, "row", "x"), members, "centre", "y")
-    pairs = store(pairs.filter("x <> y").select(F.col("row").alias("a"), F.col("centre").alias("b")), "pairs")
-    return _merged(store(_verified(pairs, texts, words, percent), "links"), members)
+    counted = (
+        open_rows.join(centres, "key")
+        .filter((F.col("component") != F.col("other")) & _close(percent, "n", "m"))
+        .groupBy("row", "centre").agg(F.count("*").alias("times"))
+    )
+    best = counted.groupBy("row").agg(F.max(F.struct("times", "centre"))["centre"].alias("b"))
+    pairs = store(best.select(F.col("row").alias("a"), "b"), "pairs")
+    return store(_verified(pairs, texts, words, percent), "links")
 
 
 def _link_the_rest(
-    listed: DataFrame, texts: DataFrame, members: DataFrame, words: int, percent: int
+    open_rows: DataFrame, texts: DataFrame, members: DataFrame, words: int, percent: int
 ) -> DataFrame:
-    """Compare what lists with several components still leave open, each pair once."""
-    placed = store(
-        _with_component(listed.select("key", "row", "n"), members, "row", "component"), "placed"
-    )
-    sizes = placed.groupBy("key", "component").agg(F.count("*").alias("size"))
-    largest = sizes.groupBy("key").agg(
-        F.max(F.struct("size", "component"))["component"].alias("main"),
-        F.count("*").alias("components"),
+    """Compare what lists with several components still leave open, each pair once.
+
+    One of any two components in a list is not its largest, so rows outside the largest
+    are compared with all rows of other components.
+    """
+    sizes = open_rows.groupBy("key", "component").agg(F.count("*").alias("size"))
+    largest = store(
+        sizes.groupBy("key").agg(F.max(F.struct("size", "component"))["component"].alias("main")), "largest"
     )
-    mixed_lists = store(largest.filter("components > 1").select("key", "main"), "mixed_lists")
-    open_rows = store(placed.join(mixed_lists, "key"), "open_rows")
-    others = open_rows.filter("component <> main").select(
+    placed = open_rows.join(largest, "key")
+    others = placed.filter("component <> main").select(
         "key", F.col("row").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("x")
     )
     pairs = (
-        others.join(open_rows, "key")
+        others.join(placed, "key")
         .filter((F.col("x") != F.col("component")) & _close(percent, "n_a", "n"))
         .filter((F.col("component") == F.col("main")) | (F.col("a") < F.col("row")))
-        .select("a", F.col("row").alias("b")).distinct()
+        .select(F.least("a", "row").alias("a"), F.greatest("a", "row").alias("b")).distinct()
     )
     pairs = store(pairs, "open_pairs")
     return _merged(store(_verified(pairs, texts, words, percent), "links"), members)
