@@ -10,8 +10,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 RANGE_DIGITS = 4
 SAMPLE_DIGITS = 5
 
-# Picks are two narrow columns; this many stay far below the broadcast threshold.
-MAX_BROADCAST_PICKS = 10_000
+# Tasks over which a group is ranked before its best rows meet.
+SALTS = 64
 
 
 def smallest_n(df: DataFrame, key: str, n: int) -> DataFrame:
@@ -27,76 +27,82 @@ def smallest_n(df: DataFrame, key: str, n: int) -> DataFrame:
     return df.filter(F.col(key) <= cutoff).orderBy(key).limit(n)
 
 
+def row_hash(df: DataFrame) -> Column:
+    """A hash of the whole row, which settles ties between rows with one key."""
+    plain = [f.name for f in df.schema if "map<" not in f.dataType.simpleString()]
+    return F.xxhash64(*(F.col(c) for c in plain))
+
+
 def hashed_sample(df: DataFrame, key: str, order: Column, n: int) -> DataFrame:
     """Exactly ``n`` rows (all, when there are fewer) by ascending hash ``order``.
 
     A histogram over hash prefixes gives the first prefix at which ``n`` rows are
-    reached; only rows up to it take part in the final sort.
+    reached. Rows below it are taken as they are, and only rows with that prefix, about
+    one in ``16 ** SAMPLE_DIGITS`` of all, are ranked: no task gets the whole sample. The
+    result is sorted in ranges.
     """
     if n <= 0:
         return df.limit(0)
-    prefix = F.substring(order, 1, SAMPLE_DIGITS)
+    prefix = F.coalesce(F.substring(order, 1, SAMPLE_DIGITS), F.lit(""))
     sizes = df.select(prefix.alias("prefix")).groupBy("prefix").agg(F.count("*").alias("size"))
     running = F.sum("size").over(Window.orderBy("prefix").rowsBetween(Window.unboundedPreceding, 0))
-    boundary = (
-        sizes.select("prefix", running.alias("reached"))
-        .filter(F.col("reached") >= n)
-        .agg(F.min("prefix"))
-        .scalar()
-    )
-    return (
-        df.filter(prefix <= F.coalesce(boundary, F.lit("g")))
-        .orderBy(order, key)
-        .limit(n)
-    )
-
-
-def per_group_sample(
-    df: DataFrame, group: str, key: str, order: Column, n: int, groups: int | None = None
-) -> DataFrame:
+    reached = sizes.select("prefix", "size", running.alias("reached")).filter(F.col("reached") >= n)
+    # At most 16 ** SAMPLE_DIGITS counts; one row comes back.
+    boundary = reached.orderBy("prefix").first()
+    if boundary is None:
+        return df.orderBy(order, key)
+    missing = n - (boundary["reached"] - boundary["size"])
+    below = df.filter(prefix < boundary["prefix"])
+    last = df.filter(prefix == boundary["prefix"]).withColumn("_all", F.lit(0))
+    ranked = per_group_sample(last, "_all", key, order, missing).drop("_all", "pick")
+    return below.unionByName(ranked).orderBy(order, key)
+
+
+def per_group_sample(df: DataFrame, group: str, key: str, order: Column, n: int) -> DataFrame:
     """Up to ``n`` rows per group by ascending hash, with their rank in ``pick``.
 
-    Spark trims each group to ``n`` rows in every map task before the shuffle, so a
-    group holding a third of all rows costs no more than any other. Where the
-    caller guarantees the number of ``groups``, ranking runs on three narrow columns
-    and the picks (at most ``n * groups``) are broadcast to fetch the wide rows.
+    Ranked in two steps, inside (group, salt) and then inside the group, with at most ``n``
+    rows kept after each. A group with a third of all rows is thus split over ``SALTS``
+    tasks, whatever ``n`` is, and the second step sees ``SALTS * n`` rows of a group. Rows
+    are never joined back by key: repeated and null keys are rows like any other.
     """
-    window = Window.partitionBy(group).orderBy("pick_order", key)
-    bounded = groups is not None and n * groups <= MAX_BROADCAST_PICKS
-    source = df.select(group, key) if bounded else df
-    picks = (
-        source.withColumn("pick_order", order)
-        .withColumn("pick", F.row_number().over(window))
+    numbered = df.withColumns({"_order": order, "_row": row_hash(df)}).withColumn(
+        "_salt", F.pmod("_row", F.lit(SALTS))
+    )
+    inside = Window.partitionBy(group, "_salt").orderBy("_order", key, "_row")
+    overall = Window.partitionBy(group).orderBy("_order", key, "_row")
+    return (
+        numbered.withColumn("_place", F.row_number().over(inside))
+        .filter(F.col("_place") <= n)
+        .withColumn("pick", F.row_number().over(overall))
         .filter(F.col("pick") <= n)
-        .drop("pick_order")
+        .drop("_order", "_row", "_salt", "_place")
     )
-    if not bounded:
-        return picks
-    return df.join(F.broadcast(picks.select(key, "pick")), key)
 
 
 def dense_position(df: DataFrame, key: str, name: str = "position") -> DataFrame:
-    """Number all rows 0, 1, 2, ... in the order of ``md5(key)``, then ``key``.
+    """Number all rows 0, 1, 2, ... in the order of ``md5(key)``, then ``key``, then row hash.
 
     Rows are numbered inside hash ranges in parallel and shifted by the number of
     rows in the ranges before. Only the table of range sizes (at most 16**4 rows)
-    meets in one task, and only that table is broadcast.
+    meets in one task, and only that table is broadcast. ``df`` is read twice, for the
+    sizes and for the rows; a costly one should be a stored table.
     """
     digest = F.md5(F.col(key).cast("string"))
-    ranged = df.withColumn("_digest", digest).withColumn(
-        "_range", F.substring("_digest", 1, RANGE_DIGITS)
+    ranged = df.withColumns({"_digest": digest, "_row": row_hash(df)}).withColumn(
+        "_range", F.coalesce(F.substring("_digest", 1, RANGE_DIGITS), F.lit(""))
     )
     sizes = (
-        df.select(F.substring(digest, 1, RANGE_DIGITS).alias("_range"))
+        df.select(F.coalesce(F.substring(digest, 1, RANGE_DIGITS), F.lit("")).alias("_range"))
         .groupBy("_range")
         .agg(F.count("*").alias("_size"))
     )
     before = F.sum("_size").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1))
     offsets = sizes.select("_range", F.coalesce(before, F.lit(0)).alias("_before"))
-    inside = F.row_number().over(Window.partitionBy("_range").orderBy("_digest", key))
+    inside = F.row_number().over(Window.partitionBy("_range").orderBy("_digest", key, "_row"))
     return (
         ranged.withColumn("_inside", inside)
         .join(F.broadcast(offsets), "_range")
         .withColumn(name, F.col("_before") + F.col("_inside") - 1)
-        .drop("_digest", "_range", "_inside", "_before")
+        .drop("_digest", "_range", "_inside", "_before", "_row")
     )

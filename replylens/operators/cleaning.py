@@ -42,6 +42,12 @@ def add_action_flags(df: DataFrame) -> DataFrame:
     return df.withColumns({**flags, "needs_analysis": unused})
 
 
+def with_action_flags(df: DataFrame) -> DataFrame:
+    """Flags from an outcome in any spelling, for logs that were not cleaned here."""
+    tidy = F.upper(F.trim(text_or_empty("sender_action")))
+    return add_action_flags(df.withColumn("sender_action", tidy))
+
+
 def ensure_flags(df: DataFrame) -> DataFrame:
     """Flag columns that are absent are added as FALSE."""
     absent = [flag for flag in ACTION_FLAGS.values() if flag not in df.columns]

@@ -12,6 +12,7 @@ FETCH_LIMIT = 100
 
 # Collection names, key prefixes and the labels of a pair document.
 COLLECTIONS = ["customer_messages", "suggested_responses", "final_responses", "rejected_pairs"]
+EXTRAS = ["customer_message", "suggested_response", "final_response", "sequence"]
 KEY_PREFIX = {
     "customer_messages": "",
     "suggested_responses": "sugg_",
@@ -19,6 +20,11 @@ KEY_PREFIX = {
     "rejected_pairs": "pair_",
 }
 PAIR_ACTIONS = ["EDITED", "IGNORED"]
+PAIR_TEXTS = {
+    "customer_message": "message_input",
+    "suggested_response": "message_output",
+    "final_response": "final_message_sent",
+}
 LABELS = {
     "customer_message": "CUSTOMER: ",
     "suggested_response": "SUGGESTION: ",
@@ -62,6 +68,12 @@ def _metadata(df: DataFrame, pairs: bool = False) -> Column:
     )
 
 
+def _sequence(df: DataFrame) -> list[Column]:
+    """Orders rows with one key: the one synchronised, then created last is the newest."""
+    times = [c for c in ("synced_at", "created_at") if c in df.columns]
+    return [F.struct(*times).alias("sequence")] if times else []
+
+
 def _is_sent() -> Column:
     return text_or_empty("final_message_sent") != ""
 
@@ -81,6 +93,7 @@ def _text_collection(df: DataFrame, name: str, text: str) -> DataFrame:
         F.col(text).alias("document"),
         F.col(text).alias("embed_text"),
         _metadata(df).alias("metadata"),
+        *_sequence(df),
     )
 
 
@@ -98,8 +111,7 @@ def final_responses(df: DataFrame) -> DataFrame:
 
 def rejected_pairs(df: DataFrame) -> DataFrame:
     """Rejected suggestions as one labelled document each."""
-    columns = dict(zip(LABELS, ["message_input", "message_output", "final_message_sent"]))
-    lines = [F.concat(F.lit(label), text_or_empty(columns[f])) for f, label in LABELS.items()]
+    lines = [F.concat(F.lit(label), text_or_empty(PAIR_TEXTS[f])) for f, label in LABELS.items()]
     return df.filter(_is_pair()).select(
         _key(KEY_PREFIX["rejected_pairs"]).alias("id"),
         F.concat_ws("\n", *lines).alias("document"),
@@ -107,15 +119,13 @@ def rejected_pairs(df: DataFrame) -> DataFrame:
             "embed_text"
         ),
         _metadata(df, pairs=True).alias("metadata"),
+        *(text_or_empty(column).alias(field) for field, column in PAIR_TEXTS.items()),
+        *_sequence(df),
     )
 
 
 def pair_items(df: DataFrame) -> DataFrame:
-    """The rejected pairs as columns, straight from the log and without loss.
-
-    A pair document read back with :func:`parse_pairs` loses everything after a line
-    break inside a message; the annotation step therefore uses these columns.
-    """
+    """The rejected pairs as columns, straight from the log and without loss."""
     return df.filter(_is_pair()).select(
         _key(KEY_PREFIX["rejected_pairs"]).alias("id"),
         F.col("message_input").alias("customer_message"),
@@ -127,6 +137,22 @@ def pair_items(df: DataFrame) -> DataFrame:
     )
 
 
+def stored_pair_items(pairs: DataFrame) -> DataFrame:
+    """The rejected pairs as columns, from the stored collection and without loss.
+
+    A pair document read back with :func:`parse_pairs` loses everything after a line
+    break inside a message; the annotation step therefore uses the text columns that are
+    stored beside it.
+    """
+    return pairs.select(
+        "id",
+        *PAIR_TEXTS,
+        F.col("metadata.detected_intent").alias("detected_intent"),
+        F.col("metadata.sender_action").alias("action"),
+        F.coalesce(F.col("metadata.edit_distance"), F.lit(0.0)).alias("edit_distance"),
+    )
+
+
 def project_collections(df: DataFrame) -> dict[str, DataFrame]:
     """The collections a frame has the text columns for, not yet embedded."""
     parts = {}
@@ -144,7 +170,7 @@ def build_collections(df: DataFrame, encoder: Encoder | None = None) -> dict[str
     """The collections with an ``embedding`` per row, ready to be stored."""
     return {
         name: embed(part, "embed_text", encoder=encoder).select(
-            "id", "embedding", "document", "metadata"
+            "id", "embedding", "document", "metadata", *(c for c in EXTRAS if c in part.columns)
         )
         for name, part in project_collections(df).items()
     }
@@ -153,11 +179,12 @@ def build_collections(df: DataFrame, encoder: Encoder | None = None) -> dict[str
 def upsert(existing: DataFrame, incoming: DataFrame, order: Column | None = None) -> DataFrame:
     """Rows of ``incoming`` replace rows of ``existing`` with the same id.
 
-    Of several incoming rows with one id the highest ``order`` wins; without an
-    order the choice is settled by the document. Only ids of ``incoming`` take part
-    in the anti join, and neither side needs a broadcast.
+    Of several incoming rows with one id the highest ``order`` wins, by default the
+    ``sequence`` if there is one; the document settles ties. Only ids of ``incoming`` take
+    part in the anti join, and neither side needs a broadcast.
     """
-    rank = order if order is not None else F.col("document")
+    rank = F.col("sequence" if "sequence" in incoming.columns else "document")
+    rank = rank if order is None else order
     latest = Window.partitionBy("id").orderBy(rank.desc_nulls_last(), F.col("document").desc())
     unique = (
         incoming.withColumn("_rank", F.row_number().over(latest))

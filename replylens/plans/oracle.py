@@ -6,7 +6,8 @@ states the expected rows directly instead of parsing JSON a second time.
 
 from __future__ import annotations
 
-from replylens.operators.annotation import FAILURES, MAX_TRIES, PROMPT_HEAD, PROMPT_TAIL
+from replylens.operators import insights
+from replylens.operators.annotation import CONTRACT, FAILURES, INSTRUCTIONS, MAX_TRIES
 from replylens.operators.embedding import DIMENSIONS
 from replylens.operators.topics import STOP_WORDS
 
@@ -31,7 +32,7 @@ VIEWS = {
     "text_pairs": """
         SELECT a.doc_id, a.text AS asked, b.text AS suggested
         FROM documents a
-        JOIN documents b ON b.doc_id = (a.doc_id * 7 + 3) % (SELECT count(*) FROM documents)""",
+        LEFT JOIN documents b ON b.doc_id = (a.doc_id * 7 + 3) % (SELECT count(*) FROM documents)""",
     "raw_messages": """
         SELECT r.id, r.job_id, r.detected_intent,
                CASE WHEN k <> 7 THEN asked END AS message_input,
@@ -90,12 +91,12 @@ VIEWS = {
     "prompts": """
         SELECT batch, count(*) AS examples,
                $head || string_agg(
-                   'EXAMPLE ' || j || ':' || chr(10)
-                   || 'Customer message: ' || message_input || chr(10)
-                   || 'Detected intent: ' || detected_intent || chr(10)
-                   || 'AI suggestion: ' || message_output || chr(10)
-                   || 'Final response: ' || final_message_sent || chr(10)
-                   || 'Action: ' || sender_action, chr(10) || chr(10) ORDER BY j) || $tail AS prompt
+                   '## item ' || j || chr(10)
+                   || '[asked] ' || message_input || chr(10)
+                   || '[intent] ' || detected_intent || chr(10)
+                   || '[proposed] ' || message_output || chr(10)
+                   || '[sent] ' || final_message_sent || chr(10)
+                   || '[outcome] ' || sender_action, chr(10) || chr(10) ORDER BY j) AS prompt
         FROM batched GROUP BY batch""",
     "answers": """
         SELECT batch, j, shape, status,
@@ -258,6 +259,25 @@ BODIES = {
     "sample_messages": """
         SELECT id, job_id, detected_intent, sender_action, sender_id, created_at
         FROM flagged ORDER BY md5(id || ':42'), id LIMIT 5000""",
+    "sample_by_user": """
+        SELECT event_type, pick, user_id
+        FROM (SELECT event_type, user_id,
+                     row_number() OVER (PARTITION BY event_type
+                                        ORDER BY md5(user_id || ':42'), user_id) AS pick
+              FROM events)
+        WHERE pick <= 5""",
+    "sample_by_user_large": """
+        SELECT event_type, pick, user_id
+        FROM (SELECT event_type, user_id,
+                     row_number() OVER (PARTITION BY event_type
+                                        ORDER BY md5(user_id || ':42'), user_id) AS pick
+              FROM events)
+        WHERE pick <= 2000""",
+    "csv_messages": """
+        SELECT * REPLACE (nullif(message_input, '') AS message_input,
+                          nullif(message_output, '') AS message_output,
+                          nullif(final_message_sent, '') AS final_message_sent)
+        FROM raw_messages""",
     "time_features": """
         SELECT id, date, day_of_week, hour_of_day, week_of_year,
                CAST(month(date) AS INTEGER) AS month, monthname(date) AS month_name, day_part
@@ -287,6 +307,12 @@ BODIES = {
     "action_volumes_long": """
         SELECT date, variable, value
         FROM daily UNPIVOT (value FOR variable IN (accepted, edited, ignored, skipped))""",
+    "weekday_volumes_long": """
+        SELECT day_of_week, variable, value
+        FROM weekdays UNPIVOT (value FOR variable IN (accepted, edited, ignored, skipped))""",
+    "agent_volumes_long": """
+        SELECT sender_id, variable, value
+        FROM agents UNPIVOT (value FOR variable IN (accepted, edited, ignored, skipped))""",
     "time_summary": """
         SELECT round((SELECT sum(accepted) / sum(total_messages) * 100 FROM daily), 6)
                    AS overall_acceptance,
@@ -355,11 +381,25 @@ BODIES = {
                detected_intent, sender_action AS action, edit_distance
         FROM stored WHERE sender_action IN ('EDITED', 'IGNORED')""",
     "embed_texts": """
-        SELECT id, $dimensions AS dimensions, words,
-               CASE WHEN words > 0 THEN 1.0 ELSE 0.0 END AS norm
-        FROM (SELECT CAST(id AS VARCHAR) AS id,
-                     len(regexp_extract_all(lower(message_input), '[\\p{L}\\p{N}_]+')) AS words
-              FROM stored)""",
+        WITH embedded_texts AS (
+               SELECT 'customer_messages' AS collection, CAST(id AS VARCHAR) AS id,
+                      message_input AS text FROM stored
+               UNION ALL SELECT 'suggested_responses', 'sugg_' || id, message_output FROM stored
+               UNION ALL SELECT 'final_responses', 'final_' || id, final_message_sent FROM stored
+               UNION ALL SELECT 'rejected_pairs', id, embed_text FROM stored_pairs),
+             tokens AS (
+               SELECT collection, id,
+                      unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]+')) AS word
+               FROM embedded_texts),
+             hashed AS (
+               SELECT collection, id,
+                      CAST(CAST('0x' || substr(md5(word), 1, 8) AS BIGINT) % $dimensions AS INTEGER)
+                          AS place, count(*) AS n
+               FROM tokens GROUP BY ALL)
+        SELECT collection, id, place,
+               round(CAST(CAST(n / sqrt(sum(n * n) OVER (PARTITION BY collection, id)) AS FLOAT)
+                          AS DOUBLE), 5) AS value
+        FROM hashed""",
     "annotation_batches": """
         SELECT id, batch, j, detected_intent, sender_action AS action FROM batched""",
     "annotation_prompts": "SELECT * FROM prompts",
@@ -399,12 +439,11 @@ BODIES = {
         FROM answers""",
     "run_annotator": """
         SELECT id, batch, j,
-               CASE outcome WHEN 'ok' THEN CAST(length(prompt) AS VARCHAR) $failures END
+               CASE outcome WHEN 'ok' THEN length(prompt) || ':' || j $failures END
                    AS rejection_reason,
                CASE WHEN outcome <> 'ok' THEN outcome END AS rejection_category
         FROM (SELECT b.id, b.batch, b.j, prompt,
-                     CASE WHEN length(prompt) % 2 = 1 THEN 'error_api'
-                          WHEN b.j > 0 THEN 'error_missing' ELSE 'ok' END AS outcome
+                     CASE WHEN length(prompt) % 7 = 1 THEN 'error_api' ELSE 'ok' END AS outcome
               FROM batched b JOIN prompts p ON p.batch = b.batch)""",
     "load_analysis": "SELECT id, rejection_reason, rejection_category, cluster FROM analysis",
     "tfidf_vocab": "SELECT * FROM vocab",
@@ -430,6 +469,27 @@ BODIES = {
                           string_agg(coalesce(rejection_reason, 'Desconocido'), chr(10)
                                      ORDER BY pick) AS example_reasons
                    FROM examples GROUP BY cluster) e ON e.cluster = s.cluster""",
+    "insight_prompt": """
+        SELECT $insight_head || (
+                   SELECT string_agg('## cluster ' || s.cluster || ': ' || s.examples || ' rows' || chr(10)
+                                     || '[terms] ' || key_terms || chr(10) || coalesce(shown, ''),
+                                     chr(10) ORDER BY s.cluster)
+                   FROM sizes s
+                   JOIN (SELECT cluster, string_agg(term, ', ' ORDER BY rank) AS key_terms
+                         FROM heaviest WHERE rank <= 10 GROUP BY cluster) t ON t.cluster = s.cluster
+                   LEFT JOIN (SELECT cluster, string_agg(
+                                  '### example ' || pick || chr(10)
+                                  || '[asked] ' || customer_message || chr(10)
+                                  || '[proposed] ' || suggested_response || chr(10)
+                                  || '[sent] ' || final_response || chr(10)
+                                  || '[reason] ' || coalesce(rejection_reason, 'N/A'),
+                                  chr(10) ORDER BY pick) AS shown
+                              FROM examples GROUP BY cluster) e ON e.cluster = s.cluster)
+               || chr(10) || '## categories' || chr(10) || (
+                   SELECT string_agg('- ' || rejection_category || ': ' || n, chr(10)
+                                     ORDER BY n DESC, rejection_category)
+                   FROM (SELECT rejection_category, count(*) AS n FROM analysis
+                         GROUP BY rejection_category)) AS prompt""",
     "flatten_insights": """
         WITH d AS (SELECT doc_id AS id, text, lang, source, string_split(text, chr(10)) AS lines
                    FROM documents),
@@ -471,8 +531,8 @@ def _filled(sql: str) -> str:
     values = {
         "$stats": STATS,
         "$flags": FLAGS,
-        "$head": _literal(PROMPT_HEAD + "\n\n"),
-        "$tail": _literal("\n\n" + PROMPT_TAIL),
+        "$head": _literal(f"{INSTRUCTIONS}\n\n{CONTRACT}\n\n"),
+        "$insight_head": _literal(f"{insights.INSTRUCTIONS}\n\n{insights.CONTRACT}\n\n"),
         "$dimensions": str(DIMENSIONS),
         "$stop_words": ", ".join(map(_literal, STOP_WORDS)),
         "$failures": " ".join(
@@ -502,9 +562,11 @@ def oracle_sql() -> dict[str, str]:
     for name, body in BODIES.items():
         views = [f"{view} AS ({VIEWS[view]})" for view in _needed(body)]
         inner = body.strip()
-        if inner.startswith("WITH ") or not views:
-            statement = inner
-        else:
+        if views and inner.startswith("WITH "):
+            statement = f"WITH {', '.join(views)}, {inner.removeprefix('WITH ')}"
+        elif views:
             statement = f"WITH {', '.join(views)} {inner}"
+        else:
+            statement = inner
         statements[name] = _filled(statement)
     return statements

@@ -5,7 +5,6 @@ from __future__ import annotations
 import json
 from collections.abc import Callable
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from replylens.operators import (
@@ -18,7 +17,10 @@ from replylens.operators import (
     timestats,
     topics,
 )
+from replylens.functions.columns import stable_hash
+from replylens.functions.ordering import per_group_sample
 from replylens.schema import ACTION_FLAGS
+from replylens.session import cut_lineage
 from replylens.sources import driver_tables as tables
 from replylens.sources.messages import repair_analysis
 
@@ -39,6 +41,10 @@ def scan_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.raw_messages(spark, sf_dir)
 
 
+def csv_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tables.csv_log(spark, sf_dir)
+
+
 def clean_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.messages(spark, sf_dir)
 
@@ -113,6 +119,21 @@ def sample_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _sample_by_user(spark: SparkSession, sf_dir: str, n: int) -> DataFrame:
+    """A log whose key repeats: events by user, sampled for each kind of event."""
+    events = tables.table(spark, sf_dir, "events").select("event_type", "user_id", "event_id")
+    picked = per_group_sample(events, "event_type", "user_id", stable_hash("user_id"), n)
+    return picked.select("event_type", "pick", "user_id")
+
+
+def sample_by_user(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _sample_by_user(spark, sf_dir, 5)
+
+
+def sample_by_user_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _sample_by_user(spark, sf_dir, 2000)
+
+
 # Time statistics
 
 
@@ -165,6 +186,14 @@ def action_volumes_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     return timestats.action_volumes_long(timestats.daily_stats(_measures(spark, sf_dir)), "date")
 
 
+def weekday_volumes_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return timestats.action_volumes_long(timestats.weekday_stats(_measures(spark, sf_dir)), "day_of_week")
+
+
+def agent_volumes_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return timestats.action_volumes_long(timestats.agent_stats(_measures(spark, sf_dir)), "sender_id")
+
+
 def time_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     summary = timestats.time_summary(_measures(spark, sf_dir))
     return summary.withColumn("overall_acceptance", F.round("overall_acceptance", 6))
@@ -219,7 +248,7 @@ def upsert_collection(spark: SparkSession, sf_dir: str) -> DataFrame:
         .withColumn("sequence", F.lit(1))
     )
     incoming = first.filter("document LIKE '%the%'").unionByName(second).unionByName(new)
-    return collections.upsert(existing, incoming, order=F.col("sequence"))
+    return collections.upsert(existing, cut_lineage(incoming, "incoming"), order=F.col("sequence"))
 
 
 def fetch_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -232,18 +261,19 @@ def parse_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def embed_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Vectors of the customer messages, reported by width, word count and length."""
-    texts = collections.customer_messages(tables.comparison(spark, sf_dir)).select("id", "document")
-    vectors = embedding.term_counts(embedding.embed(texts, "document"), "document")
-    words = F.aggregate(vector_to_array("_counts"), F.lit(0.0), lambda total, n: total + n)
-    square = F.aggregate(
-        "embedding", F.lit(0.0), lambda total, v: total + v.cast("double") * v.cast("double")
+    """The entries, other than zero, of the vectors of all four collections."""
+    parts = collections.project_collections(cut_lineage(tables.comparison(spark, sf_dir), "comparison"))
+    texts = [
+        part.select(F.lit(name).alias("collection"), "id", "embed_text") for name, part in parts.items()
+    ]
+    united = texts[0]
+    for part in texts[1:]:
+        united = united.unionByName(part)
+    entries = F.transform(
+        "embedding", lambda v, i: F.struct(i.alias("place"), F.round(v.cast("double"), 5).alias("value"))
     )
-    return vectors.select(
-        "id",
-        F.size("embedding").alias("dimensions"),
-        words.cast("long").alias("words"),
-        F.round(F.sqrt(square), 4).alias("norm"),
+    return embedding.embed(united, "embed_text").select(
+        "collection", "id", F.inline(F.filter(entries, lambda e: e["value"] != 0))
     )
 
 
@@ -251,7 +281,7 @@ def embed_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _batched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return annotation.annotation_batches(tables.pairs(spark, sf_dir))
+    return annotation.annotation_batches(cut_lineage(tables.pairs(spark, sf_dir), "pairs"))
 
 
 def _classified(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -279,7 +309,7 @@ def quarantine_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def attach_annotations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    batched = _batched(spark, sf_dir)
+    batched = cut_lineage(_batched(spark, sf_dir), "batches")
     classified = annotation.classify_replies(tables.scripted_replies(batched))
     return annotation.attach_annotations(batched, classified).select(
         "id",
@@ -294,12 +324,13 @@ def attach_annotations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def run_annotator(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The annotator hook with a stand-in that measures its prompt and fails on odd lengths."""
+    """The annotator hook with a stand-in that answers every item and fails on some lengths."""
 
     def measure(prompt: str) -> str:
-        if len(prompt) % 2:
+        if len(prompt) % 7 == 1:
             raise TimeoutError
-        return json.dumps([{"id": 0, "rejection_reason": str(len(prompt))}])
+        items = range(annotation.BATCH_SIZE)
+        return json.dumps([{"id": j, "rejection_reason": f"{len(prompt)}:{j}"} for j in items])
 
     annotated = annotation.annotate_pairs(tables.pairs(spark, sf_dir), measure, backoff_seconds=0)
     return annotated.select("id", "batch", "j", "rejection_reason", "rejection_category")
@@ -323,7 +354,9 @@ def tfidf_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _vectors(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, topics.TermSpace]:
-    reasons = _analysis(spark, sf_dir).select("id", "cluster", "rejection_reason")
+    reasons = cut_lineage(
+        _analysis(spark, sf_dir).select("id", "cluster", "rejection_reason"), "reasons"
+    )
     space = topics.fit_terms(reasons)
     return topics.tfidf_vectors(reasons, space), space
 
@@ -358,12 +391,14 @@ def category_by_cluster(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cluster_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return topics.cluster_examples(_analysis(spark, sf_dir), clusters=topics.CLUSTERS)
+    return topics.cluster_examples(_analysis(spark, sf_dir))
 
 
 def cluster_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    terms = topics.cluster_terms(*_vectors(spark, sf_dir))
-    summary = topics.cluster_summary(_analysis(spark, sf_dir), terms, clusters=topics.CLUSTERS)
+    rows = cut_lineage(_analysis(spark, sf_dir), "analysis")
+    space = topics.fit_terms(rows)
+    vectors = topics.tfidf_vectors(rows.select("cluster", "rejection_reason"), space)
+    summary = topics.cluster_summary(rows, topics.cluster_terms(vectors, space))
     return summary.select(
         "cluster",
         "examples",
@@ -376,6 +411,18 @@ def cluster_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def insight_prompt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = cut_lineage(_analysis(spark, sf_dir), "analysis")
+    space = topics.fit_terms(rows)
+    vectors = topics.tfidf_vectors(rows.select("cluster", "rejection_reason"), space)
+    return insights.insight_prompt(
+        topics.cluster_counts(rows),
+        topics.cluster_terms(vectors, space),
+        topics.cluster_examples(rows),
+        topics.category_distribution(rows),
+    )
+
+
 def pca_2d(spark: SparkSession, sf_dir: str) -> DataFrame:
     plane = embedding.project_2d(tables.table(spark, sf_dir, "embeddings"), "embedding")
     return plane.select("vec_id", "label", "x_pca", "y_pca")
@@ -391,6 +438,7 @@ def quarantine_insights(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 REGISTERED: list[Query] = [
     scan_messages,
+    csv_messages,
     clean_messages,
     action_flags,
     edit_distance,
@@ -405,6 +453,8 @@ REGISTERED: list[Query] = [
     presence_counts,
     sample_by_action,
     sample_messages,
+    sample_by_user,
+    sample_by_user_large,
     time_features,
     daily_stats,
     weekday_stats,
@@ -416,6 +466,8 @@ REGISTERED: list[Query] = [
     intent_trend_top5,
     weekly_stats,
     action_volumes_long,
+    weekday_volumes_long,
+    agent_volumes_long,
     time_summary,
     agent_summary,
     collection_customer,
@@ -444,6 +496,7 @@ REGISTERED: list[Query] = [
     category_by_cluster,
     cluster_examples,
     cluster_summary,
+    insight_prompt,
     pca_2d,
     flatten_insights,
     quarantine_insights,

@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-import logging
-import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-log = logging.getLogger(__name__)
-
 # Sizes that depend on the cluster (executors, shuffle partitions) are left to
 # spark-submit; these are the switches every job wants.
 SETTINGS = {
@@ -29,23 +26,26 @@ def build_session(app: str = "replylens", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Checkpoint ``df`` in the shared folder that ``spark.checkpoint.dir`` names.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors see: ``spark.checkpoint.dir``, or one in the warehouse."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    return (named or f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints").rstrip("/")
+
+
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A path of its own in the shared folder; what is in it goes when the driver ends."""
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
+    return path
+
+
+def cut_lineage(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write ``df`` to the shared folder and read it back.
 
-    Iterative fits read their input dozens of times; a reliable checkpoint means a
-    lost executor re-reads files instead of replaying tokenisation. A folder of our
-    own is set only for a local master with nothing configured; on a cluster
-    without the setting the frame keeps its lineage and is only persisted.
+    What is read often, or by several parts of a plan, is then computed once, and a lost
+    executor costs a re-read of files instead of a replay.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        configured = spark.conf.get("spark.checkpoint.dir", None)
-        if configured:
-            context.setCheckpointDir(configured)
-        elif context.master.startswith("local"):
-            context.setCheckpointDir(tempfile.mkdtemp(prefix="replylens-checkpoint-"))
-        else:
-            log.warning("spark.checkpoint.dir is not set; persisting instead of checkpointing")
-            return df.persist()
-    return df.checkpoint()
+    path = new_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

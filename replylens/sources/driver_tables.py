@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from replylens.operators.cleaning import clean_messages, comparison_set
-from replylens.operators.collections import pair_items
+from replylens.operators.collections import rejected_pairs, stored_pair_items
+from replylens.sources.messages import CSV_OPTIONS, convert_text
 
 
 def _number() -> Column:
@@ -23,16 +24,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents, spread over the cores where they come in fewer files than that.
+    """The documents dealt out by their id, which is also what most queries join them on.
 
     A file with a single row group is read by one task, and all work on its long texts
-    would stay there. A table of many files is left as it is, without a shuffle.
+    would stay there.
     """
-    documents = table(spark, sf_dir, "documents")
-    cores = spark.sparkContext.defaultParallelism
-    if len(documents.inputFiles()) >= cores:
-        return documents
-    return documents.repartition(cores, "doc_id")
+    return table(spark, sf_dir, "documents").repartition("doc_id")
 
 
 def _event_columns(events: DataFrame) -> DataFrame:
@@ -71,7 +68,7 @@ def text_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     asked = documents.select("doc_id", F.col("text").alias("asked"))
     suggested = documents.select(F.col("doc_id").alias("reply_id"), F.col("text").alias("suggested"))
     return asked.join(
-        suggested, F.pmod(F.col("doc_id") * 7 + 3, size) == F.col("reply_id")
+        suggested, F.pmod(F.col("doc_id") * 7 + 3, size) == F.col("reply_id"), "left"
     ).drop("reply_id")
 
 
@@ -120,8 +117,19 @@ def comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All rejected pairs of the comparison set as columns."""
-    return pair_items(comparison(spark, sf_dir))
+    """All rejected pairs as columns, from the collection's rows."""
+    return stored_pair_items(rejected_pairs(comparison(spark, sf_dir)))
+
+
+def csv_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw log as lines of CSV, then parsed with the reader's options and conversion."""
+    raw = raw_messages(spark, sf_dir)
+    texts = [F.col(c).cast("string").alias(c) for c in raw.columns]
+    options = {**CSV_OPTIONS, "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    lines = raw.select(F.to_csv(F.struct(*texts), options).alias("line"))
+    schema = ", ".join(f"{c} string" for c in raw.columns)
+    parsed = lines.select(F.from_csv("line", schema, options).alias("row")).select("row.*")
+    return convert_text(parsed)
 
 
 def reread_log(spark: SparkSession, sf_dir: str) -> DataFrame:

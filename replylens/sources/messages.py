@@ -5,8 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.utils import AnalysisException
 
-from replylens.operators.cleaning import clean_messages
-from replylens.schema import MESSAGE_SCHEMA, TIME_COLUMNS, TIME_STEP_COLUMNS, require_columns
+from replylens.operators.cleaning import clean_messages, with_action_flags
+from replylens.schema import (
+    ACTION_FLAGS,
+    MESSAGE_SCHEMA,
+    TEXT_COLUMNS,
+    TIME_COLUMNS,
+    TIME_STEP_COLUMNS,
+    require_columns,
+)
 
 UNKNOWN_CATEGORY = "desconocido"
 
@@ -18,6 +25,9 @@ MISSING_MARKERS = [
 ]
 
 
+CSV_OPTIONS = {"quote": '"', "escape": '"', "nullValue": "", "encoding": "UTF-8"}
+
+
 def scan_messages_csv(
     spark: SparkSession,
     path: str,
@@ -29,24 +39,24 @@ def scan_messages_csv(
     Quoted line breaks need ``multi_line``, which makes each file one task: a large
     log should come as many files, or without line breaks and ``multi_line=False``.
     Timestamps are read as text and coerced per value, so one bad value does not void
-    the row. Fields holding one of the ``missing`` markers are null.
+    the row. Fields holding one of the ``missing`` markers are null, but for the texts of
+    messages: there a marker is what somebody wrote.
     """
-    raw = _read_csv(spark, path, multi_line)
-    marked = raw.select(*(F.when(~F.col(c).isin(missing), F.col(c)).alias(c) for c in raw.columns))
-    return _typed(marked)
+    return convert_text(_read_csv(spark, path, multi_line), missing)
+
+
+def convert_text(raw: DataFrame, missing: list[str] = MISSING_MARKERS) -> DataFrame:
+    """Columns that are all text, as a flat file gives them, with the types of the log."""
+    typed_only = [
+        F.col(c) if c in TEXT_COLUMNS else F.when(~F.col(c).isin(missing), F.col(c)).alias(c)
+        for c in raw.columns
+    ]
+    return _typed(raw.select(*typed_only))
 
 
 def _read_csv(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:
     # Without inference every column is text; the header decides which is which.
-    return (
-        spark.read.option("header", True)
-        .option("multiLine", multi_line)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("nullValue", "")
-        .option("encoding", "UTF-8")
-        .csv(path)
-    )
+    return spark.read.options(header=True, multiLine=multi_line, **CSV_OPTIONS).csv(path)
 
 
 def _typed(raw: DataFrame) -> DataFrame:
@@ -66,9 +76,14 @@ def _typed(raw: DataFrame) -> DataFrame:
     return raw.withColumns(typed)
 
 
-def load_messages(spark: SparkSession, path: str, format: str = "csv") -> DataFrame:
+def load_messages(
+    spark: SparkSession, path: str, format: str = "csv", multi_line: bool = True
+) -> DataFrame:
     """The cleaned log from CSV, Parquet or any other format Spark reads."""
-    raw = scan_messages_csv(spark, path) if format == "csv" else spark.read.format(format).load(path)
+    if format == "csv":
+        raw = scan_messages_csv(spark, path, multi_line)
+    else:
+        raw = spark.read.format(format).load(path)
     return clean_messages(raw)
 
 
@@ -104,16 +119,21 @@ def resolve_time_input(
     in_memory: DataFrame | None = None,
     cleaned_path: str | None = None,
     raw_path: str | None = None,
+    format: str = "csv",
+    multi_line: bool = True,
 ) -> DataFrame:
-    """Input of the time step: a frame at hand, the stored cleaned log, or the raw CSV.
+    """Input of the time step: a frame at hand, the stored cleaned log, or the raw log.
 
-    Always the full log: the not-accepted subset would make every rate zero.
+    Always the full log: the not-accepted subset would make every rate zero. Flags of the
+    outcome are derived where the frame has only the outcome.
     """
     df = in_memory
     if df is None and cleaned_path is not None:
         df = read_stored(spark, cleaned_path)
     if df is None and raw_path is not None:
-        df = load_messages(spark, raw_path)
+        df = load_messages(spark, raw_path, format, multi_line)
     if df is None:
         raise FileNotFoundError("no cleaned log and no raw log to analyse")
+    if "sender_action" in df.columns and not set(ACTION_FLAGS.values()) <= set(df.columns):
+        df = with_action_flags(df)
     return require_columns(df, TIME_STEP_COLUMNS)

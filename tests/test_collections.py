@@ -114,6 +114,42 @@ def test_versions_on_disk(spark, tmp_path):
     assert stored == {"a": "2", "b": "3"}
 
 
+def test_the_later_row_of_a_load_wins(spark, log, tmp_path):
+    times = ["2024-01-01", "2024-01-03", "2024-01-02"]
+    rows = log(
+        *({"id": 7, "sender_action": "EDITED", "message_input": text} for text in ("zzz-old", "aaa-new", "mmm"))
+    )
+    cleaned = cleaning.clean_messages(rows.withColumn("synced_at", F.expr(
+        "CASE message_input " + " ".join(f"WHEN '{m}' THEN timestamp_ntz'{t}'" for m, t in zip(("zzz-old", "aaa-new", "mmm"), times)) + " END"
+    )))
+    root = str(tmp_path / "c")
+    writers.upsert_collection(collections.build_collections(cleaned)["customer_messages"], root)
+    assert [r["document"] for r in writers.read_collection(spark, root).collect()] == ["aaa-new"]
+
+
+def test_a_failed_load_changes_nothing(spark, tmp_path):
+    root = str(tmp_path / "collection")
+    writers.upsert_collection(docs(spark, a="1", b="1"), root)
+    broken = docs(spark, a="2").withColumn("document", F.raise_error(F.lit("stop")))
+    with pytest.raises(Exception, match="stop"):
+        writers.upsert_collection(broken, root)
+    assert {r["id"]: r["document"] for r in writers.read_collection(spark, root).collect()} == {"a": "1", "b": "1"}
+    (tmp_path / "collection" / "commits" / "2").mkdir()
+    assert writers.read_collection(spark, root).count() == 2
+
+
+def test_only_touched_buckets_are_written_and_old_ones_go(spark, tmp_path):
+    root = tmp_path / "collection"
+    writers.upsert_collection(docs(spark, **{f"k{i}": "0" for i in range(300)}), str(root))
+    for n in range(1, 5):
+        assert writers.upsert_collection(docs(spark, k1=str(n)), str(root), keep=2) == n + 1
+    folders = [len([b for b in f.iterdir() if b.name.startswith("bucket=")]) for f in (root / "data").iterdir()]
+    assert sorted(folders) == [1, 1, 64] or sorted(folders)[:-1] == [1, 1]
+    assert len([c for c in (root / "commits").iterdir() if c.name.isdigit()]) == 2
+    rows = {r["id"]: r["document"] for r in writers.read_collection(spark, str(root)).collect()}
+    assert len(rows) == 300 and rows["k1"] == "4" and rows["k2"] == "0"
+
+
 def test_default_vectors_are_unit_length_counts(spark):
     df = docs(spark, a="Hola hola mundo", b="", c=None, d="hola HOLA mundo")
     rows = {r["id"]: np.array(r["embedding"]) for r in embedding.embed(df, "document").collect()}
@@ -139,7 +175,8 @@ def test_built_collections_have_the_stored_columns(cleaned):
     parts = collections.build_collections(cleaned)
     assert set(parts) == set(collections.COLLECTIONS)
     for part in parts.values():
-        assert part.columns == ["id", "embedding", "document", "metadata"]
+        assert part.columns[:4] == ["id", "embedding", "document", "metadata"]
+    assert parts["rejected_pairs"].columns[4:] == collections.EXTRAS
 
 
 def test_projection_matches_numpy(spark):

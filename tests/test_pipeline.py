@@ -3,9 +3,10 @@ import json
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from replylens.plans import pipeline
-from replylens.schema import MissingColumnsError
+from replylens.schema import ACTION_FLAGS, MissingColumnsError
 from replylens.sources import messages as sources, writers
 
 HEADER = [
@@ -91,12 +92,47 @@ def test_all_steps(spark, raw_csv, call, tmp_path):
 def test_missing_markers_read_as_null(spark, tmp_path):
     path = tmp_path / "log.csv"
     path.write_text('id,message_input,sender_action\n1,N/A,None\n2,"nada",null\n3,NA pues,ACCEPTED\n')
-    rows = {r["id"]: r["message_input"] for r in sources.scan_messages_csv(spark, str(path)).collect()}
-    assert rows == {1: None, 2: "nada", 3: "NA pues"}
+    rows = {r["id"]: (r["message_input"], r["sender_action"]) for r in sources.scan_messages_csv(spark, str(path)).collect()}
+    assert rows == {1: ("N/A", None), 2: ("nada", None), 3: ("NA pues", "ACCEPTED")}
     kept = sources.scan_messages_csv(spark, str(path), missing=[""]).filter("id = 1").first()
     assert (kept["message_input"], kept["sender_action"]) == ("N/A", "None")
 
 
+def test_prompts_hold_whole_texts(spark, raw_csv, call, tmp_path):
+    out = str(tmp_path / "out")
+    pipeline.run(spark, raw_csv, out, call=call, steps=["preprocess", "embed", "analyze"])
+    batches = spark.read.parquet(f"{out}/annotation/batches").collect()
+    assert len(batches) == 40
+    assert all(r["customer_message"] == f'pregunta {r["id"][5:]}, con "comillas"\ny línea' for r in batches)
+
+
+def test_a_sample_does_not_reach_the_statistics(spark, raw_csv, tmp_path):
+    out = str(tmp_path / "out")
+    pipeline.run(spark, raw_csv, out, steps=["preprocess", "time"], sample_size=10)
+    assert spark.read.parquet(f"{out}/messages").count() == 100
+    assert spark.read.parquet(f"{out}/sample").count() == 10
+    daily = spark.read.option("header", True).csv(f"{out}/time/daily_stats")
+    assert sum(int(r["total_messages"]) for r in daily.collect()) == 99
+
+
+def test_flags_are_derived_for_the_time_step(spark, raw_csv):
+    cleaned = sources.load_messages(spark, raw_csv)
+    bare = cleaned.drop(*ACTION_FLAGS.values()).withColumn("sender_action", F.lower("sender_action"))
+    ready = sources.resolve_time_input(spark, bare)
+    assert ready.filter("suggestion_edited").count() == cleaned.filter("suggestion_edited").count() == 20
+
+
+def test_the_insight_prompt_is_answered(spark, raw_csv, call, tmp_path):
+    out = str(tmp_path / "out")
+    pipeline.run(
+        spark, raw_csv, out, call=call, steps=["preprocess", "embed", "analyze", "insights"],
+        insight_call=lambda prompt: json.dumps({"resumen_ejecutivo": prompt[-12:], "hallazgos_clave": ["h"]}),
+    )
+    prompt = spark.read.parquet(f"{out}/insights/prompt").first()["prompt"]
+    assert "## cluster 0: " in prompt and "[reason] falta precio" in prompt and "- tono: " in prompt
+    assert spark.read.parquet(f"{out}/insights/report").count() == 2
+
+
 def test_steps_need_what_comes_before(spark, call, tmp_path):
     out = str(tmp_path / "out")
     for step in (pipeline.embed_step, lambda s, o: pipeline.analyze(s, o, call), pipeline.insights_step):
