@@ -1,4 +1,8 @@
-"""DuckDB SQL of the queries that SQL can express."""
+"""DuckDB SQL of the queries that SQL can express.
+
+The others are fitted or use tokenizers, vectors or a search, which SQL has not (or not at
+a bearable cost): the tests compare them with brute force.
+"""
 
 from __future__ import annotations
 
@@ -15,6 +19,49 @@ FROM digests
 WINDOW same AS (PARTITION BY text_sha256)
 """
 
+WARC = """
+WITH payloads AS (
+  SELECT page_id,
+         octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+         sha256(coalesce(html, '')) AS payload_digest
+  FROM pages
+), firsts AS (
+  SELECT *,
+         min(page_id) OVER (PARTITION BY payload_digest) AS first_id,
+         payload_bytes >= 100 AND page_id <> min(page_id) OVER (PARTITION BY payload_digest) AS again
+  FROM payloads
+)
+SELECT page_id,
+       CAST(payload_bytes AS BIGINT) AS payload_bytes,
+       payload_digest,
+       CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN again THEN first_id END AS refers_to
+FROM firsts
+"""
+
+# Marks of a turn take 13 characters; marked characters in roles and texts take one more.
+CHAT_FORMAT = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+), sized AS (
+  SELECT *,
+         13 + length(role) + length(text)
+            + length(regexp_replace(role || text, '[^\\<\[|]', '', 'g')) AS chars,
+         CASE WHEN role = 'assistant' THEN text ELSE '' END AS learned
+  FROM turns
+)
+SELECT conv_id,
+       count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(sum(length(learned)) AS BIGINT) AS loss_chars,
+       sha256(string_agg(learned, '' ORDER BY turn, role, text)) AS loss_sha256,
+       CAST(sum(chars) AS BIGINT) AS formatted_chars
+FROM sized
+GROUP BY conv_id
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_exact_dedup": EXACT_DEDUP}
+    return {"op5_chat_format": CHAT_FORMAT, "op8_warc": WARC, "op9_exact_dedup": EXACT_DEDUP}
