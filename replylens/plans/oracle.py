@@ -490,6 +490,46 @@ BODIES = {
                                      ORDER BY n DESC, rejection_category)
                    FROM (SELECT rejection_category, count(*) AS n FROM analysis
                          GROUP BY rejection_category)) AS prompt""",
+    # The axes of the covariance matrix by repeated squaring, the second after taking out the first.
+    "pca_2d": """
+        WITH RECURSIVE entries AS (
+               SELECT vec_id, unnest(generate_series(1, len(embedding))) AS i,
+                      CAST(unnest(embedding) AS DOUBLE) AS v FROM embeddings),
+             centred AS (SELECT vec_id, i, v - avg(v) OVER (PARTITION BY i) AS v FROM entries),
+             covariance AS (
+               SELECT a.i, b.i AS j, sum(a.v * b.v) AS c FROM centred a JOIN centred b USING (vec_id) GROUP BY a.i, b.i),
+             powers AS (
+               SELECT 0 AS k, i, j, c / max(abs(c)) OVER () AS c FROM covariance
+               UNION ALL
+               SELECT k, i, j, c / max(abs(c)) OVER () FROM (
+                 SELECT any_value(a.k) + 1 AS k, a.i, b.j, sum(a.c * b.c) AS c
+                 FROM powers a JOIN powers b ON a.j = b.i WHERE a.k < 20 GROUP BY a.i, b.j)),
+             first_column AS (
+               SELECT i, c FROM powers WHERE k = 20 AND j = (
+                 SELECT i FROM powers WHERE k = 20 AND i = j ORDER BY c DESC, i LIMIT 1)),
+             first_axis AS (SELECT i, sign(max_by(c, abs(c)) OVER ()) * c / sqrt(sum(c * c) OVER ()) AS c FROM first_column),
+             value AS (
+               SELECT sum(f.c * m.c * g.c) AS v FROM covariance m JOIN first_axis f ON f.i = m.i JOIN first_axis g ON g.i = m.j),
+             rest AS (
+               SELECT m.i, m.j, m.c - v * f.c * g.c AS c
+               FROM covariance m JOIN first_axis f ON f.i = m.i JOIN first_axis g ON g.i = m.j, value),
+             rest_powers AS (
+               SELECT 0 AS k, i, j, c / max(abs(c)) OVER () AS c FROM rest
+               UNION ALL
+               SELECT k, i, j, c / max(abs(c)) OVER () FROM (
+                 SELECT any_value(a.k) + 1 AS k, a.i, b.j, sum(a.c * b.c) AS c
+                 FROM rest_powers a JOIN rest_powers b ON a.j = b.i WHERE a.k < 20 GROUP BY a.i, b.j)),
+             second_column AS (
+               SELECT i, c FROM rest_powers WHERE k = 20 AND j = (
+                 SELECT i FROM rest_powers WHERE k = 20 AND i = j ORDER BY c DESC, i LIMIT 1)),
+             second_axis AS (SELECT i, sign(max_by(c, abs(c)) OVER ()) * c / sqrt(sum(c * c) OVER ()) AS c FROM second_column),
+             plane AS (
+               SELECT vec_id, sum(v * f.c) AS x, sum(v * s.c) AS y
+               FROM centred n JOIN first_axis f ON f.i = n.i JOIN second_axis s ON s.i = n.i GROUP BY vec_id)
+        SELECT vec_id, label,
+               round(x, 4) + 0.0 AS x_pca,
+               round(y, 4) + 0.0 AS y_pca
+        FROM plane JOIN embeddings USING (vec_id)""",
     "flatten_insights": """
         WITH d AS (SELECT doc_id AS id, text, lang, source, string_split(text, chr(10)) AS lines
                    FROM documents),

@@ -425,7 +425,10 @@ def insight_prompt(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pca_2d(spark: SparkSession, sf_dir: str) -> DataFrame:
     plane = embedding.project_2d(tables.table(spark, sf_dir, "embeddings"), "embedding")
-    return plane.select("vec_id", "label", "x_pca", "y_pca")
+    # Adding zero turns a negative zero into a plain one.
+    return plane.select(
+        "vec_id", "label", *((F.round(c, 4) + F.lit(0.0)).alias(c) for c in ("x_pca", "y_pca"))
+    )
 
 
 def flatten_insights(spark: SparkSession, sf_dir: str) -> DataFrame:
