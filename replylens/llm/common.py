@@ -1,39 +1,13 @@
-"""Helpers of the pipeline operators: stored tables, small columns, batch functions."""
+"""Helpers of the pipeline operators; tables are stored with the library's ``cut_lineage``."""
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-NULL_ID = "null-safe"
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors see: ``spark.checkpoint.dir``, or one in the warehouse."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    return (named or f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints").rstrip("/")
-
-
-def new_folder(spark: SparkSession, name: str) -> str:
-    """A path of its own in the shared folder; what is in it goes when the driver ends."""
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
-    return path
-
-
-def store(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back, which cuts its lineage.
-
-    A lost executor then costs a re-read of files, and values that depend on how rows
-    were dealt out (numbers, first of ties) stay the same for every reader.
-    """
-    path = new_folder(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+from replylens.session import cut_lineage as store, new_folder  # noqa: F401
 
 
 def same(left: Column, right: Column) -> Column:

@@ -24,6 +24,7 @@ LANGUAGE_SHARE = 1000  # a language with less than one of so many labelled rows
 MIN_WORDS = 50
 MIN_WORDS_FOR_WORDS = 100  # fewer words are too few for a histogram of words
 MAX_CLASS_DISTANCE = 0.25
+SLACK_WORDS = 20  # a text of n words may be further away by the share SLACK_WORDS / n
 MAX_WORD_DISTANCE = 0.5
 FLUSH_WORDS = 500_000
 
@@ -201,6 +202,7 @@ class Judge:
         repeats = repeated_words(words)
         failed = len(words) < MIN_WORDS or 100 * repeats > 50 * len(words)
         language, by_class, by_word = self.distances(text, body, len(words))
+        slack = 1 + SLACK_WORDS / max(len(words), 1)
         return (
             len(words),
             len(text) - blanks,
@@ -208,7 +210,7 @@ class Judge:
             len(lines) - len(set(lines)),
             repeats,
             failed,
-            not failed and by_class <= self.max_class and by_word <= self.max_word,
+            not failed and by_class <= self.max_class * slack and by_word <= self.max_word * slack,
             language,
             by_class,
             by_word,
@@ -227,7 +229,8 @@ def quality_rules(
     of ``VERDICT``.
 
     A document that passes the base rules is rejected if its histograms lie further than
-    ``max_class`` or ``max_word`` from the nearest language reference. Documents under
+    ``max_class`` or ``max_word`` from the nearest language reference; histograms of short
+    texts vary more by chance, so their limits are wider. Documents under
     ``MIN_WORDS`` words have no distances (0), those under ``MIN_WORDS_FOR_WORDS`` only the
     one of character classes. A null or empty text has no words and fails. Repeated rows
     are judged one by one, ids (null included) are passed on; other columns are not read.
