@@ -28,7 +28,7 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents that are linked by five-word shingles at 0.8 or more, the smallest id."""
-    return jaccard.keep_one_of_each(docs, words=5, percent=80)
+    return jaccard.keep_one_of_each(docs, words=5, percent=80, store_cells=False)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
