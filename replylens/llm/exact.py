@@ -145,12 +145,19 @@ def drop_exact_duplicates(
 ) -> DataFrame:
     """The rows of ``df`` that stay, with its columns. Of repeated rows (same id, same text)
     the one stays whose other columns come first in sorted order."""
-    stay = exact_duplicates(df, id_col, text_col).filter("kept").select(
-        F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha")
+    flags = exact_duplicates(df, id_col, text_col)
+    stay = store(
+        flags.groupBy(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha"))
+        .agg(F.max("kept").alias("kept"), F.count("*").alias("copies")).filter("kept"),
+        "kept",
     )
     sha = F.sha2(F.coalesce(F.col(text_col), F.lit("")).cast("binary"), 256)
-    kept = df.select(F.struct("*").alias("__row"), F.col(id_col).alias("__of"), sha.alias("__text")).join(
-        store(stay, "kept"), same(F.col("__of"), F.col("__id")) & (F.col("__text") == F.col("__sha"))
-    )
+    packed = df.select(F.struct("*").alias("__row"), F.col(id_col).alias("__of"), sha.alias("__text"))
+    match = same(F.col("__of"), F.col("__id")) & (F.col("__text") == F.col("__sha"))
+    single = packed.join(stay.filter("copies = 1"), match)
     order = Window.partitionBy("__id", "__sha").orderBy(F.to_json("__row"))
-    return kept.withColumn("__n", F.row_number().over(order)).filter("__n = 1").select("__row.*")
+    repeated = (
+        packed.join(stay.filter("copies > 1"), match)
+        .withColumn("__n", F.row_number().over(order)).filter("__n = 1")
+    )
+    return single.select("__row.*").unionByName(repeated.select("__row.*"))
