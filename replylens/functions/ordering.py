@@ -14,16 +14,17 @@ SAMPLE_DIGITS = 5
 SALTS = 64
 
 
-def smallest_n(df: DataFrame, key: str, n: int) -> DataFrame:
+def smallest_n(df: DataFrame, key: str, n: int, keys: DataFrame | None = None) -> DataFrame:
     """The ``n`` rows with the smallest ``key`` (unique), in key order.
 
     The cut-off key is found on the key column alone and comes back as a scalar
     subquery, so the wide read is filtered at the scan instead of sending ``n``
-    wide rows per partition to the final task.
+    wide rows per partition to the final task. ``keys`` is a frame with the keys of ``df``
+    that is cheaper to read, for instance without the joins that bring the wide columns.
     """
     if n <= 0:
         return df.limit(0)
-    cutoff = df.select(key).orderBy(key).limit(n).agg(F.max(key)).scalar()
+    cutoff = (df if keys is None else keys).select(key).orderBy(key).limit(n).agg(F.max(key)).scalar()
     return df.filter(F.col(key) <= cutoff).orderBy(key).limit(n)
 
 

@@ -76,7 +76,9 @@ def coerce_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def preview_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profiling.preview_rejects(tables.messages(spark, sf_dir))
+    return profiling.preview_rejects(
+        tables.messages(spark, sf_dir), keys=tables.actions(spark, sf_dir)
+    )
 
 
 def date_range(spark: SparkSession, sf_dir: str) -> DataFrame:
