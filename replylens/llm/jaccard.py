@@ -27,7 +27,7 @@ from replylens.llm.common import map_batches, same, store
 
 WORDS = 3
 PERCENT = 90
-SPARE_CELLS = 2  # up to so many cells of a set may be empty and the others still suffice
+COMMON = 20  # rows of a list from which on it counts as common
 LARGEST_SMALL = 30  # sizes above are never worth their subsets
 CELL_COST = 4  # a row of a list against one of a subset, as its pairs must be compared
 CACHED_WORDS = 400_000
@@ -37,7 +37,7 @@ MIX = np.uint64(0x9E3779B97F4A7C15)
 
 SIGNATURES = "id long, row long, n_shingles long, first long, second long, small array<long>"
 SUBSETS = "key long, row long, n int, gap int"
-CELLS = "key long, row long"
+CELLS = "key long, row long, place int"
 
 
 def shared(s: int, t: int, percent: int) -> int:
@@ -56,10 +56,16 @@ def band(n: int, percent: int) -> int:
 
 
 @lru_cache(maxsize=100_000)
-def cells(number: int, percent: int) -> int:
-    """Cells for pairs whose larger set is in this band: more than they can differ in."""
+def cells(number: int, percent: int) -> tuple[int, int]:
+    """Cells for pairs whose larger set is in this band, and how many of them are spare.
+
+    A pair that links differs in fewer cells than those that are not spare, so it agrees
+    in more cells than are spare. A set can do without as many: empty or common ones.
+    """
     top = math.ceil((100 / percent) ** (number + 1)) + 1
-    return 2 * top * (100 - percent) // (100 + percent) + 1 + SPARE_CELLS
+    needed = 2 * top * (100 - percent) // (100 + percent) + 1
+    spare = max(2, needed * (100 - percent) // 60)
+    return needed + spare, spare
 
 
 def mixed(values: np.ndarray) -> np.ndarray:
@@ -115,24 +121,29 @@ def subset_keys(tokens: np.ndarray, percent: int) -> Iterator[tuple[int, int]]:
             yield key_of(low, high, subset), high - low
 
 
-def cell_keys(tokens: np.ndarray, percent: int) -> np.ndarray:
-    """Keys of the set's cells, as the larger and as the smaller one of a pair."""
+def cell_keys(tokens: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of the set's cells, as the larger and as the smaller one of a pair, and beside
+    each ``2 * slack + level``: the cells that the set can still do without (-1: none, as
+    too many are empty), and which of the two it is."""
     own = band(len(tokens), percent)
-    keys = []
+    keys, places = [], []
     spread = mixed(tokens ^ np.uint64(0x5851F42D4C957F2D))
-    for number in (own, own + 1):
-        count = cells(number, percent)
+    for level, number in enumerate((own, own + 1)):
+        count, spare = cells(number, percent)
         cell = (tokens % np.uint64(count)).astype(np.uint16 if count < 65536 else np.int64)
         order = np.argsort(cell, kind="stable")
         cell = cell[order]
         starts = np.concatenate([[0], np.flatnonzero(cell[1:] != cell[:-1]) + 1])
         sums = np.add.reduceat(spread[order], starts)
         place = cell[starts].astype(np.uint64) + np.uint64((number << 32) + 1)
-        keys.append(mixed(sums + mixed(place)))
-        if count - len(starts) > SPARE_CELLS:
+        found = mixed(sums + mixed(place))
+        slack = spare - (count - len(starts))
+        if slack < 0:
             # So many cells are empty that a pair may agree in empty ones alone.
-            keys.append(np.array([number << 1 | 1], np.uint64))
-    return np.concatenate(keys).view(np.int64)
+            found = np.append(found, np.uint64(number << 1 | 1))
+        keys.append(found)
+        places.append(np.full(len(found), 2 * max(slack, -1) + level, np.int32))
+    return np.concatenate(keys).view(np.int64), np.concatenate(places)
 
 
 def _row_id(id_col: str, text_col: str) -> Column:
@@ -175,7 +186,7 @@ def choose_boundary(sizes: dict[int, int], percent: int) -> int:
 
     def listed(n: int) -> int:
         own = band(n, percent)
-        return cells(own, percent) + cells(own + 1, percent)
+        return cells(own, percent)[0] + cells(own + 1, percent)[0]
 
     def cost(boundary: int) -> int:
         small = sum(m * subsets(n) for n, m in sizes.items() if n <= boundary)
@@ -215,24 +226,27 @@ def _cell_rows(words: int, percent: int, boundary: int) -> Callable[[], Callable
     def make() -> Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]]:
         shingle = Shingler(words)
 
-        def block(keys: list, rows: list) -> pa.RecordBatch:
+        def block(keys: list, rows: list, places: list) -> pa.RecordBatch:
+            kinds = (pa.int64(), pa.int64(), pa.int32())
             return pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(x) if x else [], pa.int64()) for x in (keys, rows)], ["key", "row"]
+                [pa.array(np.concatenate(x) if x else [], k) for x, k in zip((keys, rows, places), kinds)],
+                ["key", "row", "place"],
             )
 
         def each(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-            keys, rows, made = [], [], 0
+            keys, rows, places, made = [], [], [], 0
             for row, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 tokens = shingle(text)
                 if len(tokens) == 0 or largest_partner(len(tokens), percent) <= boundary:
                     continue
-                keys.append(cell_keys(tokens, percent))
+                for column, found in zip((keys, places), cell_keys(tokens, percent)):
+                    column.append(found)
                 rows.append(np.full(len(keys[-1]), row))
                 made += len(keys[-1])
                 if made > 200_000:
-                    yield block(keys, rows)
-                    keys, rows, made = [], [], 0
-            yield block(keys, rows)
+                    yield block(keys, rows, places)
+                    keys, rows, places, made = [], [], [], 0
+            yield block(keys, rows, places)
 
         return each
 
@@ -339,7 +353,7 @@ def jaccard_components(
     and each is returned; a null id stays null and counts in a component only if there is
     no other id. Columns other than the two named are not read.
 
-    Hot groups: copies of one set are tied by its signature and not compared. Then each
+    Common passages: see ``_without_common``. Hot groups: copies of one set are tied by its signature and not compared. Then each
     row is compared with one centre of its lists, ``ROUNDS`` times with other centres, and
     rows that are connected are never compared again. Only in lists where several components
     remain are all pairs across them compared, so that no link is lost.
@@ -381,9 +395,10 @@ def jaccard_components(
     listed = map_batches(texts.select("row", "text"), _cell_rows(words, percent, boundary), CELLS)
     listed = store(listed, "cells") if store_cells else listed
     lists = listed.groupBy("key").agg(F.count("*").alias("members")).filter("members > 1")
-    listed = listed.join(store(lists.select("key"), "lists"), "key")
+    listed = listed.join(store(lists, "lists"), "key")
     size = sets.select(F.col("row").alias("of"), F.col("n_shingles").alias("n")).distinct()
-    listed = store(listed.join(size, F.col("row") == F.col("of")).select("key", "row", "n"), "listed")
+    listed = listed.join(size, F.col("row") == F.col("of")).drop("of")
+    listed = _without_common(store(listed, "listed"))
     open_rows = listed
     for number in range(ROUNDS):
         open_rows = _open_lists(open_rows, members)
@@ -417,6 +432,25 @@ def _close(percent: int, n: str, m: str) -> Column:
     return (F.col(n) * 100 >= F.col(m) * percent) & (F.col(m) * 100 >= F.col(n) * percent)
 
 
+def _without_common(listed: DataFrame) -> DataFrame:
+    """``key, row, n`` without rows of common lists that the others suffice for.
+
+    A passage in many documents makes some cells of theirs equal. A row leaves its common
+    lists if it has no more of them than its slack: a linking pair agrees in a list beyond
+    those. Two rows that both have more, such as near copies in a large group, stay
+    together in all their lists.
+    """
+    common = listed.filter(F.col("members") > COMMON)
+    slack = F.shiftright("place", 1)
+    bound = store(
+        common.groupBy("row", "place").agg(F.count("*").alias("lost")).filter(F.col("lost") > slack)
+        .select("row", "place"),
+        "bound_rows",
+    )
+    kept = common.join(bound, ["row", "place"], "left_semi").select("key", "row", "n")
+    return listed.filter(F.col("members") <= COMMON).select("key", "row", "n").unionByName(kept)
+
+
 def _open_lists(rows: DataFrame, members: DataFrame) -> DataFrame:
     """The rows of lists in which more than one component is left, with their component."""
     placed = _with_component(rows.select("key", "row", "n"), members, "row", "component")

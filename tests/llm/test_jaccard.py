@@ -74,6 +74,18 @@ def test_a_group_with_a_third_of_all_rows(spark):
     assert found(spark.createDataFrame(rows, DOCUMENTS)) == brute_force(rows)
 
 
+@pytest.mark.parametrize(("words", "percent"), [(3, 90), (5, 80)])
+def test_common_passages_and_large_groups_together(spark, monkeypatch, words, percent):
+    monkeypatch.setattr(jaccard, "COMMON", 3)
+    passage = make_text(77, 50)
+    texts = [f"{make_text(i, 30 + i)} {passage} {make_text(1000 + i, 20)}" for i in range(60)]
+    texts += list(near_copies(6, 100, 40, 4)) + list(near_copies(8, 90, 30, 30))
+    for i in range(0, 60, 4):
+        texts += list(near_copies(0, 1, 0, 0)) + [texts[i] + " end", "start " + texts[i]]
+    rows = [(i, t, None, None, None) for i, t in enumerate(texts)]
+    assert found(spark.createDataFrame(rows, DOCUMENTS), words=words, percent=percent) == brute_force(rows, words, percent)
+
+
 def test_the_bounds_behind_the_lists():
     for percent in (60, 80, 90):
         for s in range(1, 400):
@@ -81,7 +93,8 @@ def test_the_bounds_behind_the_lists():
                 both = jaccard.shared(s, t, percent)
                 assert 100 * both >= percent * (s + t - both) and 100 * (both - 1) < percent * (s + t - both + 1)
                 assert jaccard.band(t, percent) - jaccard.band(s, percent) in (0, 1)
-                assert s + t - 2 * both + jaccard.SPARE_CELLS < jaccard.cells(jaccard.band(t, percent), percent)
+                count, spare = jaccard.cells(jaccard.band(t, percent), percent)
+                assert s + t - 2 * both < count - spare
 
 
 def test_linking_sets_share_a_cell():
@@ -92,7 +105,8 @@ def test_linking_sets_share_a_cell():
         drop = int(rng.integers(0, max(1, n // 10)))
         b = a[drop:]
         if 100 * len(b) >= 90 * len(a):
-            assert set(jaccard.cell_keys(a, 90).tolist()) & set(jaccard.cell_keys(b, 90).tolist())
+            keys_a, keys_b = jaccard.cell_keys(a, 90)[0].tolist(), jaccard.cell_keys(b, 90)[0].tolist()
+            assert set(keys_a) & set(keys_b)
 
 
 def test_boundary_follows_the_cost():
