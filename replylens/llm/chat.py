@@ -59,62 +59,67 @@ def read_turns(formatted: str) -> list[tuple[str, str]]:
     return turns
 
 
-def reply_branches(nodes: DataFrame, branches: int = BRANCHES) -> DataFrame:
-    """``tree, leaf, branch, path``: the best root-to-leaf paths of every tree.
+def _at(key: str) -> list:
+    """Match of ``tree`` and ``key`` with ``t`` and ``p``; a null tree matches itself."""
+    return [same(F.col("tree"), F.col("t")), F.col(key) == F.col("p")]
 
-    ``nodes`` has ``tree, node, parent, score``. A node without a parent in its tree is a
-    root. Paths grow by one reply in each self-join, from the roots, and leave the loop at
-    a leaf, so a round handles the branches that are still open. Branches rank by mean
-    score, then length, then leaf. Nodes of a cycle have no root and are left out. A null
-    tree is a tree of its own.
-    """
-    nodes = store(nodes.select("tree", "node", "parent", F.coalesce("score", F.lit(0.0)).alias("score")), "nodes")
-    parents = nodes.select(F.col("tree").alias("t"), F.col("parent").alias("p")).dropna(subset=["p"]).distinct()
-    ids = nodes.select(F.col("tree").alias("t"), F.col("node").alias("p"))
 
-    def match(key: str) -> list:
-        return [same(F.col("tree"), F.col("t")), F.col(key) == F.col("p")]
+def _jumps(nodes: DataFrame) -> list[DataFrame]:
+    """``tree, node, up, total, steps`` for jumps of 1, 2, 4, ... replies towards the root.
 
-    leaves = nodes.join(parents, match("node"), "left_anti").select("tree", "node", F.lit(True).alias("leaf"))
-    marked = store(
-        nodes.join(
-            leaves.withColumnsRenamed({"tree": "t", "node": "p"}), match("node"), "left"
-        ).select("tree", "node", "parent", "score", F.coalesce("leaf", F.lit(False)).alias("leaf")),
-        "marked",
-    )
-    open_paths = store(
-        marked.join(ids, match("parent"), "left_anti")
-        .select("tree", "node", "leaf", F.array("node").alias("path"), F.col("score").alias("total")),
-        "paths",
-    )
-    finished = []
-    replies = marked.select(
-        F.col("tree").alias("t"), F.col("parent").alias("p"), F.col("node").alias("reply"),
-        F.col("score").alias("gained"), F.col("leaf").alias("last"),
+    Each round joins the table to itself and doubles the reach, so a conversation of n
+    turns takes log2(n) rounds. ``total`` and ``steps`` sum the path up to the jump.
+    """
+    ids = nodes.select(F.col("tree").alias("t"), F.col("node").alias("p"), F.lit(True).alias("there")).distinct()
+    first = nodes.join(ids, _at("parent"), "left").select(
+        "tree", "node", F.when(F.col("there"), F.col("parent")).alias("up"),
+        F.col("score").alias("total"), F.lit(1).cast("long").alias("steps"),
     )
+    tables = [store(first, "jumps")]
+    open_before = None
     while True:
-        finished.append(open_paths.filter("leaf"))
-        open_paths = open_paths.filter("not leaf")
-        if open_paths.isEmpty():
-            break
-        open_paths = store(
-            open_paths.join(replies, match("node")).select(
-                "tree", F.col("reply").alias("node"), F.col("last").alias("leaf"),
-                F.array_append("path", F.col("reply")).alias("path"),
-                (F.col("total") + F.col("gained")).alias("total"),
-            ),
-            "paths",
+        last = tables[-1]
+        open_now = last.filter("up is not null").count()
+        # What no longer shrinks leads into a cycle.
+        if open_now in (0, open_before):
+            return tables
+        open_before = open_now
+        above = last.select(
+            F.col("tree").alias("t"), F.col("node").alias("p"), F.col("up").alias("further"),
+            F.col("total").alias("more"), F.col("steps").alias("rest"),
         )
-    paths = finished[0]
-    for part in finished[1:]:
-        paths = paths.unionByName(part)
-    order = Window.partitionBy("tree").orderBy(
-        F.desc(F.col("total") / F.size("path")), F.desc(F.size("path")), "node"
-    )
-    return (
-        paths.withColumn("branch", F.row_number().over(order)).filter(F.col("branch") <= branches)
-        .select("tree", F.col("node").alias("leaf"), "branch", "path")
+        joined = last.join(above, _at("up"), "left").select(
+            "tree", "node", F.col("further").alias("up"),
+            (F.col("total") + F.coalesce("more", F.lit(0.0))).alias("total"),
+            (F.col("steps") + F.coalesce("rest", F.lit(0))).alias("steps"),
+        )
+        tables.append(store(joined, "jumps"))
+
+
+def reply_branches(nodes: DataFrame, branches: int = BRANCHES) -> DataFrame:
+    """``tree, leaf, branch, node, place``: the best root-to-leaf paths of every tree, a row
+    for each node with its place from the root.
+
+    ``nodes`` has ``tree, node, parent, score``. A node without a parent in its tree is a
+    root. Branches rank by mean score, then length, then leaf. From the chosen leaves the
+    jumps, longest first, reach every node above them once. Nodes whose path ends in a cycle
+    have no root and are left out. A null tree is a tree of its own.
+    """
+    nodes = store(nodes.select("tree", "node", "parent", F.coalesce("score", F.lit(0.0)).alias("score")), "nodes")
+    jumps = _jumps(nodes)
+    parents = nodes.select(F.col("tree").alias("t"), F.col("parent").alias("p")).dropna(subset=["p"]).distinct()
+    leaves = jumps[-1].filter("up is null").join(parents, _at("node"), "left_anti")
+    order = Window.partitionBy("tree").orderBy(F.desc(F.col("total") / F.col("steps")), F.desc("steps"), "node")
+    path = (
+        leaves.withColumn("branch", F.row_number().over(order)).filter(F.col("branch") <= branches)
+        .select("tree", F.col("node").alias("leaf"), "branch", "node")
     )
+    for table in reversed(jumps):
+        path = store(path, "paths")
+        up = table.filter("up is not null").select(F.col("tree").alias("t"), F.col("node").alias("p"), "up")
+        path = path.unionByName(path.join(up, _at("node")).select("tree", "leaf", "branch", F.col("up").alias("node")))
+    depth = jumps[-1].select(F.col("tree").alias("t"), F.col("node").alias("p"), F.col("steps").alias("place"))
+    return path.join(depth, _at("node")).select("tree", "leaf", "branch", "node", "place")
 
 
 def format_trees(messages: DataFrame, branches: int = BRANCHES) -> DataFrame:
@@ -123,12 +128,9 @@ def format_trees(messages: DataFrame, branches: int = BRANCHES) -> DataFrame:
 
     Null roles and texts are empty. Node ids are unique in their tree.
     """
-    chosen = store(reply_branches(messages, branches), "branches")
-    steps = chosen.select(
-        F.col("tree").alias("t"), "leaf", "branch", F.posexplode("path").alias("place", "p")
-    )
+    steps = store(reply_branches(messages, branches), "branches").withColumnsRenamed({"tree": "t", "node": "p"})
     turns = (
-        steps.join(messages, [same(F.col("tree"), F.col("t")), F.col("node") == F.col("p")])
+        steps.join(messages, _at("node"))
         .groupBy(F.col("t").alias("tree"), "leaf", "branch")
         .agg(F.sort_array(F.collect_list(F.struct("place", "role", "text"))).alias("turns"))
     )

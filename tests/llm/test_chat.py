@@ -42,7 +42,7 @@ def expected(rows):
 def test_conversations(spark):
     rows = [(1, 0, "user", "hola"), (1, 1, "assistant", "sí"), (1, 1, "assistant", "sí"), (2, 5, None, None), (None, 0, "user", "x")]
     rows += [(None, None, "assistant", "y"), (3, 0, "assistant", "𝔘é" * 3000)] + [(4, i, "user", t) for i, t in enumerate(FORGED)]
-    rows += [(5, i, ["user", "assistant"][i % 2], str(i)) for i in range(40)]
+    rows += [(5, i, ["user", "assistant"][i % 2], str(i)) for i in range(300)]
     df = spark.createDataFrame([(*r, "x") for r in rows], ROWS + ", node string")
     found = chat.read_back(chat.format_trees(chat.linear_messages(df))).collect()
     assert {r["conv_id"]: tuple(r)[1:5] for r in found} == expected(rows)
@@ -55,7 +55,10 @@ def test_branches_rank_by_score(spark):
         (1, 7, 6, 9.0, "user", "loop"), (2, 1, None, None, "user", "alone"),
     ]
     df = spark.createDataFrame(nodes, "tree long, node long, parent long, score double, role string, text string")
-    paths = {(r["tree"], r["branch"]): r["path"] for r in chat.reply_branches(df, branches=5).collect()}
+    paths = {}
+    for r in chat.reply_branches(df, branches=5).collect():
+        paths.setdefault((r["tree"], r["branch"]), []).append(r["node"])
+    paths = {branch: sorted(path) for branch, path in paths.items()}
     assert paths == {(1, 1): [1, 2], (1, 2): [5], (1, 3): [1, 3, 4], (2, 1): [1]}
     best = {r["tree"]: chat.read_turns(r["formatted"]) for r in chat.format_trees(df).collect()}
     assert best == {1: [("user", "q"), ("assistant", "good")], 2: [("user", "alone")]}
