@@ -39,12 +39,16 @@ RECORDS = (
 
 
 def train_dictionary(pages: DataFrame, html_col: str = "html") -> bytes:
-    """A dictionary from a bounded sample of whole pages; empty if there are too few."""
+    """A dictionary from a bounded sample of whole pages; empty if there are too few.
+
+    Pages are drawn by a hash of their text, about four times as many as are taken, so
+    that no more come to the driver however many tasks there are. Copies count once.
+    """
     body = F.col(html_col).cast("binary")
-    sample = (
-        pages.filter(F.octet_length(html_col).between(MIN_PAYLOAD, SAMPLE_BYTES))
-        .select(body.alias("body")).orderBy(F.xxhash64("body")).limit(SAMPLE_PAGES).collect()
-    )
+    fitting = pages.filter(F.octet_length(html_col).between(MIN_PAYLOAD, SAMPLE_BYTES)).select(body.alias("body"))
+    share = min(1.0, 4 * SAMPLE_PAGES / max(fitting.count(), 1))
+    drawn = F.pmod(F.xxhash64("body"), F.lit(1 << 30)) < int(share * (1 << 30))
+    sample = fitting.filter(drawn).distinct().orderBy(F.xxhash64("body")).limit(SAMPLE_PAGES).collect()
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, [bytes(r["body"]) for r in sample]).as_bytes()
     except (zstandard.ZstdError, ValueError):
