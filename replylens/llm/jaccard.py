@@ -354,8 +354,8 @@ def jaccard_components(
     no other id. Columns other than the two named are not read.
 
     Common passages: see ``_without_common``. Hot groups: copies of one set are tied by its signature and not compared. Then each
-    row is compared with one centre of its lists, ``ROUNDS`` times with other centres, and
-    rows that are connected are never compared again. Only in lists where several components
+    row is compared with one centre of its lists, ``ROUNDS`` times with other centres or
+    until that links nothing, and rows that are connected are never compared again. Only in lists where several components
     remain are all pairs across them compared, so that no link is lost.
 
     ``store_cells`` takes the keys of all cells to a table; they are about a quarter as many
@@ -405,6 +405,8 @@ def jaccard_components(
         if open_rows.isEmpty():
             break
         links = _links_to_centres(open_rows, number, texts, words, percent)
+        if links.isEmpty():
+            break
         members = _merged(links, members)
     members = _link_the_rest(_open_lists(open_rows, members), texts, members, words, percent)
     names = members.join(sets.select("row", "id").distinct(), "row").groupBy("component").agg(
