@@ -64,36 +64,42 @@ def _at(key: str) -> list:
     return [same(F.col("tree"), F.col("t")), F.col(key) == F.col("p")]
 
 
-def _jumps(nodes: DataFrame) -> list[DataFrame]:
-    """``tree, node, up, total, steps`` for jumps of 1, 2, 4, ... replies towards the root.
-
-    Each round joins the table to itself and doubles the reach, so a conversation of n
-    turns takes log2(n) rounds. ``total`` and ``steps`` sum the path up to the jump.
+def _jumps(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
+    """Jumps of 1, 2, 4, ... replies towards the root, and the sums of whole paths.
+
+    A table of jumps has ``tree, node, up, total, steps`` for the nodes that have so many
+    nodes above them; ``total`` and ``steps`` sum the path below ``up``. Each round joins
+    the nodes that have not reached their root with what is known of ``up`` and doubles
+    the reach, so a conversation of n turns takes log2(n) rounds, in which fewer and fewer
+    nodes take part. Whole paths have a null ``up``.
     """
     ids = nodes.select(F.col("tree").alias("t"), F.col("node").alias("p"), F.lit(True).alias("there")).distinct()
     first = nodes.join(ids, _at("parent"), "left").select(
         "tree", "node", F.when(F.col("there"), F.col("parent")).alias("up"),
         F.col("score").alias("total"), F.lit(1).cast("long").alias("steps"),
     )
-    tables = [store(first, "jumps")]
+    first = store(first, "jumps")
+    jumps, whole, current = [], first.filter("up is null"), first.filter("up is not null")
     open_before = None
     while True:
-        last = tables[-1]
-        open_now = last.filter("up is not null").count()
+        open_now = current.count()
         # What no longer shrinks leads into a cycle.
         if open_now in (0, open_before):
-            return tables
+            return jumps, whole
         open_before = open_now
-        above = last.select(
+        jumps.append(current)
+        above = whole.unionByName(current).select(
             F.col("tree").alias("t"), F.col("node").alias("p"), F.col("up").alias("further"),
             F.col("total").alias("more"), F.col("steps").alias("rest"),
         )
-        joined = last.join(above, _at("up"), "left").select(
-            "tree", "node", F.col("further").alias("up"),
-            (F.col("total") + F.coalesce("more", F.lit(0.0))).alias("total"),
-            (F.col("steps") + F.coalesce("rest", F.lit(0))).alias("steps"),
+        joined = store(
+            current.join(above, _at("up")).select(
+                "tree", "node", F.col("further").alias("up"),
+                (F.col("total") + F.col("more")).alias("total"), (F.col("steps") + F.col("rest")).alias("steps"),
+            ),
+            "jumps",
         )
-        tables.append(store(joined, "jumps"))
+        whole, current = whole.unionByName(joined.filter("up is null")), joined.filter("up is not null")
 
 
 def reply_branches(nodes: DataFrame, branches: int = BRANCHES) -> DataFrame:
@@ -106,9 +112,9 @@ def reply_branches(nodes: DataFrame, branches: int = BRANCHES) -> DataFrame:
     have no root and are left out. A null tree is a tree of its own.
     """
     nodes = store(nodes.select("tree", "node", "parent", F.coalesce("score", F.lit(0.0)).alias("score")), "nodes")
-    jumps = _jumps(nodes)
+    jumps, whole = _jumps(nodes)
     parents = nodes.select(F.col("tree").alias("t"), F.col("parent").alias("p")).dropna(subset=["p"]).distinct()
-    leaves = jumps[-1].filter("up is null").join(parents, _at("node"), "left_anti")
+    leaves = whole.join(parents, _at("node"), "left_anti")
     order = Window.partitionBy("tree").orderBy(F.desc(F.col("total") / F.col("steps")), F.desc("steps"), "node")
     path = (
         leaves.withColumn("branch", F.row_number().over(order)).filter(F.col("branch") <= branches)
@@ -116,9 +122,9 @@ def reply_branches(nodes: DataFrame, branches: int = BRANCHES) -> DataFrame:
     )
     for table in reversed(jumps):
         path = store(path, "paths")
-        up = table.filter("up is not null").select(F.col("tree").alias("t"), F.col("node").alias("p"), "up")
+        up = table.select(F.col("tree").alias("t"), F.col("node").alias("p"), "up")
         path = path.unionByName(path.join(up, _at("node")).select("tree", "leaf", "branch", F.col("up").alias("node")))
-    depth = jumps[-1].select(F.col("tree").alias("t"), F.col("node").alias("p"), F.col("steps").alias("place"))
+    depth = whole.select(F.col("tree").alias("t"), F.col("node").alias("p"), F.col("steps").alias("place"))
     return path.join(depth, _at("node")).select("tree", "leaf", "branch", "node", "place")
 
 

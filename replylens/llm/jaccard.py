@@ -353,10 +353,11 @@ def jaccard_components(
     and each is returned; a null id stays null and counts in a component only if there is
     no other id. Columns other than the two named are not read.
 
-    Common passages: see ``_without_common``. Hot groups: copies of one set are tied by its signature and not compared. Then each
-    row is compared with one centre of its lists, ``ROUNDS`` times with other centres or
-    until that links nothing, and rows that are connected are never compared again. Only in lists where several components
-    remain are all pairs across them compared, so that no link is lost.
+    Common passages: see ``_without_common``. Hot groups: copies of one set are tied by
+    its signature and not compared. Then each row is compared with one centre of its lists,
+    ``ROUNDS`` times with other centres or until that links nothing, and rows that are
+    connected are never compared again. Only in lists where several components remain are
+    all pairs across them compared, so that no link is lost.
 
     ``store_cells`` takes the keys of all cells to a table; they are about a quarter as many
     as the shingles at 0.9 and half as many at 0.8. Without it they are computed twice.
