@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import struct
 import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -35,6 +36,14 @@ PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 LATIN_END = "ɏ"  # up to here lower case and composition need no look at neighbours
 
 
+def byte_characters() -> dict[int, str]:
+    """The characters by which a byte-level model spells bytes: printable ones are
+    themselves, the others follow from code point 256 on."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in printable]
+    return {b: chr(256 + i) for i, b in enumerate(others)}
+
+
 class Tokenizer:
     """Token ids of whole texts as little-endian 32-bit numbers.
 
@@ -48,25 +57,30 @@ class Tokenizer:
         from tokenizers import Tokenizer as Library
 
         self.library = Library.from_file(path)
+        self.model = self.library.model
+        self.characters = byte_characters()
         self.chunks: dict[bytes, bytes] = {}
         self.parts: dict[str, bytes] = {}
 
-    def encode(self, part: str) -> bytes:
-        return np.array(self.library.encode(part, add_special_tokens=False).ids, "<u4").tobytes()
-
     def part(self, part: str) -> bytes:
+        """Ids of what the library's model sees as one piece, in its spelling of bytes."""
         ids = self.parts.get(part)
         if ids is None:
             if len(self.parts) >= CACHED_PARTS:
                 self.parts.clear()
-            ids = self.parts[part] = self.encode(part)
+            spelled = part if part.isascii() else part.encode().decode("latin-1").translate(self.characters)
+            found = [token.id for token in self.model.tokenize(spelled)]
+            ids = self.parts[part] = struct.pack(f"<{len(found)}I", *found)
         return ids
 
     def chunk(self, chunk: bytes) -> bytes:
         text = chunk.decode()
         lower = text.lower()
-        if "<|" in text or max(lower) > LATIN_END:
-            ids = self.encode(text)
+        if lower.isascii() and lower.isalpha():
+            ids = self.part(lower)
+        elif "<|" in text or max(lower) > LATIN_END or not lower.isprintable():
+            found = self.library.encode(text, add_special_tokens=False).ids
+            ids = struct.pack(f"<{len(found)}I", *found)
         else:
             ids = b"".join([self.part(part) for part in PARTS.findall(lower)])
         if len(self.chunks) >= CACHED_CHUNKS:
