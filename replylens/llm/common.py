@@ -31,15 +31,17 @@ def map_batches(
 
 
 def filter_batches(
-    df: DataFrame, text_col: str, make: Callable[[], Callable[[list], list]]
+    df: DataFrame, read: str | list[str], make: Callable[[], Callable[..., list]]
 ) -> DataFrame:
-    """Rows of ``df`` whose text the function accepts; columns stay as they are."""
+    """Rows of ``df`` that the function accepts by the columns ``read``; columns stay as
+    they are."""
+    names = [read] if isinstance(read, str) else read
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         accept = make()
         for batch in batches:
-            place = batch.schema.get_field_index(text_col)
-            yield batch.filter(pa.array(accept(batch.column(place).to_pylist()), pa.bool_()))
+            given = [batch.column(batch.schema.get_field_index(name)).to_pylist() for name in names]
+            yield batch.filter(pa.array(accept(*given), pa.bool_()))
 
     return df.mapInArrow(run, df.schema)
 

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
 from replylens.llm.common import filter_batches, map_batches, store
@@ -20,7 +21,7 @@ SYMBOLS = b"#*$%&|<>"
 BLANKS = b" \t\n\r\x0b\x0c"
 
 COMMON_WORDS = 50
-LANGUAGE_SHARE = 1000  # a language with less than one of so many labelled rows gets no reference
+MIN_REFERENCE_WORDS = 5_000  # a language with fewer words, in all its rows, gets no reference
 MIN_WORDS = 50
 MIN_WORDS_FOR_WORDS = 100  # fewer words are too few for a histogram of words
 MAX_CLASS_DISTANCE = 0.25
@@ -38,10 +39,33 @@ VERDICT = (
 
 @dataclass
 class References:
+    """Histograms by language. Of the common words only those that a language has are held:
+    entries ``starts[w]`` to ``starts[w + 1]`` of ``places`` (languages) and ``values``
+    (shares) belong to word ``w``, the last one being all other words."""
+
     languages: list[str]
     classes: np.ndarray  # language x class, rows add up to one
     words: list[str]  # common words of all languages
-    shares: np.ndarray  # language x (word ..., rest), rows add up to one
+    starts: np.ndarray
+    places: np.ndarray
+    values: np.ndarray
+
+    @property
+    def shares(self) -> np.ndarray:
+        """The whole table, language x (word ..., rest), rows add up to one."""
+        table = np.zeros((len(self.languages), len(self.words) + 1))
+        table[self.places, np.repeat(np.arange(len(self.words) + 1), np.diff(self.starts))] = self.values
+        return table
+
+    def word_distances(self, words: np.ndarray, p: np.ndarray) -> np.ndarray:
+        """Jensen-Shannon distance, from each language, of a histogram with the shares ``p``
+        of ``words``; only words that both have need adding up."""
+        first, sizes = self.starts[words], self.starts[words + 1] - self.starts[words]
+        at = np.arange(sizes.sum()) + np.repeat(first - np.cumsum(sizes) + sizes, sizes)
+        p, q = np.repeat(p, sizes), self.values[at]
+        both = p * np.log2(p / (p + q)) + q * np.log2(q / (p + q))
+        summed = np.bincount(self.places[at], weights=both, minlength=len(self.languages))
+        return np.sqrt(np.clip(1 + summed / 2, 0, 1))
 
 
 def _class_of_byte() -> np.ndarray:
@@ -83,12 +107,10 @@ def _statistics() -> Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]]:
     def count(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         words: dict[str, Counter] = {}
         classes: dict[str, np.ndarray] = {}
-        rows: Counter = Counter()
 
         def flush() -> pa.RecordBatch:
             found = [(lang, "word", w.decode(), n) for lang, c in words.items() for w, n in c.items() if w]
             found += [(lang, "class", str(i), int(n)) for lang, c in classes.items() for i, n in enumerate(c)]
-            found += [(lang, "rows", "", n) for lang, n in rows.items()]
             columns = zip(*found) if found else ((), (), (), ())
             kinds = (pa.string(), pa.string(), pa.string(), pa.int64())
             return pa.RecordBatch.from_arrays(
@@ -98,10 +120,9 @@ def _statistics() -> Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]]:
         for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             words.setdefault(lang, Counter()).update(common_form(text))
             classes[lang] = classes.get(lang, 0) + class_counts(text.encode(), table)
-            rows[lang] += 1
             if sum(map(len, words.values())) > FLUSH_WORDS:
                 yield flush()
-                words.clear(), classes.clear(), rows.clear()
+                words.clear(), classes.clear()
         yield flush()
 
     return count
@@ -112,8 +133,10 @@ def fit_references(
 ) -> References:
     """Histograms of each language over all its rows: character classes and common words.
 
-    Rows without text or language give nothing. What comes to the driver is bounded:
-    less than ``LANGUAGE_SHARE`` languages of ``common_words`` words each.
+    Every language with ``MIN_REFERENCE_WORDS`` words has a reference, whatever its share of
+    the table. Rows without text or language give nothing. What comes to the driver: for
+    each such language its character classes and its ``common_words`` most common words,
+    and how often it has any of those words, as Arrow columns without the zeros.
     """
     texts = df.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).dropna()
     counted = (
@@ -121,34 +144,37 @@ def fit_references(
         .groupBy("lang", "kind", "item").agg(F.sum("n").alias("n"))
     )
     counted = store(counted, "language_statistics")
-    spark = df.sparkSession
-    rows = counted.filter("kind = 'rows'")
-    everything = rows.agg(F.sum("n")).first()[0] or 0
-    large = rows.filter(F.col("n") * LANGUAGE_SHARE > everything)
-    languages = sorted(r["lang"] for r in large.select("lang").collect())
-    if not languages:
-        return References([], np.zeros((0, CLASSES)), [], np.zeros((0, 1)))
-    known = counted.join(F.broadcast(spark.createDataFrame([(x,) for x in languages], "lang string")), "lang")
+    totals = counted.filter("kind = 'word'").groupBy("lang").agg(F.sum("n").alias("total"))
+    large = store(totals.filter(F.col("total") >= MIN_REFERENCE_WORDS), "languages")
+    found = large.orderBy("lang").toArrow()
+    if not found.num_rows:
+        return References([], np.zeros((0, CLASSES)), [], np.zeros(2, np.int64), np.zeros(0, np.int64), np.zeros(0))
+    known = counted.join(large, "lang")
+    languages = found["lang"].combine_chunks()
     classes = np.zeros((len(languages), CLASSES))
-    for r in known.filter("kind = 'class'").collect():
-        classes[languages.index(r["lang"]), int(r["item"])] = r["n"]
-    in_words = known.filter("kind = 'word'")
+    in_classes = known.filter("kind = 'class'").select("lang", F.col("item").cast("int").alias("item"), "n").toArrow()
+    classes[pc.index_in(in_classes["lang"], languages).to_numpy(), in_classes["item"].to_numpy()] = in_classes["n"]
+    classes /= np.maximum(classes.sum(axis=1, keepdims=True), 1)
+    in_words = known.filter("kind = 'word'").select("lang", "item", "n")
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "item")
     top = (
         in_words.withColumn("place", F.row_number().over(order))
         .filter(F.col("place") <= common_words).select("item").distinct()
     )
-    words = sorted(r["item"] for r in top.collect())
-    totals = {r["lang"]: r["n"] for r in in_words.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
-    chosen = in_words.join(F.broadcast(spark.createDataFrame([(x,) for x in words], "item string")), "item")
-    shares = np.zeros((len(languages), len(words) + 1))
-    for r in chosen.collect() if words else []:
-        shares[languages.index(r["lang"]), words.index(r["item"])] = r["n"]
-    for i, lang in enumerate(languages):
-        shares[i, -1] = totals.get(lang, 0) - shares[i].sum()
-    for histogram in (classes, shares):
-        histogram /= np.maximum(histogram.sum(axis=1, keepdims=True), 1)
-    return References(languages, classes, words, shares)
+    top = store(top, "common_words")
+    words = pa.array(sorted(top.toArrow()["item"].to_pylist()), pa.string())
+    chosen = in_words.join(top, "item").toArrow()
+    places = pc.index_in(chosen["lang"], languages).to_numpy()
+    items = pc.index_in(chosen["item"], words).to_numpy()
+    counts, total = chosen["n"].to_numpy(), found["total"].to_numpy()
+    rest = total - np.bincount(places, weights=counts, minlength=len(languages))
+    others = np.flatnonzero(rest > 0)
+    places = np.concatenate([places, others]).astype(np.int64)
+    items = np.concatenate([items, np.full(len(others), len(words))])
+    values = np.concatenate([counts, rest[others]]) / total[places]
+    by_word = np.lexsort((places, items))
+    starts = np.searchsorted(items[by_word], np.arange(len(words) + 2))
+    return References(languages.to_pylist(), classes, words.to_pylist(), starts, places[by_word], values[by_word])
 
 
 def repeated_words(words: list[bytes]) -> int:
@@ -175,25 +201,28 @@ class Judge:
         self.references, self.max_class, self.max_word = references, max_class, max_word
         self.table = _class_of_byte()
         self.place = {w.encode(): i for i, w in enumerate(references.words)}
+        self.languages = set(references.languages)
 
-    def distances(self, text: str, body: bytes, n_words: int) -> tuple[str | None, float, float]:
-        """The nearest language and the distances from it; zero where the text is too short."""
+    def distances(
+        self, text: str, body: bytes, n_words: int, lang: str | None
+    ) -> tuple[str | None, float, float]:
+        """The nearest language and the distances from it; zero where the text is too short
+        or its own language has no reference."""
         known, classes, words = self.references, 0.0, 0.0
-        if not known.languages or n_words < MIN_WORDS:
+        if not known.languages or n_words < MIN_WORDS or not (lang is None or lang in self.languages):
             return None, classes, words
         counts = class_counts(body, self.table)
         by_class = js_distance(counts / max(counts.sum(), 1), known.classes)
         by_word = np.zeros(len(known.languages))
         if n_words >= MIN_WORDS_FOR_WORDS:
             rest = len(known.words)
-            histogram = np.bincount(
-                [self.place.get(w, rest) for w in common_form(text)], minlength=rest + 1
-            )
-            by_word = js_distance(histogram / histogram.sum(), known.shares)
+            found = Counter(self.place.get(w, rest) for w in common_form(text))
+            counts = np.array(list(found.values()))
+            by_word = known.word_distances(np.array(list(found)), counts / counts.sum())
         nearest = int(np.argmin(by_class + by_word))
         return known.languages[nearest], float(by_class[nearest]), float(by_word[nearest])
 
-    def __call__(self, text: str | None) -> tuple:
+    def __call__(self, text: str | None, lang: str | None = None) -> tuple:
         text = text or ""
         body = text.encode()
         words = body.split()
@@ -201,7 +230,7 @@ class Judge:
         lines = [line for line in body.split(b"\n") if line.strip(BLANKS)]
         repeats = repeated_words(words)
         failed = len(words) < MIN_WORDS or 100 * repeats > 50 * len(words)
-        language, by_class, by_word = self.distances(text, body, len(words))
+        language, by_class, by_word = self.distances(text, body, len(words), lang)
         slack = 1 + SLACK_WORDS / max(len(words), 1)
         return (
             len(words),
@@ -224,6 +253,7 @@ def quality_rules(
     text_col: str = "text",
     max_class: float = MAX_CLASS_DISTANCE,
     max_word: float = MAX_WORD_DISTANCE,
+    lang_col: str = "lang",
 ) -> DataFrame:
     """The counts, the distances and the verdict for every row of ``df``, in the columns
     of ``VERDICT``.
@@ -233,8 +263,11 @@ def quality_rules(
     texts vary more by chance, so their limits are wider. Documents under
     ``MIN_WORDS`` words have no distances (0), those under ``MIN_WORDS_FOR_WORDS`` only the
     one of character classes. A null or empty text has no words and fails. Repeated rows
-    are judged one by one, ids (null included) are passed on; other columns are not read.
-    Without any language only the base rules decide.
+    are judged one by one, ids (null included) are passed on. Only the base rules decide,
+    with no ``reference`` and distances of 0, where there is no fitting reference: on rows
+    whose ``lang_col`` names a language without one, and everywhere if no language has one.
+    Rows without a label (null, or no such column) are held against all references; other
+    columns are not read.
     """
 
     def make() -> Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]]:
@@ -243,14 +276,15 @@ def quality_rules(
         names = [column.split()[0] for column in VERDICT.split(", ")]
 
         def each(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-            rows = [judge(text) for text in batch.column(1).to_pylist()]
+            rows = list(map(judge, batch.column(1).to_pylist(), batch.column(2).to_pylist()))
             columns = zip(*rows) if rows else [()] * len(kinds)
             arrays = [pa.array(c, k) for c, k in zip(columns, kinds)]
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), *arrays], names)
 
         return each
 
-    return map_batches(df.select(id_col, text_col), make, VERDICT)
+    lang = F.col(lang_col) if lang_col in df.columns else F.lit(None).cast("string")
+    return map_batches(df.select(id_col, text_col, lang.alias("lang")), make, VERDICT)
 
 
 def keep_good(
@@ -259,11 +293,13 @@ def keep_good(
     text_col: str = "text",
     max_class: float = MAX_CLASS_DISTANCE,
     max_word: float = MAX_WORD_DISTANCE,
+    lang_col: str = "lang",
 ) -> DataFrame:
     """The rows of ``df`` that the rules keep, in one pass without a shuffle."""
+    labels = [lang_col] if lang_col in df.columns else []
 
-    def make() -> Callable[[list], list]:
+    def make() -> Callable[..., list]:
         judge = Judge(references, max_class, max_word)
-        return lambda texts: [judge(text)[6] for text in texts]
+        return lambda *columns: [judge(*row)[6] for row in zip(*columns)]
 
-    return filter_batches(df, text_col, make)
+    return filter_batches(df, [text_col, *labels], make)

@@ -1,3 +1,4 @@
+import random
 import re
 from collections import Counter
 
@@ -88,3 +89,34 @@ def test_no_rows_and_no_languages(spark):
     text = " ".join(f"w{i}" for i in range(60))
     bare = spark.createDataFrame([(1, text, None, None, None)], DOCUMENTS)
     assert quality.quality_rules(bare, quality.fit_references(bare)).first()["kept"]
+
+
+def cyrillic(seed, words):
+    rng = random.Random(seed)
+    common = ["и", "в", "не", "на", "что", "он", "как", "это", "по", "но"]
+    word = lambda: "".join(rng.choice("оеаинтсрвлкмдпуяыьгз") for _ in range(rng.randint(3, 9)))
+    return " ".join(rng.choice(common) if rng.random() < 0.4 else word() for _ in range(words)).capitalize() + "."
+
+
+def test_small_languages_are_kept_in_a_large_table(spark, documents):
+    """60 documents of a language, and 3 of another, among 100,000 labelled rows."""
+    filler = spark.range(100_000).selectExpr(
+        "id AS doc_id", "'the words of a short row' AS text", "'en' AS lang", "'s' AS source", "24L AS n_chars"
+    )
+    rare = [(-i, cyrillic(i, 120), "ru" if i > 3 else "bg", "s", 0) for i in range(1, 64)]
+    df = documents.unionByName(filler).unionByName(spark.createDataFrame(rare, DOCUMENTS))
+    references = quality.fit_references(df)
+    assert references.languages == ["de", "en", "es", "fr", "ru"]
+    found = {r["doc_id"]: r for r in quality.quality_rules(df, references).filter("doc_id < 0").collect()}
+    assert len(found) == 63 and all(r["kept"] for r in found.values())
+    assert {i: r["reference"] for i, r in found.items()} == {-i: "ru" if i > 3 else None for i in range(1, 64)}
+    assert quality.keep_good(df, references).filter("doc_id < 0").count() == 63
+    unlabelled = spark.createDataFrame([(*r[:2], None, *r[3:]) for r in rare], DOCUMENTS)
+    assert {r["reference"] for r in quality.quality_rules(unlabelled, references).collect()} == {"ru"}
+
+
+def test_word_distances_match_the_whole_table(references):
+    counts = np.random.default_rng(1).integers(0, 3, len(references.words) + 1)
+    words = np.flatnonzero(counts)
+    found = references.word_distances(words, counts[words] / counts.sum())
+    assert found == pytest.approx(quality.js_distance(counts / counts.sum(), references.shares))
