@@ -14,7 +14,6 @@ from replylens.llm.common import filter_batches, map_batches, store
 DIMENSIONS = 512
 GRAM = 3
 SEED = 20_240_229
-LANGUAGE_SHARE = 2000  # a language with less than one of so many training rows is not learned
 MIN_SCORE = 0.2
 FLUSH_LANGUAGES = 256
 CACHED_GRAMS = 40_000
@@ -130,28 +129,27 @@ def fit_profiles(
 ) -> Profiles:
     """The sum of the vectors of all training rows of each language, scaled to length one.
 
-    Tasks send one sum a language and batch. At most ``LANGUAGE_SHARE`` sums reach the
-    driver. Rows without text, letters or language are not learned from.
+    Every language that a training row names is learned, however rare. Tasks send one sum a
+    language and batch; one prototype a language reaches the driver, as Arrow columns of
+    ``DIMENSIONS`` numbers. Rows without text, letters or language are not learned from.
     """
     texts = df.filter(train).select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     summed = store(
         map_batches(texts.dropna(), _sums, "lang string, n long, total array<double>"), "profiles"
     )
-    rows = summed.groupBy("lang").agg(F.sum("n").alias("n"))
-    everything = rows.agg(F.sum("n")).first()[0] or 0
-    large = rows.filter(F.col("n") * LANGUAGE_SHARE > everything).select("lang")
     totals = (
-        summed.join(F.broadcast(large), "lang")
-        .select("lang", F.posexplode("total").alias("place", "value"))
+        summed.select("lang", F.posexplode("total").alias("place", "value"))
         .groupBy("lang", "place").agg(F.sum("value").alias("value"))
         .groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("place", "value"))).alias("total"))
-        .select("lang", "total.value")
-        .collect()
+        .select("lang", F.col("total.value").cast("array<float>").alias("total"))
+        .toArrow()
     )
-    totals = sorted((r[0], r[1]) for r in totals)
-    prototypes = np.array([v for _, v in totals], np.float32).reshape(-1, DIMENSIONS)
+    languages = totals["lang"].to_pylist()
+    order = sorted(range(len(languages)), key=languages.__getitem__)
+    vectors = totals["total"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
+    prototypes = vectors.astype(np.float32).reshape(-1, DIMENSIONS)[order]
     lengths = np.linalg.norm(prototypes, axis=1, keepdims=True)
-    return Profiles([x for x, _ in totals], prototypes / np.maximum(lengths, 1e-9))
+    return Profiles([languages[i] for i in order], prototypes / np.maximum(lengths, 1e-9))
 
 
 class Classifier:

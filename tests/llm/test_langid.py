@@ -82,3 +82,26 @@ def test_filter_keeps_columns(documents, profiles):
     assert kept.columns == df.columns
     good = langid.identify_languages(documents, profiles).filter("score >= 0.5")
     assert kept.count() == good.count() < documents.count()
+
+
+def test_rare_languages_are_learned_in_a_large_table(spark, documents):
+    filler = spark.range(10_000).selectExpr(
+        "id AS doc_id", "'the words of a short row' AS text", "'en' AS lang", "'s' AS source", "24L AS n_chars"
+    )
+    rare = [(-1, "это длинный русский текст о погоде", "ru", "s", 0), (-2, "ένα ελληνικό κείμενο", "el", "s", 0)]
+    df = documents.unionByName(filler).unionByName(spark.createDataFrame(rare, DOCUMENTS))
+    profiles = langid.fit_profiles(df, F.lit(True))
+    assert profiles.languages == ["de", "el", "en", "es", "fr", "ru"]
+    new = [(1, "русский текст о длинной погоде", None, None, 0), (2, "ελληνικό κείμενο", None, None, 0)]
+    found = langid.identify_languages(spark.createDataFrame(new, DOCUMENTS), profiles).collect()
+    assert {r["doc_id"]: r["lang_pred"] for r in found} == {1: "ru", 2: "el"}
+    assert langid.keep_identified(df, profiles).filter("doc_id < 0").count() == 2
+
+
+def test_many_languages(spark):
+    rows = [(i, "".join(chr(0x4E00 + i * 5 + k) for k in range(5)), f"l{i:04}", None, 0) for i in range(3000)]
+    df = spark.createDataFrame(rows, DOCUMENTS)
+    profiles = langid.fit_profiles(df, F.lit(True))
+    assert len(profiles.languages) == 3000
+    found = langid.identify_languages(df, profiles).collect()
+    assert all(r["lang_pred"] == f"l{r['doc_id']:04}" for r in found)
