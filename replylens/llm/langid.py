@@ -197,12 +197,17 @@ def identify_languages(
 def keep_identified(
     df: DataFrame, profiles: Profiles, text_col: str = "text", min_score: float = MIN_SCORE
 ) -> DataFrame:
-    """The rows of ``df`` whose language is recognised with at least ``min_score``."""
+    """The rows of ``df`` whose language is recognised with at least ``min_score``.
+
+    If nothing was learned, no language can be told: every row whose text has letters stays.
+    """
 
     def make() -> Callable[[list], list]:
         classify = Classifier(profiles)
 
         def accept(texts: list) -> list:
+            if not profiles.languages:
+                return [classify.encode(text) is not None for text in texts]
             found = [classify(text) for text in texts]
             return [lang != "und" and score >= min_score for lang, score in found]
 

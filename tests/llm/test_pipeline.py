@@ -2,6 +2,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from replylens.llm import langid, packing, quality
@@ -78,3 +79,12 @@ def test_stages_on_hard_tables(spark, number, table):
     assert kept.count() <= docs.count()
 
 
+def test_no_labels_at_all(spark):
+    """Nothing is learned: documents with letters pass both stages that fit languages."""
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").withColumn("lang", F.lit(None).cast("string"))
+    docs = docs.unionByName(spark.createDataFrame([(-1, "1 2 3 " * 40, None, None, 0), (-2, None, None, None, 0)], DOCUMENTS))
+    identified = corpus_pipeline.language_id(spark, docs, SF_DIR)
+    assert set(rows(identified)) == {i for i, r in rows(docs).items() if any(map(str.isalpha, r["text"] or ""))}
+    good = corpus_pipeline.quality_rules(spark, docs, SF_DIR)
+    kept = set(rows(corpus_pipeline.language_id(spark, good, SF_DIR)))
+    assert kept and kept == set(rows(good))
