@@ -64,6 +64,73 @@ TEMPLATES = {
     "reserved": ("All rights reserved.", ["all rights reserved"]),
 }
 
+# Further texts of the same labels: titles, file headers, other short notices.
+FORMS = {
+    "gpl-3.0": [
+        ("GNU GENERAL PUBLIC LICENSE Version 3", ["gnu general public license version 3"]),
+        (
+            "it under the terms of the GNU General Public License as published by the Free Software Foundation, "
+            "either version 3 of the License, or (at your option) any later version",
+            ["gnu general public license as published by", "version 3 of the license"],
+        ),
+        (
+            "it under the terms of the GNU General Public License as published by the Free Software Foundation, "
+            "version 3 of the License",
+            ["gnu general public license as published by", "version 3 of the license"],
+        ),
+    ],
+    "gpl-2.0": [
+        ("GNU GENERAL PUBLIC LICENSE Version 2", ["gnu general public license version 2"]),
+        (
+            "it under the terms of the GNU General Public License as published by the Free Software Foundation; "
+            "either version 2 of the License, or (at your option) any later version",
+            ["gnu general public license as published by", "version 2 of the license"],
+        ),
+        (
+            "it under the terms of the GNU General Public License as published by the Free Software Foundation; "
+            "version 2 of the License",
+            ["gnu general public license as published by", "version 2 of the license"],
+        ),
+    ],
+    "lgpl": [
+        ("GNU LESSER GENERAL PUBLIC LICENSE Version", ["gnu lesser general public license version"]),
+        ("GNU LIBRARY GENERAL PUBLIC LICENSE Version", ["gnu library general public license version"]),
+        (
+            "it under the terms of the GNU Library General Public License as published by the Free Software Foundation",
+            ["gnu library general public license"],
+        ),
+    ],
+    "apache-2.0": [
+        ("Apache License Version 2.0", ["apache license version 2 0"]),
+        ("Apache License 2.0", ["apache license 2 0"]),
+    ],
+    "cc-by-4.0": [
+        ("Creative Commons Attribution 4.0 International", ["creative commons attribution 4 0"]),
+    ],
+    "cc-by-nc-4.0": [
+        ("Creative Commons Attribution-NonCommercial 4.0 International", ["creative commons attribution noncommercial 4 0"]),
+    ],
+    "cc-by-sa-4.0": [
+        ("Creative Commons Attribution-ShareAlike 4.0 International", ["creative commons attribution sharealike 4 0"]),
+    ],
+    "mit-release": [("The MIT License (MIT)", ["the mit license mit"])],
+    "bsd": [
+        ("BSD 3-Clause License", ["bsd 3 clause license"]),
+        ("BSD 2-Clause License", ["bsd 2 clause license"]),
+        (
+            "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file",
+            ["governed by a bsd style license"],
+        ),
+    ],
+    "isc": [("ISC License Copyright", ["isc license"])],
+    "mpl-2.0": [
+        ("Mozilla Public License Version 2.0", ["mozilla public license version 2 0"]),
+    ],
+    "unlicense": [
+        ("For more information, please refer to <https://unlicense.org>", ["unlicense org"]),
+    ],
+}
+
 RARE_WORDS = 4  # of each template, those that the corpus has least
 MIN_SHARE = 0.6
 SLACK = 8  # words by which a key phrase may lie outside the template's own length
@@ -83,12 +150,20 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode().translate(_WORD_BYTES).split()
 
 
-def fit_idf(df: DataFrame, text_col: str = "text", templates: dict = TEMPLATES) -> dict[bytes, float]:
+def forms_of(templates: dict, forms: dict) -> list[tuple[str, list[bytes], list[list[bytes]]]]:
+    """Label, words and key phrases of every text of the labels of ``templates``."""
+    texts = [(label, *form) for label in templates for form in [templates[label], *forms.get(label, [])]]
+    return [(label, words_of(text), [words_of(k) for k in keys]) for label, text, keys in texts]
+
+
+def fit_idf(
+    df: DataFrame, text_col: str = "text", templates: dict = TEMPLATES, forms: dict = FORMS
+) -> dict[bytes, float]:
     """Rarity, over all rows of ``df``, of every word that a template has.
 
     The number of those words is that of the templates, whatever the corpus holds.
     """
-    vocabulary = {w for text, _ in templates.values() for w in words_of(text)}
+    vocabulary = {w for _, words, _ in forms_of(templates, forms) for w in words}
 
     def make() -> Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]]:
         def each(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -127,32 +202,33 @@ def _starts(words: list[bytes], phrase: list[bytes], low: int = 0, high: int | N
 class Scanner:
     """Base phrases and the method's labels of one text after another."""
 
-    def __init__(self, idf: dict[bytes, float], phrases: dict, templates: dict, min_share: float) -> None:
+    def __init__(
+        self, idf: dict[bytes, float], phrases: dict, templates: dict, min_share: float, forms: dict = FORMS
+    ) -> None:
         self.min_share = min_share
         self.phrases = [(words_of(p), label) for p, label in phrases.items()]
-        self.templates = {label: words_of(text) for label, (text, _) in templates.items()}
-        self.keys = {label: [words_of(k) for k in keys] for label, (_, keys) in templates.items()}
-        #: word -> (label, place in the template), for the rarest words of each template only
-        self.index: dict[bytes, list[tuple[str, int]]] = {}
-        for label, words in self.templates.items():
+        self.forms = forms_of(templates, forms)
+        #: word -> (number of the form, place in it), for the rarest words of each form only
+        self.index: dict[bytes, list[tuple[int, int]]] = {}
+        for number, (_, words, _) in enumerate(self.forms):
             rare = sorted(set(words), key=lambda w: (-idf.get(w, 0.0), w))[:RARE_WORDS]
             for place, word in enumerate(words):
                 if word in rare:
-                    self.index.setdefault(word, []).append((label, place))
+                    self.index.setdefault(word, []).append((number, place))
         self.wanted = set(self.index) | {p[0] for p, _ in self.phrases}
 
     def matches(self, words: list[bytes]) -> dict[str, float]:
         """Verified labels with the share of the template's words that stand in their place."""
-        votes: dict[tuple[str, int], set[bytes]] = {}
+        votes: dict[tuple[int, int], set[bytes]] = {}
         index = self.index
         for at, word in enumerate(words):
             if word in index:
-                for label, place in index[word]:
-                    votes.setdefault((label, at - place), set()).add(word)
+                for number, place in index[word]:
+                    votes.setdefault((number, at - place), set()).add(word)
         found: dict[str, float] = {}
-        for (label, start), agreeing in votes.items():
-            template = self.templates[label]
-            if len(agreeing) < min(2, len(set(template) & set(index))):
+        for (number, start), agreeing in votes.items():
+            label, template, keys = self.forms[number]
+            if len(agreeing) < min(2, len(set(template))):
                 continue
             window = words[max(start, 0) : start + len(template)]
             aligned = sum(a == b for a, b in zip(window, template[max(-start, 0) :]))
@@ -160,7 +236,7 @@ class Scanner:
             if share < self.min_share or share <= found.get(label, 0.0):
                 continue
             low, high = start - SLACK, start + len(template) + SLACK
-            if all(_starts(words, key, low, high) for key in self.keys[label]):
+            if all(_starts(words, key, low, high) for key in keys):
                 found[label] = share
         return found
 
@@ -194,10 +270,11 @@ def scan_licenses(
     phrases: dict = PHRASES,
     templates: dict = TEMPLATES,
     min_share: float = MIN_SHARE,
+    forms: dict = FORMS,
 ) -> DataFrame:
     """The columns of ``RESULT`` for every row of ``df``.
 
-    A template is a candidate where two of its rarest words stand at their relative
+    A label has its template and further ``forms`` (title, file header, short notice). One is a candidate where two of its rarest words stand at their relative
     places; it is accepted if ``min_share`` of its words do and each of its key phrases is
     there. ``score`` is 1 with a base phrase, else the largest such share, else 0. A null or
     empty text has no words and no labels. Repeated rows and null ids are passed on; other
@@ -205,7 +282,7 @@ def scan_licenses(
     """
 
     def make() -> Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]]:
-        scan = Scanner(idf, phrases, templates, min_share)
+        scan = Scanner(idf, phrases, templates, min_share, forms)
         kinds = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.float64()]
         names = [column.split()[0] for column in RESULT.split(", ")]
 

@@ -69,3 +69,44 @@ def test_rarity_is_counted_over_all_rows(spark):
 def test_empty_table(spark):
     empty = spark.createDataFrame([], DOCUMENTS)
     assert licenses.scan_licenses(empty, licenses.fit_idf(empty)).count() == 0
+
+
+GPL = (
+    "This program is free software: you can redistribute it and/or modify\n# it under the terms of the GNU General "
+    "Public License as published by\n# the Free Software Foundation, either version {} of the License, or\n"
+    "# (at your option) any later version.\n"
+)
+
+
+@pytest.mark.parametrize(
+    "text, label",
+    [
+        ("GNU GENERAL PUBLIC LICENSE\nVersion 3, 29 June 2007\nCopyright (C) 2007", "gpl-3.0"),
+        ("GNU GENERAL PUBLIC LICENSE\nVersion 2, June 1991\nCopyright (C) 1989", "gpl-2.0"),
+        (GPL.format(3), "gpl-3.0"),
+        (GPL.format(2), "gpl-2.0"),
+        ("under the terms of the GNU General Public License version 2 as published by the Free", "gpl-2.0"),
+        ("the GNU General Public License as published by the Free Software Foundation; version 2 of the License.", "gpl-2.0"),
+        ("GNU LESSER GENERAL PUBLIC LICENSE\nVersion 2.1, February 1999", "lgpl"),
+        ("Apache License\nVersion 2.0, January 2004\nhttp://www.apache.org/licenses/", "apache-2.0"),
+        ("available under Apache License 2.0 from", "apache-2.0"),
+        ("a Creative Commons Attribution 4.0 International License", "cc-by-4.0"),
+        ("Creative Commons Attribution-NonCommercial 4.0 International Public License", "cc-by-nc-4.0"),
+        ("Creative Commons Attribution-ShareAlike 4.0 International", "cc-by-sa-4.0"),
+        ("The MIT License (MIT)\nCopyright (c) 2015", "mit-release"),
+        ("BSD 3-Clause License\nCopyright (c) 2017", "bsd"),
+        ("ISC License\n\nCopyright (c) 2004", "isc"),
+        ("Mozilla Public License Version 2.0\n1. Definitions", "mpl-2.0"),
+    ],
+)
+def test_titles_and_file_headers(text, label):
+    scan = licenses.Scanner({}, licenses.PHRASES, licenses.TEMPLATES, licenses.MIN_SHARE)
+    labels = scan(f"{make_text(7, 30)}\n{text}\n{make_text(8, 30)}")[5].split(",")
+    assert set(labels) - set(licenses.PHRASES.values()) == {label}
+
+
+def test_other_licences_of_the_family_do_not_match():
+    scan = licenses.Scanner({}, licenses.PHRASES, licenses.TEMPLATES, licenses.MIN_SHARE)
+    affero = GPL.format(3).replace("General", "Affero General")
+    for text in (affero, "GNU AFFERO GENERAL PUBLIC LICENSE\nVersion 3, 19 November 2007", GPL.format(1)):
+        assert not {"gpl-2.0", "gpl-3.0", "lgpl"} & set(scan(text)[5].split(","))
