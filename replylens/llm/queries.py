@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
 from replylens.llm import (
-    chat, exact, jaccard, langid, licenses, packing, pieces, quality, sharding, warc,
+    chat, divergence, exact, jaccard, langid, licenses, neighbours, packing, pieces, quality, repair, sharding, warc,
 )
 from replylens.llm.common import store
 
@@ -68,6 +68,18 @@ def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode_digests(table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair_conversations(table(spark, sf_dir, "conversations"), damaged=True)
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergence(table(spark, sf_dir, "documents"))
+
+
+def op13_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest_neighbours(table(spark, sf_dir, "embeddings"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -77,6 +89,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         query.__name__: query
         for query in (
             op1_jaccard_join, op2_language_id, op3_shards, op4_license_scan, op5_chat_format,
-            op6_quality_rules, op7_packing, op8_warc, op9_exact_dedup, op10_pieces, pipeline,
+            op6_quality_rules, op7_packing, op8_warc, op9_exact_dedup, op10_pieces, op11_conversation_repair,
+            op12_source_divergence, op13_nearest_neighbours, pipeline,
         )
     }

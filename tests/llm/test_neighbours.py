@@ -1,0 +1,106 @@
+import math
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from replylens.llm import neighbours
+
+SCHEMA = "vec_id long, embedding array<double>, label int"
+
+
+def exact(rows, nearest=5, every=50):
+    """For each query its sorted candidates ``(-score, id)``; rows are ``(id, vector)``."""
+    kept = [(i, v) for i, v in rows if v and all(x is not None and math.isfinite(x) for x in v) and any(v)]
+    out = {}
+    for at, (i, v) in enumerate(kept):
+        if i is None or i % every:
+            continue
+        q, scored = np.array(v), []
+        for other, (j, w) in enumerate(kept):
+            if other != at:
+                c = np.array(w)
+                scored.append((-float((q * c).sum() / np.sqrt((q * q).sum() * (c * c).sum())), j is None, j or 0))
+        out.setdefault(i, []).append(sorted(scored)[:nearest])
+    return out
+
+
+def found(df, **more):
+    out = {}
+    for r in neighbours.nearest_neighbours(df, **more).orderBy("query_id", "rank").collect():
+        out.setdefault(r["query_id"], []).append(r)
+    return out
+
+
+def test_recall_on_a_table(spark):
+    df = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    expected = exact([(r["vec_id"], r["embedding"]) for r in df.collect()])
+    got = found(df)
+    assert set(got) == set(expected)
+    hits = sum(len({r["vec_id"] for r in got[i]} & {x[2] for x in expected[i][0]}) for i in got)
+    assert hits >= 0.9 * 5 * len(got)
+    for i, rows in got.items():
+        assert [r["rank"] for r in rows] == [1, 2, 3, 4, 5]
+        assert [-r["score"] for r in rows] == sorted(-r["score"] for r in rows)
+
+
+def test_recall_with_many_parts(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "PART_VECTORS", 64)
+    rng = np.random.default_rng(3)
+    centres = rng.standard_normal((40, 16)) * 2
+    vectors = centres[rng.integers(0, 40, 4000)] + rng.standard_normal((4000, 16)) * 0.5
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors)]
+    got = found(spark.createDataFrame([(*r, 0) for r in rows], SCHEMA), sample=2048)
+    expected = exact(rows)
+    hits = sum(len({r["vec_id"] for r in got[i]} & {x[2] for x in expected[i][0]}) for i in got)
+    assert hits >= 0.9 * 5 * len(expected)
+    router = neighbours.fit_router(spark, vectors[:2048], len(vectors))
+    assert router.parts > 8 and router.tries <= router.parts / 2
+
+
+def test_a_vector_with_a_third_of_all_rows(spark):
+    rng = random.Random(4)
+    hot = [rng.random() for _ in range(8)]
+    rows = [(i, hot if i % 3 == 0 else [rng.gauss(0, 1) for _ in range(8)]) for i in range(1200)]
+    got = found(spark.createDataFrame([(*r, 0) for r in rows], SCHEMA))
+    for query in (0, 150, 300):
+        copies = [i for i in range(0, 1200, 3) if i != query][:5]
+        assert [r["vec_id"] for r in got[query]] == copies
+        assert all(r["score"] == 1.0 for r in got[query])
+
+
+def test_hard_rows(spark):
+    nan, inf = float("nan"), float("inf")
+    vectors = [None, [], [0.0, 0.0], [None, 1.0], [nan, 1.0], [1.0, inf], [1.0, 0.0], [2.0, 0.0], [0.5, 0.5], [1e200, -1e200], [1e-200, 0.0], [-1.0, 0.0]]
+    rows = [(50 * i, v) for i, v in enumerate(vectors)] + [(None, [1.0, 0.0]), (300, [1.0, 0.0]), (300, [1.0, 0.0]), (7, [1.0, 0.0, 0.0])]
+    df = spark.createDataFrame([(i, v, 0) for i, v in rows], SCHEMA)
+    clashing = df.selectExpr("*", "1 AS number", "'x' AS part", "2 AS vector", "3 AS ids", "4 AS found", "5 AS rank")
+    usable = [(i, v) for i, v in rows if v is None or len(v) == 2]
+    scaled = [(i, [x / 2**700 for x in v] if v and v[0] == 1e200 else v) for i, v in usable]
+    scaled = [(i, [x * 2**600 for x in v] if v and v[0] == 1e-200 else v) for i, v in scaled]
+    expected = exact(scaled)
+    got = found(clashing)
+    assert set(got) == set(expected)
+    for query, several in expected.items():
+        lists = [several[0]] * len(several)
+        want = sorted((rank, None if x[1] else x[2], round(-x[0], 12)) for found_list in lists for rank, x in enumerate(found_list, 1))
+        assert [(r["rank"], r["vec_id"], round(r["score"], 12)) for r in got[query]] == want
+
+
+@pytest.mark.parametrize("number", [0, 1, 2, 4])
+def test_few_rows(spark, number):
+    df = spark.createDataFrame([(50 * i, [1.0, float(i)], 0) for i in range(number)], SCHEMA)
+    got = found(df)
+    assert {q: len(r) for q, r in got.items()} == ({50 * i: number - 1 for i in range(number)} if number > 1 else {})
+    assert neighbours.nearest_neighbours(df.filter(F.lit(False))).count() == 0
+
+
+def test_parts_are_balanced_and_keep_neighbours():
+    rng = np.random.default_rng(1)
+    points = neighbours.unit_rows(rng.standard_normal((8, 12))[np.arange(800) % 8] + rng.standard_normal((800, 12)) * 0.2)
+    links = neighbours.nearest_rows(points, points, 8, np.arange(800))
+    part = neighbours.balanced_parts(links, 8)
+    sizes = np.bincount(part, minlength=8)
+    assert sizes.max() <= 1.06 * 100 and sizes.min() >= 0.9 * 100
+    assert (part[links] == part[:, None]).mean() > 0.6
