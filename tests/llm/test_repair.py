@@ -53,7 +53,37 @@ def cheapest(turns):
                         heapq.heappush(heap, (cost + price + more, audit + letter, at + 1, reach[new[0]], turn))
 
 
-def brute_force(rows, damage=True):
+def turn_by_turn(turns):
+    """The same for long conversations: the best path to each state, one turn after another."""
+    follow, reach = {"u": (0, 1, 3), "a": (2,), "s": (0,)}, {"s": 1, "u": 2, "a": 3}
+
+    def with_inserts(best):
+        out = dict(best)
+        for _ in range(2):
+            for state, (cost, audit, kept) in list(out.items()):
+                role = "assistant" if state == 2 else "user"
+                way = (cost + 5, audit + "I", (*kept, f"{role}:"))
+                out[reach[role[0]]] = min(out.get(reach[role[0]], way), way)
+        return out
+
+    best = {0: (0, "", ())}
+    for role, text, fault in turns:
+        ways = {}
+        for state, (cost, audit, kept) in with_inserts(best).items():
+            options = [(cost + 2, audit + "D", state, kept)]
+            if fault not in ("blank", "duplicate"):
+                more = 5 if fault == "truncated" else 0
+                for letter, price, new in [("K", 0, role), ("R", 1, "user"), ("R", 1, "assistant")]:
+                    if state in follow.get(new[:1], ()):
+                        options.append((cost + price + more, audit + letter, reach[new[0]], (*kept, f"{new}:{text}")))
+            for price, edits, end, turns_kept in options:
+                ways[end] = min(ways.get(end, (price, edits, turns_kept)), (price, edits, turns_kept))
+        best = ways
+    cost, audit, kept = min(v for q, v in with_inserts(best).items() if q in (0, 3))
+    return cost, audit, "\n".join(kept)
+
+
+def brute_force(rows, damage=True, solve=cheapest):
     out = []
     after = damaged(rows) if damage else [(c, t, r or " ", " " if x is None else x) for c, t, r, x in rows]
     for conv in {r[0] for r in rows}:
@@ -68,7 +98,7 @@ def brute_force(rows, damage=True):
         numbers = [t for t, _, _ in turns if t is not None]
         gaps = max(numbers) - min(numbers) + 1 - len(set(numbers)) if numbers else 0
         illegal = sum(a[0][:1] + b[0][:1] not in ("su", "ua", "au") for a, b in zip(judged, judged[1:]))
-        cost, audit, kept = cheapest(judged)
+        cost, audit, kept = solve(judged)
         digest = hashlib.sha256(kept.encode()).hexdigest()
         out.append((conv, gaps, faults["blank"], faults["duplicate"], faults["truncated"], illegal, cost, audit, digest))
     return Counter(out)
@@ -106,10 +136,10 @@ def test_sql_on_hard_rows(spark):
 
 def test_one_long_conversation_in_many_blocks(spark):
     rng = random.Random(8)
-    rows = [(7, i, rng.choice(["user", "assistant"]), f"turn {rng.randint(0, 300)}{rng.choice('.!?,')}") for i in range(2500)]
+    rows = [(7, i, rng.choice(["user", "assistant"]), f"turn {rng.randint(0, 300)}{rng.choice('.!?,')}") for i in range(800)]
     rows += [(i, t, "user", "x.") for i in range(3) for t in range(2)]
     df = spark.createDataFrame(rows, SCHEMA).repartition(5)
-    assert found(df, block_rows=64) == brute_force(rows)
+    assert found(df, block_rows=64) == brute_force(rows, solve=turn_by_turn)
 
 
 def test_without_damage(spark):
@@ -125,10 +155,11 @@ def test_empty_table(spark):
 
 def test_halves_give_the_least_audit():
     rng = random.Random(2)
-    for _ in range(300):
+    for _ in range(200):
         kinds = [(rng.choice(["system", "user", "assistant", "x"]), rng.choice([None, None, "blank", "truncated"])) for _ in range(rng.randint(0, 7))]
         faults = {None: 0, "blank": 1, "truncated": 2}
         steps = bytes((3 * "sua".find(r[0]) if r[0] in "sua" else 9) + faults[f] for r, f in kinds)
         texts, cost, state = repair.edits(steps, repair.START, repair.ENDS)
         expected = cheapest([(r, "", f) for r, f in kinds])
         assert (cost + repair.ENDS[state], "".join(texts) + repair.TAIL[state]) == expected[:2]
+        assert turn_by_turn([(r, "", f) for r, f in kinds])[:2] == expected[:2]
