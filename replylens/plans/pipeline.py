@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from replylens.functions.ordering import smallest_n
 from replylens.operators import annotation, cleaning, collections, insights, profiling, timestats, topics
-from replylens.operators.embedding import Encoder, embed, project_2d
+from replylens.operators.embedding import Encoder, project_2d, text_vectors, with_vectors
 from replylens.session import cut_lineage
 from replylens.sources import messages as sources, writers
 
@@ -66,8 +66,8 @@ def analyze(
 ) -> DataFrame:
     """Annotate stored pairs and store them; unreadable replies go to a table of their own.
 
-    All pairs with their whole texts, or the first ``limit`` by id. Replies are written before they are used, so the annotator is not called again
-    for every reader.
+    All pairs with their whole texts, or the first ``limit`` by id. Replies are written before
+    they are used, so the annotator is not called again for every reader.
     """
     pairs = writers.read_collection(spark, f"{output}/collections/rejected_pairs")
     if pairs is None:
@@ -119,12 +119,13 @@ def insights_step(
     }
     if clustering.terms is not None:
         tables["cluster_terms"] = clustering.terms
+        tables["cluster_centres"] = clustering.centres
         tables["cluster_summary"] = topics.cluster_summary(rows, clustering.terms)
         filled = rows.withColumn(
             "_reason", F.coalesce("rejection_reason", F.lit(topics.NO_REASON))
         )
-        vectors = embed(filled, "_reason", encoder=encoder).drop("_reason")
-        plane = project_2d(vectors, "embedding").drop("embedding")
+        vectors = with_vectors(filled, "_reason", text_vectors(filled, "_reason", encoder))
+        plane = project_2d(vectors.drop("_reason"), "embedding").drop("embedding")
         writers.write_table(plane, f"{output}/insights/reasons_2d")
     tables["prompt"] = insights.insight_prompt(
         tables["cluster_counts"], clustering.terms, tables["cluster_examples"], tables["category_distribution"]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 import json
 from collections.abc import Callable
 
@@ -20,8 +21,9 @@ from replylens.operators import (
 from replylens.functions.columns import stable_hash
 from replylens.functions.ordering import per_group_sample
 from replylens.schema import ACTION_FLAGS
-from replylens.session import cut_lineage
-from replylens.sources import driver_tables as tables
+from replylens.plans import pipeline
+from replylens.session import cut_lineage, new_folder
+from replylens.sources import driver_tables as tables, messages as sources, writers
 from replylens.sources.messages import repair_analysis
 
 DATE_RANGE = "2024-01-10:2024-01-20"
@@ -235,7 +237,21 @@ def collection_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def upsert_collection(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Final responses replace the customer text of their message or come in as new keys."""
-    comparison = tables.comparison(spark, sf_dir)
+    existing, incoming = _loads(cut_lineage(tables.comparison(spark, sf_dir), "comparison"))
+    return collections.upsert(existing, cut_lineage(incoming, "incoming"), order=F.col("sequence"))
+
+
+def stored_collection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same two loads through the sink, read back from the stored collection."""
+    existing, incoming = _loads(cut_lineage(tables.comparison(spark, sf_dir), "comparison"))
+    root = new_folder(spark, "collection")
+    writers.upsert_collection(existing, root)
+    writers.upsert_collection(incoming, root, order=F.col("sequence"))
+    return writers.read_collection(spark, root)
+
+
+def _loads(comparison: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """A collection's first load, and one that replaces and adds rows."""
     existing = collections.customer_messages(comparison).select("id", "document")
     first = comparison.select(
         F.col("id").cast("string").alias("id"), F.col("message_output").alias("document")
@@ -249,13 +265,14 @@ def upsert_collection(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("id", "document")
         .withColumn("sequence", F.lit(1))
     )
-    incoming = first.filter("document LIKE '%the%'").unionByName(second).unionByName(new)
-    return collections.upsert(existing, cut_lineage(incoming, "incoming"), order=F.col("sequence"))
+    return existing, first.filter("document LIKE '%the%'").unionByName(second).unionByName(new)
 
 
 def fetch_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From the collection as it is stored."""
     pairs = collections.rejected_pairs(tables.comparison(spark, sf_dir))
-    return _flat(collections.fetch_pairs(pairs, FETCH_LIMIT))
+    stored = cut_lineage(pairs.select("id", "document", "metadata"), "pairs")
+    return _flat(collections.fetch_pairs(stored, FETCH_LIMIT))
 
 
 def parse_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -265,18 +282,15 @@ def parse_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def embed_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The entries, other than zero, of the vectors of all four collections."""
     parts = collections.project_collections(cut_lineage(tables.comparison(spark, sf_dir), "comparison"))
-    texts = [
-        part.select(F.lit(name).alias("collection"), "id", "embed_text") for name, part in parts.items()
-    ]
-    united = texts[0]
-    for part in texts[1:]:
-        united = united.unionByName(part)
+    texts = collections.embedded_texts(parts)
     entries = F.transform(
         "embedding", lambda v, i: F.struct(i.alias("place"), F.round(v.cast("double"), 5).alias("value"))
     )
-    return embedding.embed(united, "embed_text").select(
-        "collection", "id", F.inline(F.filter(entries, lambda e: e["value"] != 0))
+    vectors = embedding.text_vectors(texts, "embed_text").select(
+        "digest", F.filter(entries, lambda e: e["value"] != 0).alias("entries")
     )
+    named = texts.select("collection", "id", embedding.text_digest("embed_text").alias("digest"))
+    return named.join(vectors, "digest").select("collection", "id", F.inline("entries"))
 
 
 # Annotation
@@ -356,11 +370,9 @@ def tfidf_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _vectors(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, topics.TermSpace]:
-    reasons = cut_lineage(
-        _analysis(spark, sf_dir).select("id", "cluster", "rejection_reason"), "reasons"
-    )
-    space = topics.fit_terms(reasons)
-    return topics.tfidf_vectors(reasons, space), space
+    counted = topics.count_terms(_analysis(spark, sf_dir).select("id", "cluster", "rejection_reason"))
+    space = topics.fit_terms(counted)
+    return topics.tfidf_vectors(counted, space), space
 
 
 def tfidf_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -374,8 +386,45 @@ def cluster_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cluster_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
-    reasons = _analysis(spark, sf_dir).select("id", "rejection_reason")
-    return topics.cluster_reasons(reasons).rows.select("id", "cluster")
+    """Whether each row is in the cluster whose centre is nearest to it."""
+    counted, space, clustering = _clustered(spark, sf_dir)
+    vectors = topics.tfidf_vectors(counted, space).select("id", "features").join(
+        clustering.rows.select("id", "cluster"), "id"
+    )
+    weights = topics.tfidf_weights(vectors, space).join(vectors.select("id", "cluster"), "id")
+    centres = clustering.centres
+    length = centres.groupBy(F.col("cluster").alias("near")).agg(F.sum(F.col("weight") ** 2).alias("length"))
+    # At most clusters x terms rows. A squared distance without the row's own length.
+    products = weights.withColumnRenamed("weight", "w").join(F.broadcast(centres.withColumnRenamed("cluster", "near")), "term")
+    near = products.groupBy("id", "cluster", "near").agg(F.sum(F.col("w") * F.col("weight")).alias("product"))
+    # Rows without any term are as far from each centre as it is long.
+    every = vectors.select("id", "cluster").join(F.broadcast(length)).join(near, ["id", "cluster", "near"], "left")
+    distance = F.col("length") - 2 * F.coalesce("product", F.lit(0.0))
+    own = F.max(F.when(F.col("near") == F.col("cluster"), distance))
+    return every.groupBy("id").agg((own <= F.min(distance) + 1e-9).alias("at_nearest"))
+
+
+def cluster_centres(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each term, the clusters whose centre has the mean of its rows' weights."""
+    counted, space, clustering = _clustered(spark, sf_dir)
+    labelled = clustering.rows.select("id", "cluster")
+    weights = topics.tfidf_weights(topics.tfidf_vectors(counted, space).select("id", "features"), space)
+    sums = weights.join(labelled, "id").groupBy("cluster", "term").agg(F.sum("weight").alias("total"))
+    means = clustering.centres.join(sums, ["cluster", "term"], "left").join(
+        labelled.groupBy("cluster").agg(F.count("*").alias("rows")), "cluster", "left"
+    )
+    off = F.abs(F.col("weight") - F.coalesce("total", F.lit(0.0)) / F.col("rows"))
+    return means.groupBy("term").agg(
+        F.count("*").alias("centres"), F.count_if(off < 1e-6).alias("means")
+    )
+
+
+def _clustered(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, topics.TermSpace, topics.Clustering]:
+    """Counted reasons, their terms, and the clustering with its rows stored."""
+    counted = topics.count_terms(_analysis(spark, sf_dir).select("id", "rejection_reason"))
+    clustering = topics.cluster_reasons(counted)
+    rows = cut_lineage(clustering.rows.select("id", "cluster"), "clustered")
+    return counted, topics.fit_terms(counted), dataclasses.replace(clustering, rows=rows)
 
 
 def cluster_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -398,8 +447,9 @@ def cluster_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def cluster_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = cut_lineage(_analysis(spark, sf_dir), "analysis")
-    space = topics.fit_terms(rows)
-    vectors = topics.tfidf_vectors(rows.select("cluster", "rejection_reason"), space)
+    counted = topics.count_terms(rows.select("cluster", "rejection_reason"))
+    space = topics.fit_terms(counted)
+    vectors = topics.tfidf_vectors(counted, space)
     summary = topics.cluster_summary(rows, topics.cluster_terms(vectors, space))
     return summary.select(
         "cluster",
@@ -415,8 +465,9 @@ def cluster_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def insight_prompt(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = cut_lineage(_analysis(spark, sf_dir), "analysis")
-    space = topics.fit_terms(rows)
-    vectors = topics.tfidf_vectors(rows.select("cluster", "rejection_reason"), space)
+    counted = topics.count_terms(rows.select("cluster", "rejection_reason"))
+    space = topics.fit_terms(counted)
+    vectors = topics.tfidf_vectors(counted, space)
     return insights.insight_prompt(
         topics.cluster_counts(rows),
         topics.cluster_terms(vectors, space),
@@ -441,9 +492,132 @@ def quarantine_insights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return insights.quarantine_insights(tables.insight_documents(spark, sf_dir))
 
 
+# Stored outputs, read back, and the whole run
+
+
+def csv_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw log as CSV files, line breaks in quotes included, through the library's reader."""
+    return sources.scan_messages_csv(spark, _csv_log(spark, sf_dir))
+
+
+def _csv_log(spark: SparkSession, sf_dir: str) -> str:
+    path = new_folder(spark, "log")
+    writers.write_table(tables.raw_messages(spark, sf_dir), path, format="csv")
+    return path
+
+
+def stored_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The two subsets of the log as the preprocess step stores them."""
+    cleaned = cut_lineage(tables.messages(spark, sf_dir), "messages")
+    found = []
+    for name, part in (("analysis", cleaning.analysis_set(cleaned)), ("comparison", cleaning.comparison_set(cleaned))):
+        path = new_folder(spark, name)
+        writers.write_table(part, path)
+        stored = sources.read_stored(spark, path)
+        found.append(stored.select(F.lit(name).alias("dataset"), "id", "sender_action", "edit_distance"))
+    return found[0].unionByName(found[1])
+
+
+def stored_annotations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Annotated pairs as CSV, read back."""
+    annotated = attach_annotations(spark, sf_dir)
+    path = new_folder(spark, "annotated")
+    writers.write_table(annotated, path, format="csv")
+    # Texts may have line breaks.
+    return spark.read.options(header=True, multiLine=True, escape='"').schema(annotated.schema).csv(path)
+
+
+def stored_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The parts of the profile as JSON lines, read back: totals, outcomes and intents."""
+    path = new_folder(spark, "profile")
+    writers.write_profile(profiling.profile(cut_lineage(tables.messages(spark, sf_dir), "messages")), path)
+    parts = {
+        "stats": (F.lit("total_messages"), "total_messages"),
+        "action_breakdown": (F.col("sender_action"), "messages"),
+        "intent_distribution": (F.col("detected_intent").cast("string"), "messages"),
+    }
+    found = [
+        spark.read.json(f"{path}/{part}").select(F.lit(part).alias("part"), key.alias("item"), F.col(n).alias("value"))
+        for part, (key, n) in parts.items()
+    ]
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
+def stored_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The statistics tables as CSV, read back: rows and sums of each."""
+    rollup = cut_lineage(timestats.rollup(tables.actions(spark, sf_dir)), "rollup")
+    kept = ["daily_stats", "weekday_stats", "hourly_stats", "daypart_stats", "agent_stats", "weekly_stats"]
+    root = new_folder(spark, "time")
+    found = None
+    for name, part in pipeline.statistics_tables(rollup).items():
+        if name not in kept:
+            continue
+        writers.write_table(part, f"{root}/{name}", format="csv")
+        back = spark.read.option("header", True).csv(f"{root}/{name}").select(
+            *(F.col(c).cast("long") for c in ("total_messages", "accepted", "edited")), F.col("acceptance_rate").cast("double")
+        )
+        row = back.agg(
+            F.lit(name).alias("name"),
+            F.count("*").alias("rows"),
+            F.sum("total_messages").alias("messages"),
+            F.sum("accepted").alias("accepted"),
+            F.sum("edited").alias("edited"),
+            F.round(F.sum("acceptance_rate"), 4).alias("rates"),
+        )
+        found = row if found is None else found.unionByName(row)
+    return found
+
+
+def stored_insights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parsed insights as JSON lines, read back: each one's summary and number of findings."""
+    parsed = insights.parse_insights(tables.insight_documents(spark, sf_dir)).select("id", "insights")
+    path = new_folder(spark, "insights")
+    writers.write_table(parsed, path, format="json")
+    back = spark.read.schema(parsed.schema).json(path).filter("insights IS NOT NULL")
+    return back.select(
+        "id",
+        F.col("insights.resumen_ejecutivo").alias("summary"),
+        F.coalesce(F.size("insights.hallazgos_clave"), F.lit(0)).alias("findings"),
+    )
+
+
+def whole_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All five steps over the log as CSV files; what each of them stored, counted."""
+
+    def answer(prompt: str) -> str:
+        items = range(annotation.BATCH_SIZE)
+        reasons = [f"la respuesta {'larga' if j % 2 else 'corta'} no dice el precio {len(prompt) % 7}" for j in items]
+        return json.dumps(
+            [{"id": j, "rejection_reason": r, "rejection_category": "tono"} for j, r in enumerate(reasons)]
+        )
+
+    out = new_folder(spark, "run")
+    pipeline.run(spark, _csv_log(spark, sf_dir), out, call=answer, date_range=DATE_RANGE, backoff_seconds=0)
+    folders = [
+        "messages", "analysis_dataset", "comparison_dataset", "annotation/batches", "annotation/quarantine",
+        "rejection_analysis", "clustered", "insights/reasons_2d",
+    ]
+    stored = {name: spark.read.parquet(f"{out}/{name}") for name in folders}
+    stored |= {name: writers.read_collection(spark, f"{out}/collections/{name}") for name in collections.COLLECTIONS}
+    counts = collections.collection_counts(stored).withColumnRenamed("collection", "item")
+    centres = spark.read.parquet(f"{out}/insights/cluster_centres")
+    days = spark.read.option("header", True).csv(f"{out}/time/daily_stats")
+    return (
+        counts.unionByName(days.agg(F.lit("messages in range").alias("item"), F.sum(F.col("total_messages").cast("long")).alias("entries")))
+        .unionByName(centres.agg(F.lit("clusters").alias("item"), F.count_distinct("cluster").alias("entries")))
+    )
+
+
 REGISTERED: list[Query] = [
     scan_messages,
     csv_messages,
+    csv_files,
+    stored_sets,
+    stored_annotations,
+    stored_profile,
+    stored_statistics,
+    stored_insights,
+    whole_run,
     clean_messages,
     action_flags,
     edit_distance,
@@ -481,6 +655,7 @@ REGISTERED: list[Query] = [
     collection_pairs,
     collection_counts,
     upsert_collection,
+    stored_collection,
     fetch_pairs,
     parse_pairs,
     embed_texts,
@@ -496,6 +671,7 @@ REGISTERED: list[Query] = [
     tfidf_weights,
     cluster_terms,
     cluster_reasons,
+    cluster_centres,
     cluster_counts,
     category_distribution,
     category_by_cluster,

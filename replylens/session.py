@@ -27,9 +27,14 @@ def build_session(app: str = "replylens", master: str | None = None, **conf: str
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors see: ``spark.checkpoint.dir``, or one in the warehouse."""
+    """The folder that all executors see: ``spark.checkpoint.dir``. Where the driver and its
+    executors are one process, a folder in the warehouse does as well."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    return (named or f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints").rstrip("/")
+    if named:
+        return named.rstrip("/")
+    if spark.sparkContext.master.partition("[")[0] != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
 
 
 def new_folder(spark: SparkSession, name: str) -> str:

@@ -84,7 +84,8 @@ def test_fetch_skips_incomplete_rows_and_limits(spark):
 
 def test_columns_of_a_pair_keep_line_breaks(log):
     cleaned = cleaning.clean_messages(log({"sender_action": "EDITED", "message_input": "uno\ndos"}))
-    assert collections.pair_items(cleaned).first()["customer_message"] == "uno\ndos"
+    pairs = collections.rejected_pairs(cleaned)
+    assert collections.stored_pair_items(pairs).first()["customer_message"] == "uno\ndos"
 
 
 def docs(spark, **texts):
@@ -105,13 +106,16 @@ def test_upsert_takes_the_latest_of_duplicates(spark):
     assert collections.upsert(docs(spark, a="0"), new, F.col("n")).collect()[0]["document"] == "y"
 
 
-def test_versions_on_disk(spark, tmp_path):
+def test_loads_on_disk(spark, tmp_path):
     root = str(tmp_path / "collection")
     assert writers.read_collection(spark, root) is None
-    assert writers.upsert_collection(docs(spark, a="1"), root) == 1
-    assert writers.upsert_collection(docs(spark, a="2", b="3"), root) == 2
-    stored = {r["id"]: r["document"] for r in writers.read_collection(spark, root).collect()}
-    assert stored == {"a": "2", "b": "3"}
+    writers.upsert_collection(docs(spark, a="1"), root)
+    writers.upsert_collection(docs(spark, a="2", b="3"), root)
+    stored = writers.read_collection(spark, root)
+    assert stored.columns == ["id", "document"]
+    assert {r["id"]: r["document"] for r in stored.collect()} == {"a": "2", "b": "3"}
+    writers.upsert_collection(docs(spark, a="2").limit(0), root)
+    assert writers.read_collection(spark, root).count() == 2
 
 
 def test_the_later_row_of_a_load_wins(spark, log, tmp_path):
@@ -134,20 +138,34 @@ def test_a_failed_load_changes_nothing(spark, tmp_path):
     with pytest.raises(Exception, match="stop"):
         writers.upsert_collection(broken, root)
     assert {r["id"]: r["document"] for r in writers.read_collection(spark, root).collect()} == {"a": "1", "b": "1"}
-    (tmp_path / "collection" / "commits" / "2").mkdir()
-    assert writers.read_collection(spark, root).count() == 2
 
 
-def test_only_touched_buckets_are_written_and_old_ones_go(spark, tmp_path):
+def test_only_touched_buckets_are_written(spark, tmp_path):
     root = tmp_path / "collection"
     writers.upsert_collection(docs(spark, **{f"k{i}": "0" for i in range(300)}), str(root))
-    for n in range(1, 5):
-        assert writers.upsert_collection(docs(spark, k1=str(n)), str(root), keep=2) == n + 1
-    folders = [len([b for b in f.iterdir() if b.name.startswith("bucket=")]) for f in (root / "data").iterdir()]
-    assert sorted(folders) == [1, 1, 64] or sorted(folders)[:-1] == [1, 1]
-    assert len([c for c in (root / "commits").iterdir() if c.name.isdigit()]) == 2
+    files = lambda: {f for f in root.glob("bucket=*/*.parquet")}
+    before = files()
+    for n in range(1, 4):
+        writers.upsert_collection(docs(spark, k1=str(n)), str(root))
+    assert len(before - files()) == 1 and len(files()) == len(before)
     rows = {r["id"]: r["document"] for r in writers.read_collection(spark, str(root)).collect()}
-    assert len(rows) == 300 and rows["k1"] == "4" and rows["k2"] == "0"
+    assert len(rows) == 300 and rows["k1"] == "3" and rows["k2"] == "0"
+
+
+def test_texts_are_embedded_once(spark):
+    """Vectors by way of distinct texts are those of each row."""
+    texts = ["Hola hola mundo", "", None, "hola", "hola"] * 20
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    seen = spark.sparkContext.accumulator(0)
+
+    def encoder(batch):
+        seen.add(len(batch))
+        return [[1.0, float(len(t))] for t in batch]
+
+    vectors = embedding.text_vectors(df, "text", encoder)
+    found = {r["id"]: r["embedding"] for r in embedding.with_vectors(df, "text", vectors).collect()}
+    direct = {r["id"]: r["embedding"] for r in embedding.embed(df, "text", encoder=lambda b: [[1.0, float(len(t))] for t in b]).collect()}
+    assert found == direct and vectors.count() == seen.value == 3
 
 
 def test_default_vectors_are_unit_length_counts(spark):

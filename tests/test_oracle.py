@@ -39,10 +39,8 @@ def bag(rows):
 
 def test_every_oracle_belongs_to_a_query():
     assert set(contract.oracle_sql()) <= set(contract.queries())
-    # Fitted clusters have no SQL equivalent; test_topics checks them. Queries of the
-    # pipeline operators are checked beside these.
-    library = set(registry.queries())
-    assert library - set(contract.oracle_sql()) == {"cluster_reasons"}
+    # Queries of the pipeline operators are checked beside these.
+    assert set(registry.queries()) <= set(contract.oracle_sql())
 
 
 def test_entry_returns_daily_rows(spark):

@@ -113,3 +113,17 @@ def test_preview_is_cut_at_fifty(log):
 def test_presence_counts_nulls_only(log):
     row = profiling.presence_counts(log({"message_input": ""}, {"message_input": None})).first()
     assert (row["message_input_present"], row["message_output_present"]) == (1, 2)
+
+
+def test_positions_of_repeated_rows_and_null_keys(spark):
+    """Rows alike take as many numbers, and texts take no part in the numbering's shuffle."""
+    rows = [(1, "a"), (1, "a"), (1, "b"), (2, "a"), (None, "x"), (None, "x"), (None, None)]
+    df = spark.createDataFrame(rows * 3, "id long, text string")
+    numbered = dense_position(df, "id")
+    found = numbered.collect()
+    assert sorted(r["position"] for r in found) == list(range(21))
+    assert sorted((str(r["id"]), str(r["text"])) for r in found) == sorted((str(i), str(t)) for i, t in rows * 3)
+    by_place = [r["id"] for r in sorted(found, key=lambda r: r["position"])]
+    assert by_place == sorted(by_place, key=lambda i: "" if i is None else hashlib.md5(str(i).encode()).hexdigest())
+    exchanges = numbered._jdf.queryExecution().executedPlan().toString().split("Exchange hashpartitioning(_range")
+    assert len(exchanges) > 1 and all("text" not in part.split("\n")[0] for part in exchanges[1:])
