@@ -4,18 +4,17 @@ Two documents link when the Jaccard similarity of their shingle sets reaches ``p
 A pair of sets of sizes s <= t links exactly when they share ``shared(s, t)`` shingles.
 
 Small sets list all their subsets of that fixed size: sets with a subset in common link
-without another look. Large sets have far too many subsets, so they go into inverted lists.
-A list of a single shingle would hold every document with a common passage, so the key of
-a list is a cell: shingles are dealt by hash into more cells than a linking pair can differ
-in, and so at least one cell is the same in both. The boundary between both ways is the
-size at which the rows that they make cost least.
+without another look. Large sets have far too many subsets, so they go into inverted lists
+of their shingles: all shingles are ordered by how often they occur, rare ones first, and a set is
+in the lists of as many of its first shingles as a linking pair cannot both do without.
+A passage in many documents is last in their order, and so makes no list of theirs. The
+boundary between both ways is the size at which the rows that they make cost least.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 from itertools import combinations
 
 import numpy as np
@@ -23,21 +22,22 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from replylens.llm.common import map_batches, same, store
+from replylens.llm.common import map_batches, store
 
 WORDS = 3
 PERCENT = 90
-COMMON = 20  # rows of a list from which on it counts as common
 LARGEST_SMALL = 30  # sizes above are never worth their subsets
-CELL_COST = 4  # a row of a list against one of a subset, as its pairs must be compared
+LIST_COST = 4  # a row of a list against one of a subset, as its pairs must be compared
+COUNTERS = 1 << 20  # of shingles, by hash; they settle the order only, in which any order is exact
+CHUNKS = 64  # in which counters are summed
 CACHED_WORDS = 400_000
 KEPT_SETS = 2_000  # of texts just compared
 ROUNDS = 6  # of comparing each row with one centre before all open pairs are compared
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
-SIGNATURES = "id long, row long, n_shingles long, first long, second long, small array<long>"
+SETS = "id long, row long, n_shingles long, first long, second long, small array<long>, chunk int, counts binary"
 SUBSETS = "key long, row long, n int, gap int"
-CELLS = "key long, row long, place int"
+LISTED = "key long, row long, n int, most int"
 
 
 def shared(s: int, t: int, percent: int) -> int:
@@ -49,23 +49,9 @@ def largest_partner(s: int, percent: int) -> int:
     return 100 * s // percent
 
 
-@lru_cache(maxsize=100_000)
-def band(n: int, percent: int) -> int:
-    """Sizes in bands: a set's partners are in its own band or in the ones beside it."""
-    return int(math.log(n) / math.log(100 / percent) + 1e-9)
-
-
-@lru_cache(maxsize=100_000)
-def cells(number: int, percent: int) -> tuple[int, int]:
-    """Cells for pairs whose larger set is in this band, and how many of them are spare.
-
-    A pair that links differs in fewer cells than those that are not spare, so it agrees
-    in more cells than are spare. A set can do without as many: empty or common ones.
-    """
-    top = math.ceil((100 / percent) ** (number + 1)) + 1
-    needed = 2 * top * (100 - percent) // (100 + percent) + 1
-    spare = max(2, needed * (100 - percent) // 60)
-    return needed + spare, spare
+def list_length(n: int, percent: int) -> int:
+    """Of a set's shingles so many: a linking partner lacks at most one less of them."""
+    return n + (percent * n) // -100 + 1
 
 
 def mixed(values: np.ndarray) -> np.ndarray:
@@ -121,29 +107,14 @@ def subset_keys(tokens: np.ndarray, percent: int) -> Iterator[tuple[int, int]]:
             yield key_of(low, high, subset), high - low
 
 
-def cell_keys(tokens: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of the set's cells, as the larger and as the smaller one of a pair, and beside
-    each ``2 * slack + level``: the cells that the set can still do without (-1: none, as
-    too many are empty), and which of the two it is."""
-    own = band(len(tokens), percent)
-    keys, places = [], []
-    spread = mixed(tokens ^ np.uint64(0x5851F42D4C957F2D))
-    for level, number in enumerate((own, own + 1)):
-        count, spare = cells(number, percent)
-        cell = (tokens % np.uint64(count)).astype(np.uint16 if count < 65536 else np.int64)
-        order = np.argsort(cell, kind="stable")
-        cell = cell[order]
-        starts = np.concatenate([[0], np.flatnonzero(cell[1:] != cell[:-1]) + 1])
-        sums = np.add.reduceat(spread[order], starts)
-        place = cell[starts].astype(np.uint64) + np.uint64((number << 32) + 1)
-        found = mixed(sums + mixed(place))
-        slack = spare - (count - len(starts))
-        if slack < 0:
-            # So many cells are empty that a pair may agree in empty ones alone.
-            found = np.append(found, np.uint64(number << 1 | 1))
-        keys.append(found)
-        places.append(np.full(len(found), 2 * max(slack, -1) + level, np.int32))
-    return np.concatenate(keys).view(np.int64), np.concatenate(places)
+def list_keys(tokens: np.ndarray, weights: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """The shingles in whose lists the set is, and beside each the size of the largest partner
+    with which it can be the first shingle that both share: what comes before is lost to both."""
+    n = len(tokens)
+    order = np.argsort(weights[(tokens % np.uint64(COUNTERS)).astype(np.int64)], kind="stable")
+    place = np.arange(list_length(n, percent))
+    most = (n - place) * (100 + percent) // percent - n
+    return tokens[order[: len(place)]].view(np.int64), most.astype(np.int32)
 
 
 def _row_id(id_col: str, text_col: str) -> Column:
@@ -151,26 +122,67 @@ def _row_id(id_col: str, text_col: str) -> Column:
     return F.xxhash64(F.col(id_col), F.col(text_col))
 
 
-def _signatures(words: int) -> Callable[[], Callable]:
-    def make() -> Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]]:
-        shingle = Shingler(words)
+def _sets(words: int) -> Callable:
+    """``SETS`` from ``id, row, text``: a row for each text, and at the end of a task its counts
+    of shingles, in chunks."""
 
-        def each(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingle, counters = Shingler(words), np.zeros(COUNTERS, np.int64)
+        names = [field.split()[0] for field in SETS.split(", ")]
+        for batch in batches:
             sizes, first, second, small = [], [], [], []
             for text in batch.column(2).to_pylist():
                 tokens = shingle(text)
                 a, b = signature(tokens)
                 sizes.append(len(tokens)), first.append(a), second.append(b)
                 small.append(tokens.view(np.int64).tolist() if len(tokens) <= LARGEST_SMALL else None)
+                # A set's shingles differ, but their counters may not.
+                np.add.at(counters, (tokens % np.uint64(COUNTERS)).astype(np.int64), 1)
             numbers = [pa.array(x, pa.int64()) for x in (sizes, first, second)]
+            rest = [pa.nulls(batch.num_rows, pa.int32()), pa.nulls(batch.num_rows, pa.binary())]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).cast(pa.int64()), batch.column(1), *numbers, pa.array(small, pa.list_(pa.int64()))],
-                ["id", "row", "n_shingles", "first", "second", "small"],
+                [batch.column(0).cast(pa.int64()), batch.column(1), *numbers, pa.array(small, pa.list_(pa.int64())), *rest],
+                names,
+            )
+        if counters.any():
+            parts = [c.tobytes() for c in np.minimum(counters, 65_535).astype("<u2").reshape(CHUNKS, -1)]
+            empty = [pa.nulls(CHUNKS, pa.int64())] * 5 + [pa.nulls(CHUNKS, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(
+                [*empty, pa.array(range(CHUNKS), pa.int32()), pa.array(parts, pa.binary())], names
             )
 
-        return each
+    return run
 
-    return make
+
+def _sum_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Tasks' counts, sorted by chunk, added up."""
+    current, total = None, None
+
+    def summed() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array([current], pa.int32()), pa.array([total.tobytes()], pa.binary())], ["chunk", "counts"]
+        )
+
+    for batch in batches:
+        for chunk, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            if chunk != current:
+                if current is not None:
+                    yield summed()
+                current, total = chunk, np.zeros(COUNTERS // CHUNKS, "<i8")
+            total += np.frombuffer(counts, "<u2")
+    if current is not None:
+        yield summed()
+
+
+def shingle_weights(sets: DataFrame) -> np.ndarray:
+    """How often the shingles of each counter occur, on a logarithmic scale of 16 bits. This
+    table of 2 MB is all that leaves the executors."""
+    counts = sets.filter("chunk IS NOT NULL").select("chunk", "counts")
+    ordered = counts.repartition("chunk").sortWithinPartitions("chunk")
+    total = np.zeros((CHUNKS, COUNTERS // CHUNKS), np.int64)
+    for row in ordered.mapInArrow(_sum_chunks, "chunk int, counts binary").collect():
+        total[row["chunk"]] = np.frombuffer(row["counts"], "<i8")
+    return (np.log2(1.0 + total.ravel()) * 1024).astype(np.uint16)
 
 
 def choose_boundary(sizes: dict[int, int], percent: int) -> int:
@@ -184,14 +196,10 @@ def choose_boundary(sizes: dict[int, int], percent: int) -> int:
         partners = range(-(-percent * n // 100), largest_partner(n, percent) + 1)
         return sum(math.comb(n, shared(n, t, percent)) for t in partners)
 
-    def listed(n: int) -> int:
-        own = band(n, percent)
-        return cells(own, percent)[0] + cells(own + 1, percent)[0]
-
     def cost(boundary: int) -> int:
         small = sum(m * subsets(n) for n, m in sizes.items() if n <= boundary)
-        return small + CELL_COST * sum(
-            m * listed(n) for n, m in sizes.items() if largest_partner(n, percent) > boundary
+        return small + LIST_COST * sum(
+            m * list_length(n, percent) for n, m in sizes.items() if largest_partner(n, percent) > boundary
         )
 
     return min(range(LARGEST_SMALL + 1), key=cost)
@@ -220,33 +228,34 @@ def _subset_rows(percent: int) -> Callable[[], Callable]:
     return make
 
 
-def _cell_rows(words: int, percent: int, boundary: int) -> Callable[[], Callable]:
-    """From ``row, text``: the keys of the cells of all sets that can have a large partner."""
+def _list_rows(words: int, percent: int, boundary: int, shared_weights) -> Callable[[], Callable]:
+    """From ``row, text``: the lists of all sets that can have a large partner."""
 
     def make() -> Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]]:
-        shingle = Shingler(words)
+        shingle, weights = Shingler(words), shared_weights.value
 
-        def block(keys: list, rows: list, places: list) -> pa.RecordBatch:
-            kinds = (pa.int64(), pa.int64(), pa.int32())
+        def block(keys: list, rows: list, sizes: list, most: list) -> pa.RecordBatch:
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32())
             return pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(x) if x else [], k) for x, k in zip((keys, rows, places), kinds)],
-                ["key", "row", "place"],
+                [pa.array(np.concatenate(x) if x else [], k) for x, k in zip((keys, rows, sizes, most), kinds)],
+                ["key", "row", "n", "most"],
             )
 
         def each(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-            keys, rows, places, made = [], [], [], 0
+            columns, made = ([], [], [], []), 0
             for row, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 tokens = shingle(text)
                 if len(tokens) == 0 or largest_partner(len(tokens), percent) <= boundary:
                     continue
-                for column, found in zip((keys, places), cell_keys(tokens, percent)):
-                    column.append(found)
-                rows.append(np.full(len(keys[-1]), row))
-                made += len(keys[-1])
+                keys, most = list_keys(tokens, weights, percent)
+                same_row = (np.full(len(keys), row), np.full(len(keys), len(tokens)))
+                for column, values in zip(columns, (keys, *same_row, most)):
+                    column.append(values)
+                made += len(keys)
                 if made > 200_000:
-                    yield block(keys, rows, places)
-                    keys, rows, places, made = [], [], [], 0
-            yield block(keys, rows, places)
+                    yield block(*columns)
+                    columns, made = ([], [], [], []), 0
+            yield block(*columns)
 
         return each
 
@@ -342,37 +351,38 @@ def jaccard_components(
     text_col: str = "text",
     words: int = WORDS,
     percent: int = PERCENT,
-    store_cells: bool = True,
 ) -> DataFrame:
-    """``doc_id, n_shingles, component_id, row``: the size of each document's set and the
-    smallest id that can be reached from it by links.
+    """``doc_id, n_shingles, component_id, row, main``: the size of each document's set and the
+    smallest id that can be reached from it by links. ``row`` tells rows of one id apart,
+    and ``main`` is that of the row with the smallest id, then the smallest ``row``.
 
     Words are what ASCII white space leaves, with A-Z lower-cased. A text of fewer than
     ``words`` words is one shingle. Texts that are null, empty or blank have no shingle and
     are linked with nothing. Rows repeated with the same id and text are in one component
     and each is returned; a null id stays null and counts in a component only if there is
-    no other id. Columns other than the two named are not read.
-
-    Common passages: see ``_without_common``. Hot groups: copies of one set are tied by
-    its signature and not compared. Then each row is compared with one centre of its lists,
-    ``ROUNDS`` times with other centres or until that links nothing, and rows that are
-    connected are never compared again. Only in lists where several components remain are
-    all pairs across them compared, so that no link is lost.
-
-    ``store_cells`` takes the keys of all cells to a table; they are about a quarter as many
-    as the shingles at 0.9 and half as many at 0.8. Without it they are computed twice.
+    no other id. Columns other than the two named are not read. An empty table gives no rows.
+
+    A list's entry knows the size of the largest partner with which its shingle can be the first
+    one shared. Sets that differ by too many rare shingles thus do not meet, however many
+    others they share. Hot groups: copies of one set are tied by its signature, and one of them
+    stands in the lists. Then each row is compared with one centre of its lists, ``ROUNDS`` times
+    with other centres or until that links nothing, and rows that are connected are never compared
+    again. Only in lists where several components remain are all pairs across them that sizes
+    and places allow compared, so that no link is lost.
     """
+    spark = df.sparkSession
     texts = df.select(
         F.col(id_col).cast("long").alias("id"),
         _row_id(id_col, text_col).alias("row"),
         F.col(text_col).alias("text"),
     )
-    sets = store(map_batches(texts, _signatures(words), SIGNATURES), "sets")
+    found = store(texts.mapInArrow(_sets(words), SETS), "sets")
+    weights = spark.sparkContext.broadcast(shingle_weights(found))
+    sets = found.filter("chunk IS NULL").drop("chunk", "counts")
     filled = sets.filter("n_shingles > 0")
     by_set = filled.groupBy("first", "second").agg(F.min("row").alias("b"), F.count("*").alias("n"))
     copies = store(
-        filled.join(store(by_set.filter("n > 1"), "copied_sets"), ["first", "second"])
-        .select(F.col("row").alias("a"), "b").distinct(),
+        filled.join(by_set.filter("n > 1"), ["first", "second"]).select(F.col("row").alias("a"), "b").distinct(),
         "copies",
     )
     sizes = {
@@ -392,33 +402,39 @@ def jaccard_components(
     sure = subsets.join(linking, ["key", "gap"]).select(F.col("row").alias("a"), "b").distinct()
     members = _merged(copies.union(sure), None)
 
-    # Nearly all keys of cells have one row; those are combined away before the join.
-    listed = map_batches(texts.select("row", "text"), _cell_rows(words, percent, boundary), CELLS)
-    listed = store(listed, "cells") if store_cells else listed
-    lists = listed.groupBy("key").agg(F.count("*").alias("members")).filter("members > 1")
-    listed = listed.join(store(lists, "lists"), "key")
-    size = sets.select(F.col("row").alias("of"), F.col("n_shingles").alias("n")).distinct()
-    listed = listed.join(size, F.col("row") == F.col("of")).drop("of")
-    listed = _without_common(store(listed, "listed"))
-    open_rows = listed
+    # Nearly all shingles that are listed have one row; those are combined away before the join,
+    # and so are entries that no other entry of their list suits.
+    entries = store(
+        map_batches(texts.select("row", "text"), _list_rows(words, percent, boundary, weights), LISTED), "entries"
+    )
+    lists = (
+        entries.groupBy("key")
+        .agg(F.count("*").alias("rows"), F.min("n").alias("least"), F.max("most").alias("top"))
+        .filter("rows > 1").select("key", "least", "top")
+    )
+    listed = entries.join(lists, "key").filter("most >= least AND n <= top").select("key", "row", "n", "most")
+    again = copies.filter("a <> b").select(F.col("a").alias("row"))
+    open_rows = _open_lists(store(listed.join(again, "row", "left_anti"), "listed"), members)
     for number in range(ROUNDS):
-        open_rows = _open_lists(open_rows, members)
         if open_rows.isEmpty():
             break
         links = _links_to_centres(open_rows, number, texts, words, percent)
         if links.isEmpty():
             break
         members = _merged(links, members)
-    members = _link_the_rest(_open_lists(open_rows, members), texts, members, words, percent)
+        open_rows = _open_lists(open_rows, members)
+    members = _link_the_rest(open_rows, texts, members, words, percent)
+    first = F.min(F.struct(F.col("id").isNull().alias("missing"), "id", "row"))
     names = members.join(sets.select("row", "id").distinct(), "row").groupBy("component").agg(
-        F.min("id").alias("component_id")
+        F.min("id").alias("component_id"), first["row"].alias("main")
     )
-    named = store(members.join(store(names, "names"), "component").select("row", "component_id"), "named")
+    named = members.join(names, "component").select("row", "component_id", "main")
     return sets.join(named, "row", "left").select(
         F.col("id").alias("doc_id"),
         "n_shingles",
         F.coalesce("component_id", "id").alias("component_id"),
         "row",
+        F.coalesce("main", "row").alias("main"),
     )
 
 
@@ -431,37 +447,24 @@ def _with_component(rows: DataFrame, members: DataFrame, row: str, name: str) ->
     )
 
 
-def _close(percent: int, n: str, m: str) -> Column:
-    return (F.col(n) * 100 >= F.col(m) * percent) & (F.col(m) * 100 >= F.col(n) * percent)
-
-
-def _without_common(listed: DataFrame) -> DataFrame:
-    """``key, row, n`` without rows of common lists that the others suffice for.
-
-    A passage in many documents makes some cells of theirs equal. A row leaves its common
-    lists if it has no more of them than its slack: a linking pair agrees in a list beyond
-    those. Two rows that both have more, such as near copies in a large group, stay
-    together in all their lists.
-    """
-    common = listed.filter(F.col("members") > COMMON)
-    slack = F.shiftright("place", 1)
-    bound = store(
-        common.groupBy("row", "place").agg(F.count("*").alias("lost")).filter(F.col("lost") > slack)
-        .select("row", "place"),
-        "bound_rows",
-    )
-    kept = common.join(bound, ["row", "place"], "left_semi").select("key", "row", "n")
-    return listed.filter(F.col("members") <= COMMON).select("key", "row", "n").unionByName(kept)
+def _suits(n: str, most: str, m: str, other_most: str) -> Column:
+    """Whether two entries of a list can be of a linking pair whose first shared shingle it is."""
+    return (F.col(n) <= F.col(other_most)) & (F.col(m) <= F.col(most))
 
 
 def _open_lists(rows: DataFrame, members: DataFrame) -> DataFrame:
-    """The rows of lists in which more than one component is left, with their component."""
-    placed = _with_component(rows.select("key", "row", "n"), members, "row", "component")
+    """The rows of lists in which more than one component is left, with their component, as far
+    as another entry of the list suits theirs."""
+    placed = _with_component(rows.select("key", "row", "n", "most"), members, "row", "component")
     several = (
-        placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-        .filter("x <> y").select("key")
-    )
-    return store(placed.join(several, "key"), "open_rows")
+        placed.groupBy("key")
+        .agg(
+            F.min("component").alias("x"), F.max("component").alias("y"),
+            F.min("n").alias("least"), F.max("most").alias("top"),
+        ).filter("x <> y").select("key", "least", "top")
+    )
+    kept = placed.join(several, "key").filter("most >= least AND n <= top")
+    return store(kept.drop("least", "top"), "open_rows")
 
 
 def _links_to_centres(
@@ -472,13 +475,17 @@ def _links_to_centres(
     Each list has one centre a round, drawn by hash. A row is compared with the centre
     that it shares most lists with, so a round compares no more pairs than there are rows.
     """
-    drawn = F.struct(F.xxhash64("row", F.lit(number)).alias("draw"), "row", "n", "component")
+    drawn = F.struct(F.xxhash64("row", F.lit(number)).alias("draw"), "row", "n", "most", "component")
     centres = open_rows.groupBy("key").agg(F.max(drawn).alias("centre")).select(
-        "key", F.col("centre.row").alias("centre"), F.col("centre.n").alias("m"), F.col("centre.component").alias("other")
+        "key",
+        F.col("centre.row").alias("centre"),
+        F.col("centre.n").alias("m"),
+        F.col("centre.most").alias("other_most"),
+        F.col("centre.component").alias("other"),
     )
     counted = (
         open_rows.join(centres, "key")
-        .filter((F.col("component") != F.col("other")) & _close(percent, "n", "m"))
+        .filter((F.col("component") != F.col("other")) & _suits("n", "most", "m", "other_most"))
         .groupBy("row", "centre").agg(F.count("*").alias("times"))
     )
     best = counted.groupBy("row").agg(F.max(F.struct("times", "centre"))["centre"].alias("b"))
@@ -500,11 +507,15 @@ def _link_the_rest(
     )
     placed = open_rows.join(largest, "key")
     others = placed.filter("component <> main").select(
-        "key", F.col("row").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("x")
+        "key",
+        F.col("row").alias("a"),
+        F.col("n").alias("m"),
+        F.col("most").alias("other_most"),
+        F.col("component").alias("x"),
     )
     pairs = (
         others.join(placed, "key")
-        .filter((F.col("x") != F.col("component")) & _close(percent, "n_a", "n"))
+        .filter((F.col("x") != F.col("component")) & _suits("n", "most", "m", "other_most"))
         .filter((F.col("component") == F.col("main")) | (F.col("a") < F.col("row")))
         .select(F.least("a", "row").alias("a"), F.greatest("a", "row").alias("b")).distinct()
     )
@@ -518,16 +529,15 @@ def keep_one_of_each(
     text_col: str = "text",
     words: int = WORDS,
     percent: int = PERCENT,
-    store_cells: bool = True,
 ) -> DataFrame:
-    """The rows of ``df`` without those that link, directly or through others, to a row with
-    a smaller id. Rows without shingles stay, and so do rows whose id is null. Rows repeated
-    with the same id and text are not told apart here: exact deduplication comes before."""
-    found = jaccard_components(df, id_col, text_col, words, percent, store_cells)
+    """Of rows that link, directly or through others, the one with the smallest id stays; rows
+    that share an id, or have none, are told apart by their text, and rows without id come
+    after all others. Rows without shingles stay. Rows repeated with the same id and text are one
+    row here and stay or go together: exact deduplication comes before. An empty table stays
+    empty, and all columns stay as they are."""
+    found = jaccard_components(df, id_col, text_col, words, percent)
     dropped = store(
-        found.filter(~same(F.col("doc_id"), F.col("component_id")))
-        .select(F.col("row").alias("__dropped")).distinct(),
-        "dropped",
+        found.filter("row <> main").select(F.col("row").alias("__dropped")).distinct(), "dropped"
     )
     packed = df.select(F.struct("*").alias("__row"), _row_id(id_col, text_col).alias("__id"))
     return packed.join(dropped, F.col("__id") == F.col("__dropped"), "left_anti").select("__row.*")

@@ -18,7 +18,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.jaccard_components(table(spark, sf_dir, "documents")).drop("row")
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents")).drop("row", "main")
 
 
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -37,7 +37,7 @@ def brute_force(rows, n=3, percent=90):
 
 
 def found(df, **how):
-    rows = jaccard.jaccard_components(df, **how).drop("row").collect()
+    rows = jaccard.jaccard_components(df, **how).collect()
     return Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in rows)
 
 
@@ -75,8 +75,7 @@ def test_a_group_with_a_third_of_all_rows(spark):
 
 
 @pytest.mark.parametrize(("words", "percent"), [(3, 90), (5, 80)])
-def test_common_passages_and_large_groups_together(spark, monkeypatch, words, percent):
-    monkeypatch.setattr(jaccard, "COMMON", 3)
+def test_common_passages_and_large_groups_together(spark, words, percent):
     passage = make_text(77, 50)
     texts = [f"{make_text(i, 30 + i)} {passage} {make_text(1000 + i, 20)}" for i in range(60)]
     texts += list(near_copies(6, 100, 40, 4)) + list(near_copies(8, 90, 30, 30))
@@ -89,29 +88,56 @@ def test_common_passages_and_large_groups_together(spark, monkeypatch, words, pe
 def test_the_bounds_behind_the_lists():
     for percent in (60, 80, 90):
         for s in range(1, 400):
+            listed = jaccard.list_length(s, percent)
+            assert 1 <= listed <= s
             for t in range(s, jaccard.largest_partner(s, percent) + 1):
                 both = jaccard.shared(s, t, percent)
                 assert 100 * both >= percent * (s + t - both) and 100 * (both - 1) < percent * (s + t - both + 1)
-                assert jaccard.band(t, percent) - jaccard.band(s, percent) in (0, 1)
-                count, spare = jaccard.cells(jaccard.band(t, percent), percent)
-                assert s + t - 2 * both < count - spare
+                assert s - both < listed and t - both < jaccard.list_length(t, percent)
 
 
-def test_linking_sets_share_a_cell():
+@pytest.mark.parametrize("percent", [80, 90])
+def test_linking_sets_meet_in_the_list_of_their_first_shared_shingle(percent):
     rng = np.random.default_rng(0)
-    for _ in range(300):
-        n = int(rng.integers(20, 300))
-        a = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
-        drop = int(rng.integers(0, max(1, n // 10)))
-        b = a[drop:]
-        if 100 * len(b) >= 90 * len(a):
-            keys_a, keys_b = jaccard.cell_keys(a, 90)[0].tolist(), jaccard.cell_keys(b, 90)[0].tolist()
-            assert set(keys_a) & set(keys_b)
+    weights = rng.integers(0, 9, jaccard.COUNTERS).astype(np.uint16)
+    linked = 0
+    for _ in range(1500):
+        n = int(rng.integers(3, 200))
+        a = rng.integers(0, 2**63, n).astype(np.uint64)
+        other = rng.integers(0, 2**63, int(rng.integers(0, max(2, n // 5)))).astype(np.uint64)
+        b = np.unique(np.concatenate([a[int(rng.integers(0, max(2, n // 5))) :], other]))
+        a = np.unique(a)
+        both = len(np.intersect1d(a, b))
+        if 100 * both < percent * (len(a) + len(b) - both):
+            continue
+        linked += 1
+        of_a, of_b = (dict(zip(*(x.tolist() for x in jaccard.list_keys(t, weights, percent)))) for t in (a, b))
+        assert any(len(b) <= of_a[key] and len(a) <= of_b[key] for key in of_a.keys() & of_b.keys())
+    assert linked > 100
+
+
+def test_rare_shingles_come_first():
+    tokens = np.arange(100, dtype=np.uint64)
+    weights = np.zeros(jaccard.COUNTERS, np.uint16)
+    weights[:90] = 7
+    keys, most = jaccard.list_keys(tokens, weights, 90)
+    assert keys.tolist() == [*range(90, 100), 0] and most[0] == 111
+    # After six shingles that the other lacks, only smaller sets can be partners.
+    assert most[6] < 100 <= most[5]
+
+
+def test_counts_of_shingles_cover_all_texts(spark):
+    rows = [(i, "one two three four" if i % 2 else f"w{i} x y", None, None, None) for i in range(40)]
+    df = spark.createDataFrame(rows, DOCUMENTS).repartition(5).selectExpr("doc_id AS id", "doc_id AS row", "text")
+    weights = jaccard.shingle_weights(df.mapInArrow(jaccard._sets(3), jaccard.SETS))
+    common = jaccard.Shingler(3)("one two three four") % np.uint64(jaccard.COUNTERS)
+    assert (weights > 0).sum() == 22
+    assert (weights[common.astype(int)] == int(np.log2(21) * 1024)).all()
 
 
 def test_boundary_follows_the_cost():
     assert jaccard.choose_boundary({}, 90) == 0
-    assert 9 <= jaccard.choose_boundary({n: 100 for n in range(1, 31)}, 90) < 25
+    assert 5 <= jaccard.choose_boundary({n: 100 for n in range(1, 31)}, 90) < 25
 
 
 def test_chains_become_one_component(spark):
@@ -130,3 +156,14 @@ def test_empty_table_and_rows_that_stay(spark):
     kept = jaccard.keep_one_of_each(df, words=5, percent=80)
     assert kept.columns == df.columns
     assert {r["doc_id"] for r in kept.collect()} == {c for _, n, c in brute_force(rows, 5, 80)}
+
+
+def test_survivors_under_repeated_and_null_ids(spark):
+    """Of near copies one stays, also where ids repeat or are missing."""
+    texts = list(near_copies(3, 150, 5, 2))
+    for ids in ([1, 1, 1, None, None], [None] * 5, [4, 2, 2, 9, None]):
+        rows = [(i, t, "en", None, None) for i, t in zip(ids, texts)]
+        df = spark.createDataFrame(rows, DOCUMENTS)
+        kept = jaccard.keep_one_of_each(df, words=5, percent=80).collect()
+        assert len(kept) == 1
+        assert kept[0]["doc_id"] == min((i for i in ids if i is not None), default=None)
