@@ -33,6 +33,7 @@ CHUNKS = 64  # in which counters are summed
 CACHED_WORDS = 400_000
 KEPT_SETS = 2_000  # of texts just compared
 ROUNDS = 6  # of comparing each row with one centre before all open pairs are compared
+GAINFUL = 4  # a round is worth another one if it links one of so many rows
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 SETS = "id long, row long, n_shingles long, first long, second long, small array<long>, chunk int, counts binary"
@@ -263,7 +264,8 @@ def _list_rows(words: int, percent: int, boundary: int, shared_weights) -> Calla
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """The ``(a, b)`` of ``pairs`` whose sets really link, compared shingle by shingle."""
+    """The ``(a, b)`` of ``pairs`` whose sets really link, compared shingle by shingle; ``texts``
+    has each row once."""
 
     def make() -> Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]]:
         shingle, kept = Shingler(words), {}
@@ -286,13 +288,8 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> D
 
         return each
 
-    # Only texts that a pair needs take part; the larger side of the joins is the pairs.
-    needed = store(
-        pairs.select(F.col("a").alias("row")).union(pairs.select("b")).distinct(), "needed_rows"
-    )
-    some = store(texts.join(needed, "row", "left_semi").dropDuplicates(["row"]), "needed_texts")
-    left = some.select(F.col("row").alias("a"), F.col("text").alias("text_a"))
-    right = some.select(F.col("row").alias("b"), F.col("text").alias("text_b"))
+    left = texts.select(F.col("row").alias("a"), F.col("text").alias("text_a"))
+    right = texts.select(F.col("row").alias("b"), F.col("text").alias("text_b"))
     both = pairs.join(right, "b").join(left, "a").select("a", "b", "text_a", "text_b")
     return map_batches(both, make, "a long, b long")
 
@@ -365,9 +362,9 @@ def jaccard_components(
     A list's entry knows the size of the largest partner with which its shingle can be the first
     one shared. Sets that differ by too many rare shingles thus do not meet, however many
     others they share. Hot groups: copies of one set are tied by its signature, and one of them
-    stands in the lists. Then each row is compared with one centre of its lists, ``ROUNDS`` times
-    with other centres or until that links nothing, and rows that are connected are never compared
-    again. Only in lists where several components remain are all pairs across them that sizes
+    stands in the lists. Then each row is compared with one centre of its lists, up to ``ROUNDS``
+    times with other centres as long as that links many, and rows that are connected are never
+    compared again. Only in lists where several components remain are all pairs across them that sizes
     and places allow compared, so that no link is lost.
     """
     spark = df.sparkSession
@@ -414,16 +411,22 @@ def jaccard_components(
     )
     listed = entries.join(lists, "key").filter("most >= least AND n <= top").select("key", "row", "n", "most")
     again = copies.filter("a <> b").select(F.col("a").alias("row"))
-    open_rows = _open_lists(store(listed.join(again, "row", "left_anti"), "listed"), members)
+    open_rows = _open_lists(store(listed, "listed").join(again, "row", "left_anti"), members)
+    # Texts move once, those of rows that have anything to be compared with.
+    needed = open_rows.select("row").distinct()
+    compared = texts.select("row", "text").join(needed, "row", "left_semi").dropDuplicates(["row"])
+    compared = store(compared, "compared_texts")
     for number in range(ROUNDS):
-        if open_rows.isEmpty():
-            break
-        links = _links_to_centres(open_rows, number, texts, words, percent)
-        if links.isEmpty():
+        pairs = _pairs_with_centres(open_rows, number)
+        links = store(_verified(pairs, compared, words, percent), "links")
+        linked = links.count()
+        if linked:
+            members = _merged(links, members)
+            open_rows = _open_lists(open_rows, members)
+        # What a round hardly helps is left to the last step.
+        if linked * GAINFUL <= pairs.count():
             break
-        members = _merged(links, members)
-        open_rows = _open_lists(open_rows, members)
-    members = _link_the_rest(open_rows, texts, members, words, percent)
+    members = _link_the_rest(open_rows, compared, members, words, percent)
     first = F.min(F.struct(F.col("id").isNull().alias("missing"), "id", "row"))
     names = members.join(sets.select("row", "id").distinct(), "row").groupBy("component").agg(
         F.min("id").alias("component_id"), first["row"].alias("main")
@@ -467,10 +470,8 @@ def _open_lists(rows: DataFrame, members: DataFrame) -> DataFrame:
     return store(kept.drop("least", "top"), "open_rows")
 
 
-def _links_to_centres(
-    open_rows: DataFrame, number: int, texts: DataFrame, words: int, percent: int
-) -> DataFrame:
-    """Links found by comparing each row with one row of another component.
+def _pairs_with_centres(open_rows: DataFrame, number: int) -> DataFrame:
+    """Each row with one row of another component, to be compared.
 
     Each list has one centre a round, drawn by hash. A row is compared with the centre
     that it shares most lists with, so a round compares no more pairs than there are rows.
@@ -489,8 +490,7 @@ def _links_to_centres(
         .groupBy("row", "centre").agg(F.count("*").alias("times"))
     )
     best = counted.groupBy("row").agg(F.max(F.struct("times", "centre"))["centre"].alias("b"))
-    pairs = store(best.select(F.col("row").alias("a"), "b"), "pairs")
-    return store(_verified(pairs, texts, words, percent), "links")
+    return store(best.select(F.col("row").alias("a"), "b"), "pairs")
 
 
 def _link_the_rest(
