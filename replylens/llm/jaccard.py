@@ -32,8 +32,8 @@ COUNTERS = 1 << 20  # of shingles, by hash; they settle the order only, in which
 CHUNKS = 64  # in which counters are summed
 CACHED_WORDS = 400_000
 KEPT_SETS = 2_000  # of texts just compared
-ROUNDS = 6  # of comparing each row with one centre before all open pairs are compared
-GAINFUL = 4  # a round is worth another one if it links one of so many rows
+ROUNDS = 12  # of comparing each row with one centre before all open pairs are compared
+PAIRS_A_ROW = 2  # open pairs of lists, for each of their rows, that need no further round
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 SETS = "id long, row long, n_shingles long, first long, second long, small array<long>, chunk int, counts binary"
@@ -363,8 +363,8 @@ def jaccard_components(
     one shared. Sets that differ by too many rare shingles thus do not meet, however many
     others they share. Hot groups: copies of one set are tied by its signature, and one of them
     stands in the lists. Then each row is compared with one centre of its lists, up to ``ROUNDS``
-    times with other centres as long as that links many, and rows that are connected are never
-    compared again. Only in lists where several components remain are all pairs across them that sizes
+    times with other centres as long as lists hold many open pairs and a round links any, and rows
+    that are connected are never compared again. Only in lists where several components remain are all pairs across them that sizes
     and places allow compared, so that no link is lost.
     """
     spark = df.sparkSession
@@ -423,8 +423,8 @@ def jaccard_components(
         if linked:
             members = _merged(links, members)
             open_rows = _open_lists(open_rows, members)
-        # What a round hardly helps is left to the last step.
-        if linked * GAINFUL <= pairs.count():
+        # The last step compares what is left once that is no more than a few pairs a row.
+        if not linked or _open_pairs(open_rows) <= PAIRS_A_ROW * open_rows.count():
             break
     members = _link_the_rest(open_rows, compared, members, words, percent)
     first = F.min(F.struct(F.col("id").isNull().alias("missing"), "id", "row"))
@@ -493,6 +493,13 @@ def _pairs_with_centres(open_rows: DataFrame, number: int) -> DataFrame:
     return store(best.select(F.col("row").alias("a"), "b"), "pairs")
 
 
+def _open_pairs(open_rows: DataFrame) -> int:
+    """At most so many pairs does the last step compare."""
+    sizes = open_rows.groupBy("key", "component").agg(F.count("*").alias("size"))
+    lists = sizes.groupBy("key").agg(F.sum("size").alias("rows"), F.max("size").alias("largest"))
+    return lists.agg(F.sum((F.col("rows") - F.col("largest")) * F.col("rows"))).first()[0] or 0
+
+
 def _link_the_rest(
     open_rows: DataFrame, texts: DataFrame, members: DataFrame, words: int, percent: int
 ) -> DataFrame:
