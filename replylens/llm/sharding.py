@@ -137,17 +137,19 @@ def shard_rows(
 def write_shards(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", **how: int) -> None:
     """Write ``df`` as Parquet, one folder ``shard=N`` for each shard.
 
-    Rows find their shard by id and size of the text; all rows that agree in both are
-    written with the first of their shards.
+    Rows find their shard by id, size and checksum of the text; all rows that agree in these are
+    written with the first of their shards, and each row is written once.
     """
     where = shard_rows(df, id_col, text_col, **how).groupBy("doc_id", "size", "text_crc32").agg(
         F.min("shard").alias("shard")
     )
     text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
     packed = df.select(
-        F.struct("*").alias("__row"), F.col(id_col).cast("long").alias("__id"), F.crc32(text).alias("__crc")
-    )
-    placed = packed.join(
-        where, F.col("__id").eqNullSafe(F.col("doc_id")) & (F.col("__crc") == F.col("text_crc32"))
+        F.struct("*").alias("__row"),
+        F.col(id_col).cast("long").alias("__id"),
+        (F.octet_length(text) + 1).alias("__size"),
+        F.crc32(text).alias("__crc"),
     )
+    same_text = (F.col("__size") == F.col("size")) & (F.col("__crc") == F.col("text_crc32"))
+    placed = packed.join(where, F.col("__id").eqNullSafe(F.col("doc_id")) & same_text)
     placed.select("__row.*", "shard").write.partitionBy("shard").parquet(path)
