@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
 import os
 import struct
 import zlib
+from bisect import bisect_right
+from collections import deque
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -21,15 +24,12 @@ END_ID = 0
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 BUCKETS = 64  # in which pieces of one length are numbered side by side
-SEARCH_NODES = 20_000  # bins tried beyond the first solution before the best is taken
-FILL_NODES = 2_000  # fillings tried for one bin
-FILL_DEPTH = 4  # items chosen one by one; what room is left after them is filled best-fit
-FILLS_KEPT = 3
+SEARCH_BUDGET = 20_000  # fillings looked at before the best packing so far is taken
 
 CACHED_CHUNKS = 600_000
 CACHED_PARTS = 400_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, bucket int"
-PLACES = "sequence_id long, offset long"
+PLACES = "sequence_id long, offset long, search string"
 
 # How the tokenizer cuts what white space leaves.
 PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
@@ -149,147 +149,248 @@ def lower_bound(counts: np.ndarray) -> int:
     those over half the capacity are alone among themselves.
     """
     capacity = len(counts) - 1
-    weights = np.arange(capacity + 1) * counts
-    number, weight = np.cumsum(counts), np.cumsum(weights)
+    number, weight = np.cumsum(counts), np.cumsum(np.arange(capacity + 1) * counts)
     half = capacity // 2
-    best = -(-int(weight[-1]) // capacity)
-    for k in range(1, half + 1):
-        alone = int(number[-1] - number[capacity - k])
-        halves = int(number[capacity - k] - number[half])
-        room = halves * capacity - int(weight[capacity - k] - weight[half])
-        rest = int(weight[half] - weight[k - 1]) - room
-        best = max(best, alone + halves + max(0, -(-rest // capacity)))
-    return best
+    k = np.arange(1, half + 1)
+    large = number[-1] - number[half]
+    room = (number[capacity - k] - number[half]) * capacity - (weight[capacity - k] - weight[half])
+    rest = weight[half] - weight[k - 1] - room
+    needed = large + np.maximum(0, -(-rest // capacity))
+    return int(max(-(-weight[-1] // capacity), needed.max(initial=large)))
 
 
-def _fits_below(counts: np.ndarray) -> list[int]:
-    """For each room the largest length that there is, or 0."""
-    lengths = np.where(counts > 0, np.arange(len(counts)), 0)
-    return np.maximum.accumulate(lengths).tolist()
-
+@dataclass
+class Pattern:
+    lengths: tuple[int, ...]
+    times: int
 
-def fillings(counts: np.ndarray, largest: int) -> list[tuple[int, ...]]:
-    """Ways to fill a bin around ``largest``, least waste first.
 
-    The best-fit filling is the first incumbent. Items are then chosen in descending
-    order; a choice is left out if even the best that could follow wastes as much as the
-    incumbent. Only undominated fillings are met: the last item is always the largest that
-    fits.
-    """
-    capacity = len(counts) - 1
-    left = counts.copy()
-    left[largest] -= 1
-    below = _fits_below(left)
-
-    def best_fit(room: int, top: int, used: list[int]) -> list[int]:
-        more, taken = [], {}
-        for x in used:
-            taken[x] = taken.get(x, 0) + 1
-        while room > 0:
-            x = below[min(room, top)]
-            while x > 0 and taken.get(x, 0) >= left[x]:
-                x = below[x - 1]
-            if x == 0:
-                break
-            times = min(room // x, int(left[x]) - taken.get(x, 0))
-            more += [x] * times
-            taken[x] = taken.get(x, 0) + times
+@dataclass
+class Solution:
+    """Bins that hold all items; ``proven`` if no packing has fewer."""
+
+    patterns: list[Pattern]
+    bound: int
+    proven: bool
+
+    @property
+    def bins(self) -> int:
+        return sum(pattern.times for pattern in self.patterns)
+
+
+def best_fit(counts: np.ndarray) -> list[Pattern]:
+    """Around the largest item that is left, always the largest that still fits."""
+    left, patterns = counts.copy(), []
+    while left.any():
+        room, now, items = len(left) - 1, left.copy(), []
+        while room > 0 and (fits := np.flatnonzero(now[: room + 1])).size:
+            x = int(fits[-1])
+            times = min(int(now[x]), room // x)
+            items += [x] * times
+            now[x] -= times
             room -= times * x
-        return more
-
-    room = capacity - largest
-    found: dict[tuple[int, ...], int] = {}
-
-    def offer(items: list[int]) -> int:
-        waste = room - sum(items)
-        found[(largest, *items)] = waste
-        return waste
-
-    least = offer(best_fit(room, room, []))
-    nodes = 0
-    stack: list[tuple[int, int, list[int]]] = [(room, room, [])]
-    while stack and least > 0 and nodes < FILL_NODES:
-        space, top, items = stack.pop()
-        x = below[min(space, top)]
-        while x > 0 and items.count(x) >= left[x]:
-            x = below[x - 1]
-        depth = FILL_DEPTH - len(items)
-        if x == 0 or depth == 0 or space - depth * x >= max(least, 1):
-            continue
-        nodes += 1
-        if x > 1:
-            stack.append((space, x - 1, items))  # the next smaller choice, after this one
-        chosen = [*items, x]
-        waste = offer(chosen + best_fit(space - x, x, chosen))
-        least = min(least, waste)
-        stack.append((space - x, x, chosen))
-    return sorted(found, key=lambda f: (found[f], len(f)))[:FILLS_KEPT]
+        times = fitting_times(left, items)
+        left -= np.bincount(items, minlength=len(left)) * times
+        patterns.append(Pattern(tuple(items), times))
+    return patterns
 
 
-@dataclass
-class Pattern:
-    lengths: tuple[int, ...]
-    times: int
+def fitting_times(left: np.ndarray, items: list[int] | tuple[int, ...]) -> int:
+    needed = np.bincount(items, minlength=len(left))
+    return int((left[needed > 0] // needed[needed > 0]).min())
+
+
+def spread(bits: int, reach: int) -> int:
+    """The set of ``x + d`` for every x of the bit set and d from 0 to ``reach``."""
+    width = 1
+    while width <= reach:
+        step = min(width, reach + 1 - width)
+        bits |= bits << step
+        width += step
+    return bits
+
 
+class Fillings:
+    """The undominated ways to fill one bin around the largest item of ``left``.
 
-def complete_bins(counts: np.ndarray, nodes: int = SEARCH_NODES) -> list[Pattern]:
+    They come one by one, least waste first, those with longer items before those with
+    shorter. ``sums[i]`` has the totals that the i shortest lengths can give, so every
+    selection that is begun can be ended.
+    """
+
+    def __init__(self, left: np.ndarray) -> None:
+        self.largest = int(np.flatnonzero(left)[-1])
+        self.room = len(left) - 1 - self.largest
+        rest = left[: self.room + 1].copy()
+        if self.largest <= self.room:
+            rest[self.largest] -= 1
+        self.have = rest.tolist()
+        self.lengths = np.flatnonzero(rest).tolist()
+        self.there = sum(1 << x for x in self.lengths)
+        self.sums, inside = [1], (1 << self.room + 1) - 1
+        for x in self.lengths:
+            now, times, step = self.sums[-1], min(self.have[x], self.room // x), 1
+            while times:
+                step = min(step, times)
+                now |= now << step * x & inside
+                times, step = times - step, 2 * step
+            self.sums.append(now)
+
+    def selections(self, number: int, total: int) -> Iterator[list[int]]:
+        """Selections of the ``number`` shortest lengths that add up to ``total``."""
+        if total == 0:
+            yield []
+            return
+        for i in range(bisect_right(self.lengths, total, 0, number) - 1, -1, -1):
+            x, below = self.lengths[i], self.sums[i]
+            for times in range(min(self.have[x], total // x), 0, -1):
+                if below >> total - times * x & 1:
+                    for others in self.selections(i, total - times * x):
+                        yield [x] * times + others
+            if not below >> total & 1:
+                return
+
+    def dominated(self, items: list[int], waste: int) -> bool:
+        """Whether an item that is left over can take the place of some of ``items``: of one
+        that is shorter, of several together, or of the waste."""
+        unused = self.there
+        for x in set(items):
+            if items.count(x) == self.have[x]:
+                unused &= ~(1 << x)
+        few, several = 1, 0  # totals of at most one item, of two and more
+        for x in items:
+            several |= several << x | (few & ~1) << x
+            few |= 1 << x
+        replaced = spread(several, waste)
+        if waste:
+            replaced |= spread(few << 1, waste - 1)
+        return bool(replaced & unused)
+
+    def __call__(self, allowed: Callable[[], int]) -> Iterator[tuple[int, ...] | None]:
+        """Fillings that waste no more than ``allowed()``; None for one that is dominated."""
+        for waste in range(self.room + 1):
+            if waste > allowed():
+                return
+            if self.sums[-1] >> self.room - waste & 1:
+                for items in self.selections(len(self.lengths), self.room - waste):
+                    yield None if self.dominated(items, waste) else (self.largest, *items)
+
+
+@dataclass
+class _Node:
+    left: np.ndarray
+    options: Iterator[Pattern]
+    deviations: int
+    tried: int = 0
+
+
+class Completion:
+    """Bin completion on a histogram of lengths, within a budget of fillings looked at."""
+
+    def __init__(self, counts: np.ndarray, budget: int) -> None:
+        self.counts, self.budget = counts.astype(np.int64), budget
+        self.capacity = len(counts) - 1
+        self.total = int((np.arange(len(counts)) * self.counts).sum())
+        self.bound = lower_bound(self.counts)
+        self.best = best_fit(self.counts)
+        self.bins = sum(pattern.times for pattern in self.best)
+
+    def allowed(self, wasted: int) -> int:
+        """Waste that a packing with fewer bins than the incumbent can still have."""
+        return (self.bins - 1) * self.capacity - self.total - wasted
+
+    def options(self, left: np.ndarray, wasted: int) -> Iterator[Pattern]:
+        """All fillings around the largest item, each as often as it fits and may waste and
+        then, in turn with the fillings that follow, once less."""
+        found, capacity = Fillings(left)(lambda: self.allowed(wasted)), self.capacity
+        waiting: deque[Pattern] = deque()
+        more = True
+        while more or waiting:
+            filling = next(found, ()) if more and self.budget > 0 else ()
+            self.budget -= 1
+            more = filling != ()
+            if filling:
+                waste, times = capacity - sum(filling), fitting_times(left, filling)
+                if waste:
+                    times = min(times, self.allowed(wasted) // waste)
+                if times > 0:
+                    yield (now := Pattern(filling, times))
+                    waiting.append(now)
+            if waiting and filling is not None:
+                last = waiting.popleft()
+                if last.times > 1:
+                    yield (now := Pattern(last.lengths, last.times - 1))
+                    waiting.append(now)
+
+    def search(self, limit: int) -> bool:
+        """Looks for a better packing; True if it left nothing out.
+
+        ``limit`` bounds by how many options in all a packing may deviate from the first
+        ones. A branch ends when its waste or the lower bound of what is left rule out
+        fewer bins than the incumbent has, or when the same items were left before.
+        """
+        whole = True
+        path: list[Pattern] = []
+        seen: dict[bytes, tuple[int, int]] = {}
+        bins = wasted = 0
+        stack = [_Node(self.counts, self.options(self.counts, 0), 0)]
+        while stack and self.bins > self.bound:
+            node = stack[-1]
+            deviations = node.deviations + node.tried
+            open_ = deviations <= limit and self.budget > 0
+            whole &= open_
+            choice = next(node.options, None) if open_ else None
+            if choice is None:
+                whole &= self.budget > 0
+                stack.pop()
+                if path:
+                    last = path.pop()
+                    bins -= last.times
+                    wasted -= last.times * (self.capacity - sum(last.lengths))
+                continue
+            node.tried += 1
+            waste = choice.times * (self.capacity - sum(choice.lengths))
+            if waste > self.allowed(wasted):
+                continue
+            left = node.left - np.bincount(choice.lengths, minlength=len(node.left)) * choice.times
+            if bins + choice.times + lower_bound(left) >= self.bins:
+                continue
+            if not left.any():
+                self.best, self.bins = [*path, choice], bins + choice.times
+                continue
+            key = hashlib.blake2b(left.tobytes(), digest_size=16).digest()
+            before = seen.get(key)
+            if before and before[0] <= bins + choice.times and before[1] <= deviations:
+                continue
+            seen[key] = bins + choice.times, deviations
+            path.append(choice)
+            bins, wasted = bins + choice.times, wasted + waste
+            stack.append(_Node(left, self.options(left, wasted), deviations))
+        return whole
+
+    def solve(self) -> Solution:
+        limit, whole = 0, False
+        while self.bins > self.bound and self.budget > 0 and not whole:
+            whole = self.search(limit)
+            limit = 2 * limit + 1
+        return Solution(self.best, self.bound, whole or self.bins <= self.bound)
+
+
+def complete_bins(counts: np.ndarray, budget: int = SEARCH_BUDGET) -> Solution:
     """Patterns, each used some times, that hold all items of a histogram of lengths.
 
-    Bins are built around the largest item that is left. The first descent takes the
-    filling with least waste each time, which gives the incumbent. While it has more bins
-    than the lower bound, other fillings are tried; a branch ends as soon as its waste
-    would make the total as large as the incumbent. ``nodes`` bounds that search, which
-    only sees the histogram: its work depends on the capacity, not on the data's size.
+    Bins are built around the largest item that is left, with every undominated filling,
+    used as often as it fits or less often. The best-fit packing is the first incumbent.
+    The search first keeps to the first options, then deviates from them more and more; it
+    ends when the incumbent has as many bins as the lower bound, when nothing was left out
+    (both prove it least) or when ``budget`` fillings were looked at. It only sees the
+    histogram: its work depends on the capacity and the budget, not on the data's size.
     """
-    counts = counts.astype(np.int64)
-    capacity, total = len(counts) - 1, int((np.arange(len(counts)) * counts).sum())
-    bound = lower_bound(counts)
-    best: list[Pattern] = []
-    best_bins: int | None = None
-
-    def options(left: np.ndarray) -> list[tuple[int, ...]]:
-        return fillings(left, int(np.flatnonzero(left)[-1]))[::-1]
-
-    def use(left: np.ndarray, lengths: tuple[int, ...]) -> tuple[np.ndarray, int]:
-        needed = np.bincount(lengths, minlength=len(left))
-        times = int((left[needed > 0] // needed[needed > 0]).min())
-        return left - needed * times, times
-
-    path: list[Pattern] = []
-    wasted = bins = 0
-    stack = [(counts, options(counts))] if counts.any() else []
-    tried = 0
-    while stack:
-        left, open_options = stack[-1]
-        if not open_options or (best_bins is not None and tried > nodes):
-            stack.pop()
-            if path and len(path) == len(stack):
-                last = path.pop()
-                bins -= last.times
-                wasted -= last.times * (capacity - sum(last.lengths))
-            continue
-        lengths = open_options.pop()
-        rest, times = use(left, lengths)
-        tried += best_bins is not None
-        waste = times * (capacity - sum(lengths))
-        if best_bins is not None and total + wasted + waste > (best_bins - 1) * capacity:
-            continue
-        path.append(Pattern(lengths, times))
-        bins, wasted = bins + times, wasted + waste
-        if rest.any():
-            stack.append((rest, options(rest)))
-            continue
-        if best_bins is None or bins < best_bins:
-            best, best_bins = list(path), bins
-        if best_bins <= bound:
-            break
-        path.pop()
-        bins, wasted = bins - times, wasted - waste
-    return best
+    return Completion(counts, budget).solve()
 
 
 def place_pieces(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """``pieces`` with ``sequence_id`` and ``offset``.
+    """``pieces`` with ``sequence_id``, ``offset`` and ``search``.
 
     The histogram of lengths, at most ``capacity`` numbers, is all that leaves the
     executors. Pieces of one length are alike: they are numbered (in buckets, so that no
@@ -299,12 +400,13 @@ def place_pieces(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     counts = np.zeros(capacity + 1, np.int64)
     for row in sizes.groupBy("length").agg(F.sum("n").alias("n")).collect():
         counts[row["length"]] = row["n"]
-    patterns = complete_bins(counts)
+    solution = complete_bins(counts)
+    search = "proven" if solution.proven else "budget"
 
     entries: dict[int, list[tuple[int, int, int, int]]] = {}
     used = np.zeros(capacity + 1, np.int64)
     sequence = 0
-    for pattern in patterns:
+    for pattern in solution.patterns:
         offset = 0
         for length in sorted(set(pattern.lengths), reverse=True):
             times = pattern.lengths.count(length)
@@ -334,7 +436,8 @@ def place_pieces(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
             inside = number - entry[:, 1]
             places = (entry[:, 2] + inside // entry[:, 4], entry[:, 3] + inside % entry[:, 4] * length)
             columns = [*batch.columns[:5], *(pa.array(x, pa.int64()) for x in places)]
-            yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names[:5], "sequence_id", "offset"])
+            columns.append(pa.array([search] * batch.num_rows, pa.string()))
+            yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names[:5], "sequence_id", "offset", "search"])
 
         return each
 
@@ -350,7 +453,9 @@ def pack_documents(
     capacity: int = CAPACITY,
     end_id: int = END_ID,
 ) -> DataFrame:
-    """``doc_id, piece, start, length, ids_crc32, sequence_id, offset``: one row per piece.
+    """``doc_id, piece, start, length, ids_crc32, sequence_id, offset, search``: one row per
+    piece. ``search`` is ``proven`` in all rows if no packing has fewer sequences, ``budget``
+    if the search ended before that was known.
 
     A null or empty text is the end id alone. Documents of more than ``capacity`` ids are
     cut into pieces of that size; nothing else is cut. Each sequence holds at most

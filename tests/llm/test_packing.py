@@ -1,5 +1,6 @@
 import zlib
 from collections import Counter
+from itertools import combinations
 
 import numpy as np
 import pytest
@@ -62,7 +63,8 @@ def test_documents_of_a_table(spark):
     found = packing.pack_documents(documents).collect()
     used = check(found, rows, packing.CAPACITY)
     counts = np.bincount([r["length"] for r in found], minlength=packing.CAPACITY + 1)
-    assert used <= packing.lower_bound(counts) + 1
+    assert used == packing.lower_bound(counts) == 88
+    assert {r["search"] for r in found} == {"proven"}
 
 
 @pytest.mark.parametrize("capacity", [1, 7, 2048])
@@ -97,21 +99,92 @@ def best_possible(items, capacity):
     return best[0]
 
 
+def solve(items, capacity, **options):
+    """A packing, checked to hold exactly ``items``."""
+    counts = np.bincount(items, minlength=capacity + 1)
+    solution = packing.complete_bins(counts, **options)
+    used = sum((np.bincount(p.lengths, minlength=capacity + 1) * p.times for p in solution.patterns), 0 * counts)
+    assert (used == counts).all() and all(sum(p.lengths) <= capacity for p in solution.patterns)
+    assert packing.lower_bound(counts) == solution.bound <= solution.bins
+    return solution
+
+
 def test_small_instances_are_solved_exactly():
     rng = np.random.default_rng(3)
     for _ in range(60):
         capacity = int(rng.integers(8, 40))
         items = sorted(rng.integers(1, capacity + 1, int(rng.integers(1, 11))).tolist(), reverse=True)
-        counts = np.bincount(items, minlength=capacity + 1)
-        patterns = packing.complete_bins(counts)
-        used = sum((np.bincount(p.lengths, minlength=capacity + 1) * p.times for p in patterns), np.zeros(capacity + 1, int))
-        assert (used == counts).all() and all(sum(p.lengths) <= capacity for p in patterns)
-        bins = sum(p.times for p in patterns)
-        assert packing.lower_bound(counts) <= bins == best_possible(items, capacity)
+        solution = solve(items, capacity)
+        assert solution.proven and solution.bins == best_possible(items, capacity)
+
+
+def test_instances_above_the_lower_bound_are_proven():
+    rng = np.random.default_rng(4)
+    above = 0
+    for _ in range(40):
+        items = sorted(rng.integers(20, 70, 12).tolist(), reverse=True)
+        solution = solve(items, 100)
+        assert solution.proven and solution.bins == best_possible(items, 100)
+        above += solution.bins > solution.bound
+    assert above
+
+
+@pytest.mark.parametrize("bins, capacity", [(8, 100), (20, 100), (8, 2048), (20, 2048)])
+def test_three_items_fill_each_bin(bins, capacity):
+    rng = np.random.default_rng(5)
+    for _ in range(12):
+        items = []
+        for _ in range(bins):
+            first = int(rng.integers(capacity // 4, capacity // 2))
+            second = int(rng.integers(capacity // 4, max(capacity - first - capacity // 4, capacity // 4) + 1))
+            items += [first, second, capacity - first - second]
+        solution = solve(items, capacity)
+        assert solution.bins == bins and solution.proven
+
+
+def every_filling(left, capacity):
+    """All undominated fillings around the largest item, by trying every selection."""
+    largest = max(left)
+    rest = list(left)
+    rest.remove(largest)
+    room = capacity - largest
+    chosen = set()
+    for size in range(len(rest) + 1):
+        chosen.update(tuple(sorted(c, reverse=True)) for c in combinations(rest, size) if sum(c) <= room)
+
+    def dominated(items):
+        over = Counter(rest) - Counter(items)
+        parts = {c for size in range(len(items) + 1) for c in combinations(items, size)}
+        return any(sum(c) <= y <= sum(c) + room - sum(items) and c != (y,) for y in over for c in parts)
+
+    return {(largest, *items) for items in chosen if not dominated(items)}
+
+
+def test_undominated_fillings_are_all_met():
+    rng = np.random.default_rng(6)
+    for _ in range(150):
+        capacity = int(rng.integers(5, 40))
+        left = rng.integers(1, capacity + 1, int(rng.integers(1, 10))).tolist()
+        met = list(packing.Fillings(np.bincount(left, minlength=capacity + 1))(lambda: capacity))
+        met = [f for f in met if f]
+        assert len(met) == len(set(met)) and set(met) == every_filling(left, capacity)
+        assert [capacity - sum(f) for f in met] == sorted(capacity - sum(f) for f in met)
+
+
+def test_an_ended_search_says_so():
+    rng = np.random.default_rng(7)
+    items = [x for a in rng.integers(26, 49, 20).tolist() for x in (a, 26, 74 - a)]
+    assert solve(items, 100, budget=0).proven == (solve(items, 100, budget=0).bins == 20)
+    assert solve(items, 100).bins <= solve(items, 100, budget=0).bins
 
 
 def test_work_does_not_grow_with_the_counts():
     counts = np.bincount([1500, 1400, 700, 640, 500, 300, 48, 3], minlength=2049)
     few, many = packing.complete_bins(counts * 10), packing.complete_bins(counts * 10**9)
-    assert len(many) <= 4 * len(few) + 10
-    assert sum(p.times for p in many) >= packing.lower_bound(counts * 10**9)
+    assert len(many.patterns) <= 4 * len(few.patterns) + 10
+    assert many.bins >= packing.lower_bound(counts * 10**9)
+
+
+def test_no_items():
+    solution = packing.complete_bins(np.zeros(9, np.int64))
+    assert solution.patterns == [] and solution.proven
