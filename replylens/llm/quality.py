@@ -28,6 +28,9 @@ MAX_CLASS_DISTANCE = 0.25
 SLACK_WORDS = 20  # a text of n words may be further away by the share SLACK_WORDS / n
 MAX_WORD_DISTANCE = 0.5
 FLUSH_WORDS = 500_000
+# Classes that differ between scripts, not between prose and other matter: letters of either
+# case and code points beyond ASCII are one class where a text has no fitting reference.
+LETTERS = [0, 1, 8]
 
 STATISTICS = "lang string, kind string, item string, n long"
 VERDICT = (
@@ -89,6 +92,11 @@ def common_form(text: str) -> list[bytes]:
     return [word.strip(b".,;:!?'\"()") for word in text.lower().encode().split()]
 
 
+def without_script(classes: np.ndarray) -> np.ndarray:
+    """Class histograms (last axis) with one class for all letters."""
+    return np.concatenate([classes[..., LETTERS].sum(axis=-1, keepdims=True), np.delete(classes, LETTERS, -1)], -1)
+
+
 def js_distance(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     """Jensen-Shannon distance (base 2, 0 to 1) of ``p`` from each row of ``q``."""
     middle = (p + q) / 2
@@ -202,6 +210,12 @@ class Judge:
         self.table = _class_of_byte()
         self.place = {w.encode(): i for i, w in enumerate(references.words)}
         self.languages = set(references.languages)
+        self.prose = without_script(references.classes)
+
+    def distance_from_prose(self, body: bytes) -> float:
+        """How far the text's classes are from any language, whatever its script."""
+        counts = without_script(class_counts(body, self.table))
+        return float(js_distance(counts / max(counts.sum(), 1), self.prose).min())
 
     def distances(
         self, text: str, body: bytes, n_words: int, lang: str | None
@@ -232,6 +246,9 @@ class Judge:
         failed = len(words) < MIN_WORDS or 100 * repeats > 50 * len(words)
         language, by_class, by_word = self.distances(text, body, len(words), lang)
         slack = 1 + SLACK_WORDS / max(len(words), 1)
+        if lang is None and not failed and by_class > self.max_class * slack:
+            language, by_class, by_word = None, self.distance_from_prose(body), 0.0
+        fits = by_class <= self.max_class * slack and by_word <= self.max_word * slack
         return (
             len(words),
             len(text) - blanks,
@@ -239,7 +256,7 @@ class Judge:
             len(lines) - len(set(lines)),
             repeats,
             failed,
-            not failed and by_class <= self.max_class * slack and by_word <= self.max_word * slack,
+            not failed and fits,
             language,
             by_class,
             by_word,
@@ -266,7 +283,10 @@ def quality_rules(
     are judged one by one, ids (null included) are passed on. Only the base rules decide,
     with no ``reference`` and distances of 0, where there is no fitting reference: on rows
     whose ``lang_col`` names a language without one, and everywhere if no language has one.
-    Rows without a label (null, or no such column) are held against all references; other
+    Rows without a label (null, or no such column) are held against all references. If the
+    classes of the nearest do not fit, they may be in another script: then no ``reference``
+    is named, and they are kept if their classes, with letters of all scripts as one, lie
+    within ``max_class`` of a language's (``class_distance``; words are not compared). Other
     columns are not read.
     """
 

@@ -115,6 +115,33 @@ def test_small_languages_are_kept_in_a_large_table(spark, documents):
     assert {r["reference"] for r in quality.quality_rules(unlabelled, references).collect()} == {"ru"}
 
 
+def test_no_verdict_by_a_foreign_reference(spark, references):
+    """Unlabelled Russian beside four Latin languages is kept, junk is not."""
+    rng = random.Random(9)
+    marks = [" ".join("".join(rng.choice("=+~^_@#{}[]/0123456789") for _ in range(6)) for _ in range(200)) for _ in range(5)]
+    digits = [" ".join(str(rng.randrange(10**6)) for _ in range(200)) for _ in range(5)]
+    rows = [(i, cyrillic(i, 150), None, "s", 0) for i in range(20)]
+    rows += [(-1 - i, text, None, "s", 0) for i, text in enumerate(marks + digits)]
+    df = spark.createDataFrame(rows, DOCUMENTS)
+    for frame in (df, df.drop("lang")):
+        found = quality.quality_rules(frame, references).collect()
+        assert all(r["kept"] == (r["doc_id"] >= 0) and r["reference"] is None for r in found)
+        assert {r["doc_id"] for r in quality.keep_good(frame, references).collect()} == set(range(20))
+
+
+def test_labels_change_no_clean_document(spark, documents, references):
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    rows = quality.quality_rules(documents.drop("lang"), references).join(labels, "doc_id").collect()
+    assert all(r["kept"] for r in rows if r["quality"] == 1 and not r["base_failed"])
+    junk = [r for r in rows if r["quality"] == 0]
+    assert sum(r["kept"] for r in junk) <= 0.15 * len(junk)
+
+
+def test_script_is_one_class():
+    classes = np.arange(9.0)
+    assert quality.without_script(classes).tolist() == [9.0, 2, 3, 4, 5, 6, 7]
+
+
 def test_word_distances_match_the_whole_table(references):
     counts = np.random.default_rng(1).integers(0, 3, len(references.words) + 1)
     words = np.flatnonzero(counts)
