@@ -62,12 +62,56 @@ TEMPLATES = {
         ["unencumbered software released into the public domain"],
     ),
     "reserved": ("All rights reserved.", ["all rights reserved"]),
+    "agpl-3.0": (
+        "This work is licensed under the GNU Affero General Public License, version 3.",
+        ["gnu affero general public license version 3"],
+    ),
+    "cc0-1.0": ("CC0 1.0 Universal", ["cc0 1 0"]),
+    "cc-by-nd-4.0": ("Licensed under CC BY-ND 4.0.", ["cc by nd 4 0"]),
+    "cc-by-nc-sa-4.0": ("Licensed under CC BY-NC-SA 4.0.", ["cc by nc sa 4 0"]),
+    "cc-by-nc-nd-4.0": ("Licensed under CC BY-NC-ND 4.0.", ["cc by nc nd 4 0"]),
+    "epl-2.0": ("Eclipse Public License 2.0", ["eclipse public license 2 0"]),
+    "bsl-1.0": ("Boost Software License - Version 1.0 - August 17th, 2003", ["boost software license version 1 0"]),
+    "zlib": (
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors "
+        "be held liable for any damages arising from the use of this software.",
+        ["will the authors be held liable for any damages"],
+    ),
 }
 
-# Further texts of the same labels: titles, file headers, other short notices.
-FORMS = {
+# Identifiers of the SPDX list by label; suffixes as -only, -or-later and + are the same label.
+IDENTIFIERS = {
+    "agpl-3.0": ["AGPL-3.0"],
+    "apache-2.0": ["Apache-2.0"],
+    "bsd": ["BSD-2-Clause", "BSD-3-Clause", "0BSD"],
+    "bsl-1.0": ["BSL-1.0"],
+    "cc-by-4.0": ["CC-BY-4.0"],
+    "cc-by-nc-4.0": ["CC-BY-NC-4.0"],
+    "cc-by-nc-nd-4.0": ["CC-BY-NC-ND-4.0"],
+    "cc-by-nc-sa-4.0": ["CC-BY-NC-SA-4.0"],
+    "cc-by-nd-4.0": ["CC-BY-ND-4.0"],
+    "cc-by-sa-4.0": ["CC-BY-SA-4.0"],
+    "cc0-1.0": ["CC0-1.0"],
+    "epl-2.0": ["EPL-2.0"],
+    "gpl-2.0": ["GPL-2.0"],
+    "gpl-3.0": ["GPL-3.0"],
+    "isc": ["ISC"],
+    "lgpl": ["LGPL-2.0", "LGPL-2.1", "LGPL-3.0"],
+    "mit-release": ["MIT"],
+    "mpl-2.0": ["MPL-2.0"],
+    "unlicense": ["Unlicense"],
+    "zlib": ["Zlib"],
+}
+
+# Further texts of the same labels: titles, file headers, other short notices, and the
+# paragraphs of whole licence texts, each by itself as names and line numbers stand between.
+TEXTS = {
     "gpl-3.0": [
         ("GNU GENERAL PUBLIC LICENSE Version 3", ["gnu general public license version 3"]),
+        (
+            "The GNU General Public License is a free, copyleft license for software and other kinds of works.",
+            ["gnu general public license is a free copyleft license for software"],
+        ),
         (
             "it under the terms of the GNU General Public License as published by the Free Software Foundation, "
             "either version 3 of the License, or (at your option) any later version",
@@ -103,6 +147,11 @@ FORMS = {
     "apache-2.0": [
         ("Apache License Version 2.0", ["apache license version 2 0"]),
         ("Apache License 2.0", ["apache license 2 0"]),
+        (
+            "you may not use this file except in compliance with the License. You may obtain a copy of the License at "
+            "http://www.apache.org/licenses/LICENSE-2.0",
+            ["you may not use this file except in compliance with the license", "apache org licenses license 2 0"],
+        ),
     ],
     "cc-by-4.0": [
         ("Creative Commons Attribution 4.0 International", ["creative commons attribution 4 0"]),
@@ -113,8 +162,56 @@ FORMS = {
     "cc-by-sa-4.0": [
         ("Creative Commons Attribution-ShareAlike 4.0 International", ["creative commons attribution sharealike 4 0"]),
     ],
+    "cc-by-nd-4.0": [
+        ("Attribution-NoDerivatives 4.0 International", ["attribution noderivatives 4 0"]),
+    ],
+    "cc-by-nc-sa-4.0": [
+        ("Attribution-NonCommercial-ShareAlike 4.0 International", ["attribution noncommercial sharealike 4 0"]),
+    ],
+    "cc-by-nc-nd-4.0": [
+        ("Attribution-NonCommercial-NoDerivatives 4.0 International", ["attribution noncommercial noderivatives 4 0"]),
+    ],
+    "agpl-3.0": [
+        ("GNU AFFERO GENERAL PUBLIC LICENSE Version 3", ["gnu affero general public license version 3"]),
+        (
+            "it under the terms of the GNU Affero General Public License as published by the Free Software "
+            "Foundation, either version 3 of the License, or (at your option) any later version",
+            ["gnu affero general public license as published by", "version 3 of the license"],
+        ),
+    ],
+    "epl-2.0": [("Eclipse Public License - v 2.0", ["eclipse public license v 2 0"])],
+    "zlib": [
+        (
+            "Permission is granted to anyone to use this software for any purpose, including commercial applications, "
+            "and to alter it and redistribute it freely, subject to the following restrictions",
+            ["permission is granted to anyone to use this software", "alter it and redistribute it freely"],
+        ),
+    ],
+    "bsl-1.0": [
+        (
+            "Distributed under the Boost Software License, Version 1.0.",
+            ["boost software license version 1 0"],
+        ),
+    ],
+    "mit-notice": [
+        (
+            "The above copyright notice and this permission notice shall be included in all copies or substantial "
+            "portions of the Software.",
+            ["this permission notice shall be included in all copies or substantial portions of the software"],
+        ),
+    ],
     "mit-release": [("The MIT License (MIT)", ["the mit license mit"])],
     "bsd": [
+        (
+            "Redistributions of source code must retain the above copyright notice, this list of conditions and the "
+            "following disclaimer.",
+            ["redistributions of source code must retain the above copyright notice"],
+        ),
+        (
+            "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and "
+            "the following disclaimer in the documentation and/or other materials provided with the distribution.",
+            ["redistributions in binary form must reproduce the above copyright notice"],
+        ),
         ("BSD 3-Clause License", ["bsd 3 clause license"]),
         ("BSD 2-Clause License", ["bsd 2 clause license"]),
         (
@@ -128,9 +225,26 @@ FORMS = {
     ],
     "unlicense": [
         ("For more information, please refer to <https://unlicense.org>", ["unlicense org"]),
+        (
+            "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in "
+            "source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
+            ["anyone is free to copy modify publish use compile sell or distribute this software"],
+        ),
     ],
 }
 
+
+def with_identifiers(texts: dict, identifiers: dict) -> dict:
+    """``texts`` and, for every identifier, the line of a file's head that names it."""
+    lines = {
+        label: [(f"SPDX-License-Identifier: {name}", [f"spdx license identifier {name}"]) for name in names]
+        for label, names in identifiers.items()
+    }
+    return {label: texts.get(label, []) + lines.get(label, []) for label in [*texts, *lines]}
+
+
+FORMS = with_identifiers(TEXTS, IDENTIFIERS)
+
 RARE_WORDS = 4  # of each template, those that the corpus has least
 MIN_SHARE = 0.6
 SLACK = 8  # words by which a key phrase may lie outside the template's own length
@@ -274,9 +388,10 @@ def scan_licenses(
 ) -> DataFrame:
     """The columns of ``RESULT`` for every row of ``df``.
 
-    A label has its template and further ``forms`` (title, file header, short notice). One is a candidate where two of its rarest words stand at their relative
-    places; it is accepted if ``min_share`` of its words do and each of its key phrases is
-    there. ``score`` is 1 with a base phrase, else the largest such share, else 0. A null or
+    A label has its template and further ``forms`` (title, file header, short notice,
+    identifier, paragraph of the licence). One is a candidate where two of its rarest words
+    stand at their relative places; it is accepted if ``min_share`` of its words do and each
+    of its key phrases is there. An empty table gives no rows. ``score`` is 1 with a base phrase, else the largest such share, else 0. A null or
     empty text has no words and no labels. Repeated rows and null ids are passed on; other
     columns are not read.
     """
