@@ -34,11 +34,13 @@ CACHED_WORDS = 400_000
 KEPT_SETS = 2_000  # of texts just compared
 ROUNDS = 6  # of comparing each row with one centre before all open pairs are compared
 GAINFUL = 4  # a round is worth another one if it links one of so many rows
+PARITY_WORDS = 8  # of 64 bits, in which sets of open rows are held against each other
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 SETS = "id long, row long, n_shingles long, first long, second long, small array<long>, chunk int, counts binary"
 SUBSETS = "key long, row long, n int, gap int"
 LISTED = "key long, row long, n int, most int"
+COMPARED = "row long, text string, parity array<long>"
 
 
 def shared(s: int, t: int, percent: int) -> int:
@@ -46,6 +48,14 @@ def shared(s: int, t: int, percent: int) -> int:
     return -(-percent * (s + t) // (100 + percent))
 
 
+def parities(tokens: np.ndarray) -> np.ndarray:
+    """512 bits: of each residue, whether the set has an odd number of shingles with it. Bits in which
+    two sets differ are at most as many as shingles that only one of them has."""
+    residues = (tokens % np.uint64(64 * PARITY_WORDS)).astype(np.int64)
+    odd = (np.bincount(residues, minlength=64 * PARITY_WORDS) & 1).astype(np.uint8)
+    return np.packbits(odd).view(np.int64)
+
+
 def largest_partner(s: int, percent: int) -> int:
     return 100 * s // percent
 
@@ -263,6 +273,23 @@ def _list_rows(words: int, percent: int, boundary: int, shared_weights) -> Calla
     return make
 
 
+def _with_parities(words: int) -> Callable[[], Callable]:
+    """From ``row, text``: ``COMPARED``."""
+
+    def make() -> Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]]:
+        shingle = Shingler(words)
+
+        def each(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+            bits = [parities(shingle(text)) for text in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(bits, pa.list_(pa.int64()))], ["row", "text", "parity"]
+            )
+
+        return each
+
+    return make
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """The ``(a, b)`` of ``pairs`` whose sets really link, compared shingle by shingle; ``texts``
     has each row once."""
@@ -364,8 +391,8 @@ def jaccard_components(
     others they share. Hot groups: copies of one set are tied by its signature, and one of them
     stands in the lists. Then each row is compared with one centre of its lists, up to ``ROUNDS``
     times with other centres as long as that links many, and rows that are connected are never
-    compared again. Only in lists where several components remain are all pairs across them that sizes
-    and places allow compared, so that no link is lost.
+    compared again. Only in lists where several components remain are all pairs across them that sizes,
+    places and parities of their sets allow compared, so that no link is lost.
     """
     spark = df.sparkSession
     texts = df.select(
@@ -415,7 +442,7 @@ def jaccard_components(
     # Texts move once, those of rows that have anything to be compared with.
     needed = open_rows.select("row").distinct()
     compared = texts.select("row", "text").join(needed, "row", "left_semi").dropDuplicates(["row"])
-    compared = store(compared, "compared_texts")
+    compared = store(map_batches(compared, _with_parities(words), COMPARED), "compared_texts")
     for number in range(ROUNDS):
         pairs = _pairs_with_centres(open_rows, number)
         links = store(_verified(pairs, compared, words, percent), "links")
@@ -455,6 +482,17 @@ def _suits(n: str, most: str, m: str, other_most: str) -> Column:
     return (F.col(n) <= F.col(other_most)) & (F.col(m) <= F.col(most))
 
 
+def _may_reach(percent: int) -> Column:
+    """Whether the sets of ``n, parity`` and ``m, other_parity`` differ in no more bits than sets
+    of a linking pair have shingles that only one of them has."""
+    total = F.col("n") + F.col("m")
+    common = F.ceil(total * percent / (100 + percent))
+    differ = sum(
+        (F.bit_count(F.col("parity")[i].bitwiseXOR(F.col("other_parity")[i])) for i in range(PARITY_WORDS)), F.lit(0)
+    )
+    return differ <= total - 2 * common
+
+
 def _open_lists(rows: DataFrame, members: DataFrame) -> DataFrame:
     """The rows of lists in which more than one component is left, with their component, as far
     as another entry of the list suits theirs."""
@@ -499,23 +537,26 @@ def _link_the_rest(
     """Compare what lists with several components still leave open, each pair once.
 
     One of any two components in a list is not its largest, so rows outside the largest
-    are compared with all rows of other components.
+    are compared with all rows of other components. Most rows of a large family that just
+    miss the threshold are told by the parities of their sets, before a pair is made.
     """
     sizes = open_rows.groupBy("key", "component").agg(F.count("*").alias("size"))
     largest = store(
         sizes.groupBy("key").agg(F.max(F.struct("size", "component"))["component"].alias("main")), "largest"
     )
-    placed = open_rows.join(largest, "key")
+    bits = texts.select("row", "parity")
+    placed = store(open_rows.join(largest, "key").join(bits, "row"), "placed")
     others = placed.filter("component <> main").select(
         "key",
         F.col("row").alias("a"),
         F.col("n").alias("m"),
         F.col("most").alias("other_most"),
         F.col("component").alias("x"),
+        F.col("parity").alias("other_parity"),
     )
     pairs = (
         others.join(placed, "key")
-        .filter((F.col("x") != F.col("component")) & _suits("n", "most", "m", "other_most"))
+        .filter((F.col("x") != F.col("component")) & _suits("n", "most", "m", "other_most") & _may_reach(percent))
         .filter((F.col("component") == F.col("main")) | (F.col("a") < F.col("row")))
         .select(F.least("a", "row").alias("a"), F.greatest("a", "row").alias("b")).distinct()
     )

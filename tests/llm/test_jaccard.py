@@ -167,3 +167,31 @@ def test_survivors_under_repeated_and_null_ids(spark):
         kept = jaccard.keep_one_of_each(df, words=5, percent=80).collect()
         assert len(kept) == 1
         assert kept[0]["doc_id"] == min((i for i in ids if i is not None), default=None)
+
+
+@pytest.mark.parametrize("percent", [80, 90])
+def test_parities_never_part_a_linking_pair(spark, percent):
+    """And they part most pairs of a family that stays below the threshold."""
+    rng = np.random.default_rng(1)
+    rows = []
+    for _ in range(600):
+        base = np.unique(rng.integers(0, 2**63, int(rng.integers(1, 400))).astype(np.uint64))
+        lost = rng.integers(0, max(2, len(base) * (110 - percent) // 100), 2)
+        a, b = base[int(lost[0]) :], base[: len(base) - int(lost[1])]
+        if len(a) == 0 or len(b) == 0:
+            continue
+        both = len(np.intersect1d(a, b))
+        links = 100 * both >= percent * (len(a) + len(b) - both)
+        rows.append((len(a), len(b), jaccard.parities(a).tolist(), jaccard.parities(b).tolist(), links))
+    df = spark.createDataFrame(rows, "n int, m int, parity array<long>, other_parity array<long>, links boolean")
+    counts = {tuple(r)[:2]: r["count"] for r in df.groupBy("links", jaccard._may_reach(percent).alias("may")).count().collect()}
+    assert (True, False) not in counts and counts[True, True] > 50
+    assert counts[False, False] > counts[False, True] > 0
+
+
+def test_large_families_around_the_threshold(spark):
+    """Many copies of one text, most pairs of which just miss the threshold, beside some that reach it."""
+    texts = list(near_copies(21, 100, 150, 9)) + list(near_copies(22, 60, 80, 5))
+    rows = [(i, t, None, None, None) for i, t in enumerate(texts)]
+    assert found(spark.createDataFrame(rows, DOCUMENTS)) == brute_force(rows)
+    assert len({c for _, _, c in brute_force(rows)}) > 20
