@@ -14,6 +14,9 @@ BLOCK_BYTES = 4096
 # hence there are fewer than FREQUENT_SHARE frequent ones, whatever the input.
 FREQUENT_SHARE = 2000
 
+# Rows repeated with one id and text are written out by at most so many at once.
+COPIES_AT_ONCE = 1 << 16
+
 NO_PARTNER = -(2**63)
 
 
@@ -110,6 +113,35 @@ def text_identities(
     ).select("id", "sha", "copies", "blocks", "name")
 
 
+def _grouped(df: DataFrame, id_col: str, text_col: str, block_bytes: int) -> DataFrame:
+    """``id, sha, copies, keep_id, group_size``: the rows of one id and text are one row here."""
+    members = store(text_identities(df, id_col, text_col, block_bytes), "identities")
+    groups = store(
+        members.groupBy("blocks", "name").agg(
+            F.max("id").alias("keep_id"), F.sum("copies").alias("group_size")
+        ),
+        "groups",
+    )
+    return members.join(groups, ["blocks", "name"]).drop("blocks", "name")
+
+
+def _written_out(rows: DataFrame) -> DataFrame:
+    """Each row as often as ``copies`` says, numbered from 1 in ``copy``. What is repeated more than
+    ``COPIES_AT_ONCE`` times is dealt to tasks in parts of that many."""
+    few = rows.filter(F.col("copies") <= COPIES_AT_ONCE).withColumn(
+        "copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))
+    )
+    parts = (
+        rows.filter(F.col("copies") > COPIES_AT_ONCE)
+        .withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(copies - 1) div {COPIES_AT_ONCE}"))))
+        .repartition("id", "sha", "part")
+    )
+    first = F.col("part") * COPIES_AT_ONCE
+    last = F.least(F.col("copies"), first + COPIES_AT_ONCE)
+    many = parts.withColumn("copy", F.explode(F.sequence(first + 1, last))).drop("part")
+    return few.unionByName(many)
+
+
 def exact_duplicates(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES
 ) -> DataFrame:
@@ -120,23 +152,12 @@ def exact_duplicates(
     null ``keep_id``, and its first row stays. Of rows repeated with the same id and text
     exactly one is kept. Other columns are not read. An empty table gives no rows.
     """
-    members = store(text_identities(df, id_col, text_col, block_bytes), "identities")
-    groups = store(
-        members.groupBy("blocks", "name").agg(
-            F.max("id").alias("keep_id"), F.sum("copies").alias("group_size")
-        ),
-        "groups",
-    )
-    return (
-        members.join(groups, ["blocks", "name"])
-        .withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
-        .select(
-            F.col("id").alias("doc_id"),
-            "keep_id",
-            "group_size",
-            (same(F.col("id"), F.col("keep_id")) & (F.col("copy") == 1)).alias("kept"),
-            F.col("sha").alias("text_sha256"),
-        )
+    return _written_out(_grouped(df, id_col, text_col, block_bytes)).select(
+        F.col("id").alias("doc_id"),
+        "keep_id",
+        "group_size",
+        (same(F.col("id"), F.col("keep_id")) & (F.col("copy") == 1)).alias("kept"),
+        F.col("sha").alias("text_sha256"),
     )
 
 
@@ -144,20 +165,20 @@ def drop_exact_duplicates(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """The rows of ``df`` that stay, with its columns. Of repeated rows (same id, same text)
-    the one stays whose other columns come first in sorted order."""
-    flags = exact_duplicates(df, id_col, text_col)
+    the one stays whose other columns come first in sorted order; each task offers one, so that
+    no task gets all of them. Ids, nulls and empty tables are as in ``exact_duplicates``."""
+    grouped = _grouped(df, id_col, text_col, BLOCK_BYTES)
     stay = store(
-        flags.groupBy(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha"))
-        .agg(F.max("kept").alias("kept"), F.count("*").alias("copies")).filter("kept"),
+        grouped.filter(same(F.col("id"), F.col("keep_id")))
+        .select(F.col("id").alias("__id"), F.col("sha").alias("__sha"), "copies"),
         "kept",
     )
     sha = F.sha2(F.coalesce(F.col(text_col), F.lit("")).cast("binary"), 256)
     packed = df.select(F.struct("*").alias("__row"), F.col(id_col).alias("__of"), sha.alias("__text"))
     match = same(F.col("__of"), F.col("__id")) & (F.col("__text") == F.col("__sha"))
     single = packed.join(stay.filter("copies = 1"), match)
-    order = Window.partitionBy("__id", "__sha").orderBy(F.to_json("__row"))
     repeated = (
         packed.join(stay.filter("copies > 1"), match)
-        .withColumn("__n", F.row_number().over(order)).filter("__n = 1")
+        .groupBy("__id", "__sha").agg(F.min_by("__row", F.to_json("__row")).alias("__row"))
     )
     return single.select("__row.*").unionByName(repeated.select("__row.*"))
