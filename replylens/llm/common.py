@@ -7,7 +7,12 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from replylens.session import cut_lineage as store, new_folder  # noqa: F401
+from replylens.session import cut_lineage, new_folder  # noqa: F401
+
+
+def store(df: DataFrame, name: str = "table") -> DataFrame:
+    """``cut_lineage`` with the session's codec: these tables hold numbers rather than texts."""
+    return cut_lineage(df, name, compression=None)
 
 
 def same(left: Column, right: Column) -> Column:
