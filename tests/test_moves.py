@@ -1,0 +1,77 @@
+"""Texts move once: a log's texts, pairs to their batch, and both sides of an upsert."""
+
+from __future__ import annotations
+
+import glob
+
+from pyspark.sql import functions as F
+
+from replylens.functions import ordering
+from replylens.operators import annotation, collections
+from replylens.session import cut_lineage
+from replylens.sources import driver_tables, writers
+
+
+def plan_of(df) -> list[str]:
+    return df._jdf.queryExecution().executedPlan().toString().split("\n")
+
+
+def test_text_pairs_of_repeated_and_missing_documents(spark, tmp_path):
+    rows = [(0, "a"), (1, "b"), (1, "c"), (3, "d"), (None, "e"), (9, "f"), (3, "g")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    pairs = driver_tables.text_pairs(spark, str(tmp_path))
+    found = sorted(map(tuple, pairs.select("doc_id", "asked", "suggested").collect()), key=str)
+    expected = []
+    for key, text in rows:
+        replies = [t for k, t in rows if key is not None and k == (key * 7 + 3) % len(rows)]
+        expected += [(key, text, reply) for reply in replies or [None]]
+    assert found == sorted(expected, key=str)
+    # Texts are dealt out by ids of documents, never by a number made from them.
+    assert not [line for line in plan_of(pairs) if "Exchange hashpartitioning(pmod" in line]
+
+
+def test_batches_are_whole_within_blocks(spark, monkeypatch):
+    monkeypatch.setattr(ordering, "BLOCK", 20)
+    pairs = spark.range(333).select(
+        F.concat(F.lit("pair_"), "id").alias("id"), *(F.lit("x").alias(f) for f in annotation.ITEM_FIELDS.values())
+    )
+    batched = cut_lineage(annotation.annotation_batches(pairs, part="part"))
+    assert batched.select("part").distinct().count() > 10
+    assert batched.groupBy("batch").agg(F.count_distinct("part").alias("n")).filter("n > 1").count() == 0
+    order = sorted(batched.collect(), key=lambda r: (r["batch"], r["j"]))
+    assert [r["batch"] * annotation.BATCH_SIZE + r["j"] for r in order] == list(range(333))
+    digests = batched.select("batch", "j", F.md5("id").alias("d")).orderBy("batch", "j").collect()
+    assert [r["d"] for r in digests] == sorted(r["d"] for r in digests)
+
+
+def test_prompts_are_grouped_where_rows_are(spark):
+    pairs = cut_lineage(
+        spark.range(50).select(
+            F.col("id").cast("string").alias("id"), *(F.lit("x").alias(f) for f in annotation.ITEM_FIELDS.values())
+        )
+    )
+    lines = plan_of(annotation.annotation_prompts(annotation.annotation_batches(pairs, part="part")))
+    exchange = next(i for i, line in enumerate(lines) if "Exchange hashpartitioning" in line)
+    assert any("Window" in line for line in lines[:exchange])
+
+
+def test_upsert_keeps_rows_without_id_and_moves_once(spark):
+    old = spark.createDataFrame([("1", "a"), ("1", "b"), ("2", "c"), (None, "d")], "id string, document string")
+    new = spark.createDataFrame(
+        [("2", "x", 1), ("2", "y", 1), ("3", "z", 2), (None, "n", 1)], "id string, document string, sequence int"
+    )
+    merged = collections.upsert(old, new)
+    moves = [line for line in plan_of(merged) if "Exchange hashpartitioning" in line]
+    expected = {("1", "a"), ("1", "b"), ("2", "y"), ("3", "z"), (None, "d"), (None, "n")}
+    assert {tuple(r) for r in merged.collect()} == expected and merged.count() == 6
+    assert len(moves) == 1
+
+
+def test_stored_texts_are_compressed(spark, tmp_path):
+    rows = spark.createDataFrame([("1", "a")], "id string, document string")
+    writers.write_table(rows, f"{tmp_path}/table")
+    writers.write_table(rows, f"{tmp_path}/log", format="csv", compression="gzip")
+    writers.upsert_collection(rows, f"{tmp_path}/kept")
+    assert glob.glob(f"{tmp_path}/table/*.zstd.parquet") and glob.glob(f"{tmp_path}/log/*.csv.gz")
+    assert glob.glob(f"{tmp_path}/kept/*/*.zstd.parquet")
+    assert cut_lineage(rows).inputFiles()[0].endswith(".zstd.parquet")
