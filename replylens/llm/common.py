@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from replylens.session import cut_lineage, new_folder  # noqa: F401
 
+SLICE = 500  # rows of a batch that are Python objects at a time
+
 
 def store(df: DataFrame, name: str = "table") -> DataFrame:
     """``cut_lineage`` with the session's codec: these tables hold numbers rather than texts."""
@@ -20,6 +22,12 @@ def same(left: Column, right: Column) -> Column:
     return left.eqNullSafe(right)
 
 
+def each_value(column: pa.Array) -> Iterator:
+    """The values of a batch's column; only a few rows' are Python objects at a time."""
+    for at in range(0, len(column), SLICE):
+        yield from column.slice(at, SLICE).to_pylist()
+
+
 def map_batches(
     df: DataFrame,
     make: Callable[[], Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]]],
@@ -45,8 +53,10 @@ def filter_batches(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         accept = make()
         for batch in batches:
-            given = [batch.column(batch.schema.get_field_index(name)).to_pylist() for name in names]
-            yield batch.filter(pa.array(accept(*given), pa.bool_()))
+            for at in range(0, batch.num_rows, SLICE):
+                part = batch.slice(at, SLICE)
+                given = [part.column(part.schema.get_field_index(name)).to_pylist() for name in names]
+                yield part.filter(pa.array(accept(*given), pa.bool_()))
 
     return df.mapInArrow(run, df.schema)
 

@@ -22,7 +22,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from replylens.llm.common import map_batches, store
+from replylens.llm.common import each_value, map_batches, store
 
 WORDS = 3
 PERCENT = 90
@@ -30,7 +30,7 @@ LARGEST_SMALL = 30  # sizes above are never worth their subsets
 LIST_COST = 4  # a row of a list against one of a subset, as its pairs must be compared
 COUNTERS = 1 << 20  # of shingles, by hash; they settle the order only, in which any order is exact
 CHUNKS = 64  # in which counters are summed
-CACHED_WORDS = 400_000
+CACHED_WORDS = 50_000  # more take memory and are no faster
 KEPT_SETS = 2_000  # of texts just compared
 ROUNDS = 6  # of comparing each row with one centre before all open pairs are compared
 GAINFUL = 4  # a round is worth another one if it links one of so many rows
@@ -142,7 +142,7 @@ def _sets(words: int) -> Callable:
         names = [field.split()[0] for field in SETS.split(", ")]
         for batch in batches:
             sizes, first, second, small = [], [], [], []
-            for text in batch.column(2).to_pylist():
+            for text in each_value(batch.column(2)):
                 tokens = shingle(text)
                 a, b = signature(tokens)
                 sizes.append(len(tokens)), first.append(a), second.append(b)
@@ -254,7 +254,7 @@ def _list_rows(words: int, percent: int, boundary: int, shared_weights) -> Calla
 
         def each(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
             columns, made = ([], [], [], []), 0
-            for row, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for row, text in zip(each_value(batch.column(0)), each_value(batch.column(1))):
                 tokens = shingle(text)
                 if len(tokens) == 0 or largest_partner(len(tokens), percent) <= boundary:
                     continue
@@ -280,7 +280,7 @@ def _with_parities(words: int) -> Callable[[], Callable]:
         shingle = Shingler(words)
 
         def each(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-            bits = [parities(shingle(text)) for text in batch.column(1).to_pylist()]
+            bits = [parities(shingle(text)) for text in each_value(batch.column(1))]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(bits, pa.list_(pa.int64()))], ["row", "text", "parity"]
             )
@@ -307,7 +307,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> D
 
         def each(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
             linked = []
-            for a, b, text_a, text_b in zip(*(column.to_pylist() for column in batch.columns)):
+            for a, b, text_a, text_b in zip(*map(each_value, batch.columns)):
                 tokens_a, tokens_b = tokens_of(a, text_a), tokens_of(b, text_b)
                 both = len(np.intersect1d(tokens_a, tokens_b, assume_unique=True))
                 linked.append(100 * both >= percent * (len(tokens_a) + len(tokens_b) - both))

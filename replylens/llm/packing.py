@@ -17,7 +17,7 @@ import public_tokenizers
 import regex
 from pyspark.sql import DataFrame, Window, functions as F
 
-from replylens.llm.common import map_batches, store
+from replylens.llm.common import each_value, map_batches, store
 
 CAPACITY = 2048
 END_ID = 0
@@ -97,16 +97,6 @@ class Tokenizer:
         return b"".join(out)
 
 
-_tokenizers: dict[str, Tokenizer] = {}
-
-
-def tokenizer(path: str) -> Tokenizer:
-    """One for each Python worker, so that its tables outlive a task."""
-    if path not in _tokenizers:
-        _tokenizers[path] = Tokenizer(path)
-    return _tokenizers[path]
-
-
 def tokenised_pieces(
     df: DataFrame,
     id_col: str = "doc_id",
@@ -115,15 +105,19 @@ def tokenised_pieces(
     capacity: int = CAPACITY,
     end_id: int = END_ID,
 ) -> DataFrame:
-    """Every document's ids with ``end_id`` after them, cut at ``capacity``, without the ids."""
+    """Every document's ids with ``end_id`` after them, cut at ``capacity``, without the ids.
+
+    A task has a tokenizer of its own, whose tables go with it: a Python worker is used again
+    by later stages, which need its memory.
+    """
     end = np.array([end_id], "<u4").tobytes()
 
     def make() -> Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]]:
-        encode = tokenizer(path)
+        encode = Tokenizer(path)
 
         def each(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
             rows = []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for doc, text in zip(batch.column(0).to_pylist(), each_value(batch.column(1))):
                 ids = encode(text) + end
                 for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at : at + 4 * capacity]

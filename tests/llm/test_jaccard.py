@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 from collections import Counter
 from itertools import combinations
 
@@ -16,6 +17,16 @@ def shingles(text, n=3):
     return frozenset(zip(*(lower[i:] for i in range(n))))
 
 
+def test_words_kept_by_a_task_take_little_memory():
+    text = " ".join(f"word{i}" for i in range(300_000))
+    shingle = jaccard.Shingler(5)
+    tracemalloc.start()
+    found = shingle(text)
+    kept = tracemalloc.get_traced_memory()[0] - found.nbytes
+    tracemalloc.stop()
+    assert len(found) == 299_996 and kept < 16e6
+
+
 def brute_force(rows, n=3, percent=90):
     sets = [shingles(t, n) for _, t, *_ in rows]
     root = list(range(len(rows)))

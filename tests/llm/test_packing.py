@@ -1,8 +1,10 @@
+import gc
 import zlib
 from collections import Counter
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import tokenizers
 
@@ -37,6 +39,20 @@ def test_full_tables_change_nothing(monkeypatch):
     assert encode(text) == library_ids(text).tobytes()
 
 
+def test_a_tokenizer_goes_with_its_task(spark):
+    """Workers are used again by later stages, whose memory it would take."""
+    df = spark.createDataFrame([(i, f"uno dos {i}", None, None, 0) for i in range(40)], DOCUMENTS)
+    assert packing.tokenised_pieces(df.repartition(8)).count() == 40
+
+    def alive(batches):
+        for _ in batches:
+            found = [type(x) for x in gc.get_objects()]
+            n = sum((x.__module__, x.__name__) == ("replylens.llm.packing", "Tokenizer") for x in found)
+            yield pa.RecordBatch.from_pydict({"n": pa.array([n], pa.int32())})
+
+    assert {r["n"] for r in spark.range(0, 8, 1, 8).mapInArrow(alive, "n int").collect()} == {0}
+
+
 def check(found, rows, capacity, end_id=0):
     pieces = Counter()
     for doc, text, *_ in rows:
