@@ -34,13 +34,13 @@ CACHED_WORDS = 50_000  # more take memory and are no faster
 KEPT_SETS = 2_000  # of texts just compared
 ROUNDS = 6  # of comparing each row with one centre before all open pairs are compared
 GAINFUL = 4  # a round is worth another one if it links one of so many rows
-PARITY_WORDS = 8  # of 64 bits, in which sets of open rows are held against each other
+PARITY_WORDS = 32  # of 64 bits, in which sets of open rows are held against each other
+FIRST_LISTS = 32  # of a row that are looked through for an earlier meeting of a pair; any number is exact
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
-SETS = "id long, row long, n_shingles long, first long, second long, small array<long>, chunk int, counts binary"
+SETS = "id long, row long, n_shingles long, first long, second long, small array<long>, parity array<long>, chunk int, counts binary"
 SUBSETS = "key long, row long, n int, gap int"
 LISTED = "key long, row long, n int, most int"
-COMPARED = "row long, text string, parity array<long>"
 
 
 def shared(s: int, t: int, percent: int) -> int:
@@ -49,7 +49,7 @@ def shared(s: int, t: int, percent: int) -> int:
 
 
 def parities(tokens: np.ndarray) -> np.ndarray:
-    """512 bits: of each residue, whether the set has an odd number of shingles with it. Bits in which
+    """2,048 bits: of each residue, whether the set has an odd number of shingles with it. Bits in which
     two sets differ are at most as many as shingles that only one of them has."""
     residues = (tokens % np.uint64(64 * PARITY_WORDS)).astype(np.int64)
     odd = (np.bincount(residues, minlength=64 * PARITY_WORDS) & 1).astype(np.uint8)
@@ -141,23 +141,24 @@ def _sets(words: int) -> Callable:
         shingle, counters = Shingler(words), np.zeros(COUNTERS, np.int64)
         names = [field.split()[0] for field in SETS.split(", ")]
         for batch in batches:
-            sizes, first, second, small = [], [], [], []
+            sizes, first, second, small, bits = [], [], [], [], []
             for text in each_value(batch.column(2)):
                 tokens = shingle(text)
                 a, b = signature(tokens)
                 sizes.append(len(tokens)), first.append(a), second.append(b)
                 small.append(tokens.view(np.int64).tolist() if len(tokens) <= LARGEST_SMALL else None)
+                bits.append(parities(tokens) if len(tokens) else None)
                 # A set's shingles differ, but their counters may not.
                 np.add.at(counters, (tokens % np.uint64(COUNTERS)).astype(np.int64), 1)
             numbers = [pa.array(x, pa.int64()) for x in (sizes, first, second)]
+            lists = [pa.array(x, pa.list_(pa.int64())) for x in (small, bits)]
             rest = [pa.nulls(batch.num_rows, pa.int32()), pa.nulls(batch.num_rows, pa.binary())]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).cast(pa.int64()), batch.column(1), *numbers, pa.array(small, pa.list_(pa.int64())), *rest],
-                names,
+                [batch.column(0).cast(pa.int64()), batch.column(1), *numbers, *lists, *rest], names
             )
         if counters.any():
             parts = [c.tobytes() for c in np.minimum(counters, 65_535).astype("<u2").reshape(CHUNKS, -1)]
-            empty = [pa.nulls(CHUNKS, pa.int64())] * 5 + [pa.nulls(CHUNKS, pa.list_(pa.int64()))]
+            empty = [pa.nulls(CHUNKS, pa.int64())] * 5 + [pa.nulls(CHUNKS, pa.list_(pa.int64()))] * 2
             yield pa.RecordBatch.from_arrays(
                 [*empty, pa.array(range(CHUNKS), pa.int32()), pa.array(parts, pa.binary())], names
             )
@@ -273,23 +274,6 @@ def _list_rows(words: int, percent: int, boundary: int, shared_weights) -> Calla
     return make
 
 
-def _with_parities(words: int) -> Callable[[], Callable]:
-    """From ``row, text``: ``COMPARED``."""
-
-    def make() -> Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]]:
-        shingle = Shingler(words)
-
-        def each(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-            bits = [parities(shingle(text)) for text in each_value(batch.column(1))]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(bits, pa.list_(pa.int64()))], ["row", "text", "parity"]
-            )
-
-        return each
-
-    return make
-
-
 def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """The ``(a, b)`` of ``pairs`` whose sets really link, compared shingle by shingle; ``texts``
     has each row once."""
@@ -392,7 +376,8 @@ def jaccard_components(
     stands in the lists. Then each row is compared with one centre of its lists, up to ``ROUNDS``
     times with other centres as long as that links many, and rows that are connected are never
     compared again. Only in lists where several components remain are all pairs across them that sizes,
-    places and parities of their sets allow compared, so that no link is lost.
+    places and parities of their sets allow compared, so that no link is lost. Lists of the same rows
+    count as one there, and a pair is made in the first list that both are in.
     """
     spark = df.sparkSession
     texts = df.select(
@@ -441,10 +426,12 @@ def jaccard_components(
     open_rows = _open_lists(store(listed, "listed").join(again, "row", "left_anti"), members)
     # Texts move once, those of rows that have anything to be compared with.
     needed = open_rows.select("row").distinct()
-    compared = texts.select("row", "text").join(needed, "row", "left_semi").dropDuplicates(["row"])
-    compared = store(map_batches(compared, _with_parities(words), COMPARED), "compared_texts")
+    compared = store(
+        texts.select("row", "text").join(needed, "row", "left_semi").dropDuplicates(["row"]), "compared_texts"
+    )
+    bits = store(sets.select("row", "parity").join(needed, "row", "left_semi").dropDuplicates(["row"]), "bits")
     for number in range(ROUNDS):
-        pairs = _pairs_with_centres(open_rows, number)
+        pairs = _pairs_with_centres(open_rows, bits, number, percent)
         links = store(_verified(pairs, compared, words, percent), "links")
         linked = links.count()
         if linked:
@@ -453,7 +440,8 @@ def jaccard_components(
         # What a round hardly helps is left to the last step.
         if linked * GAINFUL <= pairs.count():
             break
-    members = _link_the_rest(open_rows, compared, members, words, percent)
+    pairs = store(_open_pairs(open_rows, bits, percent).distinct(), "open_pairs")
+    members = _merged(store(_verified(pairs, compared, words, percent), "links"), members)
     first = F.min(F.struct(F.col("id").isNull().alias("missing"), "id", "row"))
     names = members.join(sets.select("row", "id").distinct(), "row").groupBy("component").agg(
         F.min("id").alias("component_id"), first["row"].alias("main")
@@ -482,37 +470,57 @@ def _suits(n: str, most: str, m: str, other_most: str) -> Column:
     return (F.col(n) <= F.col(other_most)) & (F.col(m) <= F.col(most))
 
 
-def _may_reach(percent: int) -> Column:
-    """Whether the sets of ``n, parity`` and ``m, other_parity`` differ in no more bits than sets
-    of a linking pair have shingles that only one of them has."""
+def _spare(percent: int) -> Column:
+    """Of sets of ``n, parity`` and ``m, other_parity``: by how many fewer bits they differ than
+    sets of a linking pair may have shingles that only one of them has."""
     total = F.col("n") + F.col("m")
     common = F.ceil(total * percent / (100 + percent))
     differ = sum(
         (F.bit_count(F.col("parity")[i].bitwiseXOR(F.col("other_parity")[i])) for i in range(PARITY_WORDS)), F.lit(0)
     )
-    return differ <= total - 2 * common
+    return total - 2 * common - differ
+
+
+def _may_reach(percent: int) -> Column:
+    """Whether the sets of ``n, parity`` and ``m, other_parity`` differ in no more bits than sets
+    of a linking pair have shingles that only one of them has."""
+    return _spare(percent) >= 0
 
 
 def _open_lists(rows: DataFrame, members: DataFrame) -> DataFrame:
     """The rows of lists in which more than one component is left, with their component, as far
-    as another entry of the list suits theirs."""
+    as another entry of the list suits theirs.
+
+    Lists of the same rows, such as those of a passage's shingles, become one under a hash of their
+    rows. A row's place in it is that of the first of them in its order, with the largest partner.
+    Lists that such a hash mistakes for one only make more pairs.
+    """
     placed = _with_component(rows.select("key", "row", "n", "most"), members, "row", "component")
+    code = F.xxhash64("row")
     several = (
         placed.groupBy("key")
         .agg(
             F.min("component").alias("x"), F.max("component").alias("y"),
             F.min("n").alias("least"), F.max("most").alias("top"),
-        ).filter("x <> y").select("key", "least", "top")
+            F.xxhash64(
+                F.count("*"), F.min("row"), F.max("row"),
+                F.sum(F.shiftright(code, 32)), F.sum(code.bitwiseAND(0xFFFFFFFF)),
+            ).alias("rows"),
+        ).filter("x <> y").select("key", "least", "top", "rows")
     )
     kept = placed.join(several, "key").filter("most >= least AND n <= top")
-    return store(kept.drop("least", "top"), "open_rows")
+    merged = kept.groupBy(F.col("rows").alias("key"), "row").agg(
+        F.max("n").alias("n"), F.max("most").alias("most"), F.max("component").alias("component")
+    )
+    return store(merged, "open_rows")
 
 
-def _pairs_with_centres(open_rows: DataFrame, number: int) -> DataFrame:
+def _pairs_with_centres(open_rows: DataFrame, bits: DataFrame, number: int, percent: int) -> DataFrame:
     """Each row with one row of another component, to be compared.
 
-    Each list has one centre a round, drawn by hash. A row is compared with the centre
-    that it shares most lists with, so a round compares no more pairs than there are rows.
+    Each list has one centre a round, drawn by hash. A row is compared with that of its centres
+    whose set differs least from its own by their parities, if it may reach any, so a round compares
+    no more pairs than there are rows.
     """
     drawn = F.struct(F.xxhash64("row", F.lit(number)).alias("draw"), "row", "n", "most", "component")
     centres = open_rows.groupBy("key").agg(F.max(drawn).alias("centre")).select(
@@ -522,30 +530,41 @@ def _pairs_with_centres(open_rows: DataFrame, number: int) -> DataFrame:
         F.col("centre.most").alias("other_most"),
         F.col("centre.component").alias("other"),
     )
-    counted = (
+    met = (
         open_rows.join(centres, "key")
         .filter((F.col("component") != F.col("other")) & _suits("n", "most", "m", "other_most"))
-        .groupBy("row", "centre").agg(F.count("*").alias("times"))
+        .select("row", "n", "centre", "m").distinct()
+    )
+    others = bits.select(F.col("row").alias("centre"), F.col("parity").alias("other_parity"))
+    near = (
+        met.join(others, "centre").join(bits, "row")
+        .select("row", "centre", _spare(percent).alias("spare")).filter("spare >= 0")
     )
-    best = counted.groupBy("row").agg(F.max(F.struct("times", "centre"))["centre"].alias("b"))
+    best = near.groupBy("row").agg(F.max(F.struct("spare", "centre"))["centre"].alias("b"))
     return store(best.select(F.col("row").alias("a"), "b"), "pairs")
 
 
-def _link_the_rest(
-    open_rows: DataFrame, texts: DataFrame, members: DataFrame, words: int, percent: int
-) -> DataFrame:
-    """Compare what lists with several components still leave open, each pair once.
+def _open_pairs(open_rows: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
+    """The pairs ``(a, b)`` that lists with several components still leave to be compared.
 
     One of any two components in a list is not its largest, so rows outside the largest
     are compared with all rows of other components. Most rows of a large family that just
-    miss the threshold are told by the parities of their sets, before a pair is made.
+    miss the threshold are told by the parities of their sets, before a pair is made. All sets
+    have shingles in one order, so a linking pair meets in the first list that both are in:
+    a pair is made there, and in no list for which both are in the same one of their first lists.
     """
     sizes = open_rows.groupBy("key", "component").agg(F.count("*").alias("size"))
     largest = store(
         sizes.groupBy("key").agg(F.max(F.struct("size", "component"))["component"].alias("main")), "largest"
     )
-    bits = texts.select("row", "parity")
-    placed = store(open_rows.join(largest, "key").join(bits, "row"), "placed")
+    ordered = F.sort_array(F.collect_list(F.struct("most", "key")), asc=False)
+    firsts = open_rows.groupBy("row").agg(F.slice(ordered, 1, FIRST_LISTS).alias("firsts"))
+    earlier = F.filter("firsts", lambda first: first["most"] > F.col("most"))
+    placed = store(
+        open_rows.join(largest, "key").join(firsts.join(bits, "row"), "row")
+        .withColumn("before", F.transform(earlier, lambda first: first["key"])).drop("firsts"),
+        "placed",
+    )
     others = placed.filter("component <> main").select(
         "key",
         F.col("row").alias("a"),
@@ -553,15 +572,15 @@ def _link_the_rest(
         F.col("most").alias("other_most"),
         F.col("component").alias("x"),
         F.col("parity").alias("other_parity"),
+        F.col("before").alias("other_before"),
     )
-    pairs = (
+    return (
         others.join(placed, "key")
         .filter((F.col("x") != F.col("component")) & _suits("n", "most", "m", "other_most") & _may_reach(percent))
+        .filter(~F.arrays_overlap("before", "other_before"))
         .filter((F.col("component") == F.col("main")) | (F.col("a") < F.col("row")))
-        .select(F.least("a", "row").alias("a"), F.greatest("a", "row").alias("b")).distinct()
+        .select(F.least("a", "row").alias("a"), F.greatest("a", "row").alias("b"))
     )
-    pairs = store(pairs, "open_pairs")
-    return _merged(store(_verified(pairs, texts, words, percent), "links"), members)
 
 
 def keep_one_of_each(

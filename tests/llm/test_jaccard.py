@@ -206,3 +206,38 @@ def test_large_families_around_the_threshold(spark):
     rows = [(i, t, None, None, None) for i, t in enumerate(texts)]
     assert found(spark.createDataFrame(rows, DOCUMENTS)) == brute_force(rows)
     assert len({c for _, _, c in brute_force(rows)}) > 20
+
+
+@pytest.mark.parametrize(("words", "percent", "first_lists"), [(3, 90, 32), (5, 80, 32), (2, 60, 32), (5, 80, 1)])
+def test_a_pair_is_made_in_one_of_its_lists(spark, monkeypatch, words, percent, first_lists):
+    """Without rounds all pairs are left to the last join; it makes each once, however many lists both are in."""
+    made, join = [], jaccard._open_pairs
+
+    def counted(*given):
+        pairs = jaccard.store(join(*given), "made")
+        made.append((pairs.count(), pairs.distinct().count()))
+        return pairs
+
+    monkeypatch.setattr(jaccard, "_open_pairs", counted)
+    monkeypatch.setattr(jaccard, "ROUNDS", 0)
+    monkeypatch.setattr(jaccard, "FIRST_LISTS", first_lists)
+    passage = make_text(78, 90)
+    texts = list(near_copies(31, 100, 60, 12)) + list(near_copies(32, 70, 30, 4))
+    texts += [f"{make_text(2000 + i, 8)} {passage} {make_text(3000 + i, 4 + i % 9)}" for i in range(40)]
+    rows = [(i, t, None, None, None) for i, t in enumerate(texts)]
+    rows += rows[::7] + [(1000 + i, t, None, None, None) for i, t in enumerate(texts[::9])]
+    assert found(spark.createDataFrame(rows, DOCUMENTS), words=words, percent=percent) == brute_force(rows, words, percent)
+    if first_lists > 1:
+        assert made[0][0] == made[0][1] > 0
+
+
+def test_lists_of_the_same_rows_become_one(spark):
+    """Of a passage's shingles each has a list of the same rows."""
+    entries = [(key, row, 50, 60 - key) for key in range(10) for row in (1, 2, 3)]
+    entries += [(20, 1, 50, 40), (20, 2, 50, 70), (21, 1, 50, 39), (21, 4, 50, 60), (22, 5, 50, 60), (22, 6, 50, 60)]
+    rows = spark.createDataFrame(entries, "key long, row long, n int, most int")
+    members = spark.createDataFrame([(5, 5), (6, 5)], "row long, component long")
+    kept = jaccard._open_lists(rows, members).collect()
+    # The larger one of a row's own partners counts; 20 and 21 lose a row that suits no other.
+    assert Counter((r["row"], r["most"], r["component"]) for r in kept) == Counter([(1, 60, 1), (2, 60, 2), (3, 60, 3), (2, 70, 2), (4, 60, 4)])
+    assert len({r["key"] for r in kept}) == 3
