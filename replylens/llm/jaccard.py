@@ -33,7 +33,8 @@ CHUNKS = 64  # in which counters are summed
 CACHED_WORDS = 50_000  # more take memory and are no faster
 KEPT_SETS = 2_000  # of texts just compared
 ROUNDS = 6  # of comparing each row with one centre before all open pairs are compared
-GAINFUL = 4  # a round is worth another one if it links one of so many rows
+GAINFUL = 4  # a round is worth another one if it links one of so many rows that it compares
+SCARCE = 100  # and one of so many rows whose texts it moves
 PARITY_WORDS = 32  # of 64 bits, in which sets of open rows are held against each other
 FIRST_LISTS = 32  # of a row that are looked through for an earlier meeting of a pair; any number is exact
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -430,6 +431,7 @@ def jaccard_components(
         texts.select("row", "text").join(needed, "row", "left_semi").dropDuplicates(["row"]), "compared_texts"
     )
     bits = store(sets.select("row", "parity").join(needed, "row", "left_semi").dropDuplicates(["row"]), "bits")
+    moved = bits.count()
     for number in range(ROUNDS):
         pairs = _pairs_with_centres(open_rows, bits, number, percent)
         links = store(_verified(pairs, compared, words, percent), "links")
@@ -438,7 +440,7 @@ def jaccard_components(
             members = _merged(links, members)
             open_rows = _open_lists(open_rows, members)
         # What a round hardly helps is left to the last step.
-        if linked * GAINFUL <= pairs.count():
+        if linked * GAINFUL <= pairs.count() or linked * SCARCE < moved:
             break
     pairs = store(_open_pairs(open_rows, bits, percent).distinct(), "open_pairs")
     members = _merged(store(_verified(pairs, compared, words, percent), "links"), members)
