@@ -509,13 +509,13 @@ def _csv_log(spark: SparkSession, sf_dir: str) -> str:
 
 def stored_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The two subsets of the log as the preprocess step stores them."""
-    cleaned = cut_lineage(tables.messages(spark, sf_dir), "messages")
-    found = []
-    for name, part in (("analysis", cleaning.analysis_set(cleaned)), ("comparison", cleaning.comparison_set(cleaned))):
+    rows, found = tables.messages(spark, sf_dir), []
+    # The second set is a subset of the first one and is taken from it as it is stored.
+    for name, part in (("analysis", cleaning.analysis_set), ("comparison", cleaning.comparison_set)):
         path = new_folder(spark, name)
-        writers.write_table(part, path)
-        stored = sources.read_stored(spark, path)
-        found.append(stored.select(F.lit(name).alias("dataset"), "id", "sender_action", "edit_distance"))
+        writers.write_table(part(rows), path)
+        rows = sources.read_stored(spark, path)
+        found.append(rows.select(F.lit(name).alias("dataset"), "id", "sender_action", "edit_distance"))
     return found[0].unionByName(found[1])
 
 
