@@ -112,14 +112,15 @@ def dense_position(
     numbered = ranged.withColumn("_inside", inside).join(F.broadcast(offsets), "_range")
     first = F.col("_before") + F.col("_inside")
     # Copies of one row that go beyond a multiple leave it without a cut, and the block is longer.
-    cuts = numbered.filter(first % (group * max(1, BLOCK // group)) == 0).select(
-        "_range", F.struct("_digest", "_key", "_entry", first.alias("_first")).alias("_cut")
-    )
-    inner = cuts.groupBy("_range").agg(F.sort_array(F.collect_list("_cut")).alias("_cuts"))
-    last = F.max(F.element_at("_cuts", -1)["_first"]).over(
+    entry = F.struct("_digest", "_key", "_entry", first.alias("_first"))
+    cut = F.when(first % (group * max(1, BLOCK // group)) == 0, entry)
+    # Ranges without a cut come from the same rows: taken from ``offsets``, whose sizes no one reads
+    # here, they would be ranges of the rows of ``df``, computed once more.
+    inner = numbered.groupBy("_range").agg(F.sort_array(F.collect_list(cut)).alias("_cuts"))
+    last = F.max(F.try_element_at("_cuts", F.lit(-1))["_first"]).over(
         Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     )
-    known = offsets.join(inner, "_range", "left").select("_range", "_cuts", last.alias("_last"))
+    known = inner.select("_range", "_cuts", last.alias("_last"))
     me = F.struct(F.col("_digest"), F.col(key), F.col("_row"))
     passed = F.filter("_cuts", lambda c: F.struct(c["_digest"], c["_key"], c["_entry"]) <= me)
     start = F.coalesce(F.try_element_at(passed, F.lit(-1))["_first"], F.col("_last"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import glob
+from hashlib import md5
 
 from pyspark.sql import functions as F
 
@@ -44,6 +45,24 @@ def test_batches_are_whole_within_blocks(spark, monkeypatch):
     assert [r["d"] for r in digests] == sorted(r["d"] for r in digests)
 
 
+def test_rows_to_number_are_computed_twice(spark, monkeypatch):
+    """Once for the cuts and once where they are moved, also with ranges that hold no cut."""
+    monkeypatch.setattr(ordering, "BLOCK", 20)
+    rows = spark.range(333).withColumn("text", F.lit("x")).union(spark.createDataFrame([(None, "y"), (None, None)], "id long, text string"))
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        numbered = ordering.dense_position(rows, "id", part="part")
+        assert len([line for line in plan_of(numbered) if "Range (0, 333" in line]) == 2
+        found = sorted(numbered.collect(), key=lambda r: r["position"])
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    assert [r["position"] for r in found] == list(range(335))
+    digests = [md5(str(r["id"]).encode()).hexdigest() for r in found[2:]]
+    assert [r["id"] for r in found[:2]] == [None, None] and digests == sorted(digests)
+    assert len({r["part"] for r in found}) == 17
+
+
 def test_prompts_are_grouped_where_rows_are(spark):
     pairs = cut_lineage(
         spark.range(50).select(
