stored_profile: the last example of an outcome is found on ids, so texts of all rows are no longer sorted

Symptom: the samples of the profile sorted the whole stored log with its texts by outcome in the tasks that read it, to keep 20 rows; these sorts spill as soon as a part of the file outgrows a task's memory.
Evidence: own run, events of sf0.1 six times with shifted keys (600000 rows), 4 cores, 3 GB heap, parts of 128 MB: that stage spilled 3355 MB of memory (1895 MB on disk) with a peak of 421 MB in a task; with 1.2 GB heap it ran out of memory. It also moved five wide rows per task, outcome and salt (314 of 1431 MB shuffled at 0.51 GB).
Fix: up_to_nth finds the fifth hash of each of the four outcomes on outcome and id of the stored log, and the texts of rows up to it alone are sorted; ties stay in, so picks are as before. The four ends are broadcast. Only profile(), whose log is a stored table, uses it.
Effect, together with 2 more commits on this code: at 1 GB of input CPU 801 -> 782 s, shuffle 2.82 -> 2.62 GB, spill 1.97 -> 0.00 GB, read 7.67 -> 7.69 GB, longest task 10 -> 9 s, most memory of a task 877 -> 177 MB; at 6 GB of input CPU 4628 -> 3658 s, shuffle 17.03 -> 16.00 GB, spill 100.76 -> 0.00 GB, read 46.69 -> 46.81 GB, longest task 14 -> 15 s, most memory of a task 1044 -> 185 MB; with hot keys, at 1 GB of input CPU 523 -> 449 s, shuffle 0.82 -> 0.79 GB, spill 5.08 -> 0.00 GB, read 1.73 -> 1.74 GB, longest task 13 -> 10 s, most memory of a task 914 -> 153 MB.

@@ -84,6 +84,20 @@ def per_group_sample(df: DataFrame, group: str, key: str, order: Column, n: int)
     )
 
 
+def up_to_nth(df: DataFrame, keys: DataFrame, group: str, key: str, order: Column, n: int) -> DataFrame:
+    """Rows of ``df`` up to the ``n``-th of their group by ascending hash ``order``, ties included.
+
+    ``keys`` is a frame with group and key of the same rows that is cheap to read; the n-th of each
+    group is found on it. What is sorted by group after that has few wide rows left. The n-th
+    are broadcast: for groups that are a fixed handful. ``order`` follows from the key.
+    """
+    place = F.struct(order, F.col(key))
+    first = per_group_sample(keys.select(group, key), group, key, order, n)
+    ends = first.groupBy(F.col(group).alias("_group")).agg(F.max(place).alias("_end"))
+    within = df.join(F.broadcast(ends), F.col(group).eqNullSafe(F.col("_group"))).filter(place <= F.col("_end"))
+    return within.select(*df.columns)
+
+
 def dense_position(
     df: DataFrame, key: str, name: str = "position", group: int = 1, part: str | None = None
 ) -> DataFrame:

@@ -3,7 +3,7 @@ import hashlib
 from pyspark.sql import functions as F
 
 from replylens.functions.columns import stable_hash
-from replylens.functions.ordering import dense_position, hashed_sample, per_group_sample, smallest_n
+from replylens.functions.ordering import dense_position, hashed_sample, per_group_sample, smallest_n, up_to_nth
 from replylens.operators import cleaning, profiling
 
 
@@ -51,6 +51,36 @@ def test_samples_are_complete_and_seeded(log):
     assert len(picked) == 8
 
 
+def test_samples_of_a_stored_log_sort_few_texts(spark, log, tmp_path):
+    """The profile finds the last example on outcomes and ids; the examples are those of the whole log."""
+    actions = ["ACCEPTED"] * 20 + ["EDITED"] * 3 + ["OTHER"] * 5 + ["SKIPPED"] * 30 + [None] * 2
+    rows = [{"sender_action": a, "message_input": f"texto {i}"} for i, a in enumerate(actions)]
+    # Repeated and null ids, with texts alike and not.
+    rows += [{"id": i, "sender_action": "SKIPPED", "message_input": t} for i in (7, None) for t in ("a", "b", "b", None)]
+    cleaning.clean_messages(log(*rows)).repartition(3, "message_input").write.parquet(f"{tmp_path}/log")
+    stored = spark.read.parquet(f"{tmp_path}/log")
+    samples = profiling.profile(stored)["samples"]
+    plan = samples._jdf.queryExecution().executedPlan().toString().split("\n")
+    join = next(i for i, line in enumerate(plan) if "BroadcastHashJoin" in line)
+    scans = [i for i, line in enumerate(plan) if "FileScan" in line]
+    assert join < scans[0] and not [line for line in plan[join : scans[0]] if "Sort" in line]
+    assert ["message_input" in plan[i] for i in scans] == [True, False]
+    for n in (0, 1, 5, 100):
+        with_keys = profiling.sample_by_action(stored, n, keys=stored).collect()
+        assert sorted(map(str, with_keys)) == sorted(map(str, profiling.sample_by_action(stored, n).collect()))
+    assert len(with_keys) == 20 + 3 + 30 + 8 and len(samples.collect()) == 5 + 3 + 5
+
+
+def test_ends_of_null_groups_and_keys(spark):
+    rows = [(i, "A" if i % 3 else None) for i in range(40)] + [(None, "A"), (None, None), (3, None), (3, None)]
+    df = spark.createDataFrame(rows, "id long, g string").withColumn("text", F.lit("x"))
+    kept = up_to_nth(df, df, "g", "id", stable_hash("id"), 4)
+    assert kept.columns == df.columns
+    best = {g: sorted((i for i, h in rows if h == g), key=lambda i: "" if i is None else md5(i)) for g in ("A", None)}
+    expected = [(i, g) for g, ids in best.items() for i in ids if ids.index(i) < 4]
+    assert sorted(map(str, kept.select("id", "g").collect())) == sorted(f"Row(id={i}, g={g!r})" for i, g in expected)
+
+
 def test_sample_has_exact_size(spark):
     df = spark.range(3000).repartition(7)
     sampled = [r["id"] for r in hashed_sample(df, "id", stable_hash("id"), 137).collect()]
