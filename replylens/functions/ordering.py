@@ -126,11 +126,12 @@ def dense_position(
     numbered = ranged.withColumn("_inside", inside).join(F.broadcast(offsets), "_range")
     first = F.col("_before") + F.col("_inside")
     # Copies of one row that go beyond a multiple leave it without a cut, and the block is longer.
-    entry = F.struct("_digest", "_key", "_entry", first.alias("_first"))
-    cut = F.when(first % (group * max(1, BLOCK // group)) == 0, entry)
-    # Ranges without a cut come from the same rows: taken from ``offsets``, whose sizes no one reads
-    # here, they would be ranges of the rows of ``df``, computed once more.
-    inner = numbered.groupBy("_range").agg(F.sort_array(F.collect_list(cut)).alias("_cuts"))
+    is_cut = first % (group * max(1, BLOCK // group)) == 0
+    cut = F.when(is_cut, F.struct("_digest", "_key", "_entry", first.alias("_first")))
+    # The first entry of each range names a range without a cut. Taken from ``offsets``, whose sizes
+    # no one reads here, ranges would be those of the rows of ``df``, computed once more.
+    named = numbered.filter(is_cut | (F.col("_inside") == 0)).select("_range", cut.alias("_cut"))
+    inner = named.groupBy("_range").agg(F.sort_array(F.collect_list("_cut")).alias("_cuts"))
     last = F.max(F.try_element_at("_cuts", F.lit(-1))["_first"]).over(
         Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     )
